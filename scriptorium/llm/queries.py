@@ -2,10 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scriptorium.llm import chat_format, token_count, url_filter
+from scriptorium.llm import (
+    chat_format,
+    decontaminate,
+    html_extract,
+    language,
+    packing,
+    quality,
+    secret_scan,
+    simhash,
+    token_count,
+    url_filter,
+)
 from scriptorium.session import table
 
 URL_RULES = (
@@ -35,15 +46,80 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(pages, URL_RULES, model).drop("score")
 
 
+def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "documents")
+
+
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(_documents(spark, sf_dir))
+    base = F.filter("spans", lambda s: s.kind.isin("assign", "access", "hex"))
+    written = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start, s.end)), ",")
+    number = lambda kind: F.size(F.filter("spans", lambda s: s.kind == kind)).cast("long").alias(f"n_{kind}")
+    return found.select(
+        "doc_id",
+        number("assign"),
+        number("access"),
+        number("hex"),
+        F.sha2(written(base), 256).alias("base_sha256"),
+        written(F.col("spans")).alias("spans"),
+    )
+
+
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(_documents(spark, sf_dir))
+    return found.select("doc_id", simhash.hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(_documents(spark, sf_dir)).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_documents(spark, sf_dir))
+
+
+def held_out() -> Column:
+    """Whether a document is held out of the training: crc32 of its id as text, modulo 4, is 2."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(True))
+
+
+def language_model(docs: DataFrame, train_docs: int = 20_000) -> language.Profiles:
+    """Learned from about ``train_docs`` of the documents that have a language and are not held out."""
+    return language.learn(language.sample(docs.filter(~held_out() & F.col("lang").isNotNull()), train_docs))
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir)
+    found = language.identify(docs, language_model(docs))
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = token_count.token_counts(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    counts = token_count.token_counts(_documents(spark, sf_dir))
     return counts.select("*", (F.col("n_tokens") > 4096).alias("over_limit"))
 
 
+def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.containments(_documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+
+
+def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op1_chat_format": op1_chat_format,
     "op2_url_filter": op2_url_filter,
+    "op3_secret_scan": op3_secret_scan,
+    "op4_simhash": op4_simhash,
+    "op5_quality_rules": op5_quality_rules,
+    "op6_packing": op6_packing,
+    "op7_language_id": op7_language_id,
     "op8_token_counts": op8_token_counts,
+    "op9_decontaminate": op9_decontaminate,
+    "op10_html_extract": op10_html_extract,
 }
 
 _TURNS = f"""
