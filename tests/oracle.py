@@ -5,6 +5,7 @@ from __future__ import annotations
 import glob
 import os
 import sys
+from decimal import Decimal
 
 import duckdb
 import pandas as pd
@@ -24,14 +25,15 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 
 def canonical(frame: pd.DataFrame) -> pd.DataFrame:
+    """Columns by name, rows by value; numbers as floats with nulls as NaN, all else as text."""
     frame = frame[sorted(frame.columns)].copy()
     for name in frame.columns:
-        if frame[name].dtype.kind in "f":
-            frame[name] = frame[name].round(6)
-        elif frame[name].dtype.kind in "iu":
-            frame[name] = frame[name].astype("int64")
-        elif frame[name].dtype.kind != "b":
-            frame[name] = frame[name].astype(object).where(frame[name].notna(), None).map(lambda v: v if v is None else str(v))
+        column = frame[name]
+        numbers = pd.api.types.is_numeric_dtype(column) and not pd.api.types.is_bool_dtype(column)
+        if numbers or (column.notna().any() and column.dropna().map(lambda v: isinstance(v, int | float | Decimal) and not isinstance(v, bool)).all()):
+            frame[name] = pd.to_numeric(column, errors="coerce").astype("float64").round(6)
+        else:
+            frame[name] = column.astype(object).where(column.notna(), None).map(lambda v: v if v is None else str(v))
     return frame.sort_values(list(frame.columns), key=lambda c: c.astype(str)).reset_index(drop=True)
 
 
@@ -57,7 +59,7 @@ if __name__ == "__main__":
     args = sys.argv[1:]
     sf = args.pop(1) if args[:1] == ["--sf"] else "/root/testdata/sf0.01"
     args = [a for a in args if a != "--sf"]
-    spark = session(master="local[4]", **{"spark.sql.shuffle.partitions": "4", "spark.driver.memory": "4g"})
+    spark = session(master=f"local[{os.environ.get('CPUS', '4')}]", **{"spark.sql.shuffle.partitions": "4", "spark.driver.memory": "4g"})
     spark.sparkContext.setLogLevel("ERROR")
     con = connect(sf)
     for name in args or sorted(set(e.oracle_sql())):
