@@ -31,7 +31,9 @@ import os
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import islice
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -39,7 +41,7 @@ from pyspark.sql import DataFrame
 from scriptorium.llm.token_count import model_path, pieces
 from scriptorium.session import bounded_batches
 
-CACHED = 300_000
+CACHED = 600_000
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 #: Outside this set of characters texts go to the library whole.
 _OTHER = re.compile("[^\t-\r -~À-ÖØ-öø-ÿ]")
@@ -54,7 +56,9 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.ends = {k for t, k in self.library.get_vocab().items() if t.endswith("</w>")}
+        vocabulary = self.library.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[k for t, k in vocabulary.items() if t.endswith("</w>")]] = True
         self.known: dict[str, bytes] = {}
 
     def ids(self, text: str) -> list[int]:
@@ -64,22 +68,21 @@ class Encoder:
         """Encodes pieces, many in one text: each ends with an id of a word's end."""
         for at in range(0, len(new), 1000):
             part = new[at : at + 1000]
-            words: list[list[int]] = [[]]
-            for k in self.ids(" ".join(part)):
-                words[-1].append(k)
-                if k in self.ends:
-                    words.append([])
-            if len(words) != len(part) + 1 or words[-1]:
-                words = [self.ids(p) for p in part]
-            for piece, ids in zip(part, words, strict=False):
-                self.known[piece] = pack_ids(ids)
+            ids = np.array(self.ids(" ".join(part)), "<u4")
+            ends = 4 * (np.flatnonzero(self.ends[ids]) + 1)
+            if len(ends) == len(part) and ends[-1] == 4 * len(ids):
+                held, stops = ids.tobytes(), ends.tolist()
+                self.known.update(zip(part, map(held.__getitem__, map(slice, [0, *stops], stops)), strict=True))
+            else:
+                self.known.update((p, pack_ids(self.ids(p))) for p in part)
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         split = [
             _PIECE.findall(t.lower()) if t and "<|" not in t and not _OTHER.search(t) else None for t in texts
         ]
         if len(self.known) > CACHED:
-            self.known.clear()
+            # frequent pieces come first, so the older half is the better one
+            self.known = dict(islice(self.known.items(), CACHED // 2))
         out = []
         for text, found in zip(texts, split, strict=True):
             if found is None:
@@ -94,8 +97,18 @@ class Encoder:
         return out
 
 
+_encoders: dict[str, Encoder] = {}
+
+
+def encoder_at(path: str) -> Encoder:
+    """The encoder for a file, one for each worker process, so that tasks after the first find its table filled."""
+    if path not in _encoders:
+        _encoders[path] = Encoder(path)
+    return _encoders[path]
+
+
 def pack_ids(ids: list[int]) -> bytes:
-    return b"".join(k.to_bytes(4, "little") for k in ids)
+    return np.array(ids, "<u4").tobytes()
 
 
 def fill(counts: dict[int, int], capacity: int) -> dict[int, int]:
@@ -203,7 +216,7 @@ def pack(
     bounded_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, end = Encoder(model_path(vocabulary, folder)), pack_ids([end_id])
+        encoder, end = encoder_at(model_path(vocabulary, folder)), pack_ids([end_id])
         packer = Packer(capacity, TaskContext.get().partitionId() << 36)
 
         def out() -> pa.RecordBatch:
