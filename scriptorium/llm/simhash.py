@@ -191,6 +191,8 @@ def near_duplicates(docs: DataFrame, largest: int = LARGEST) -> DataFrame:
         ids = linked.groupBy("root").agg(F.min("rep").alias("component_id"))
         linked = linked.select("fp", "root").join(ids, "root").select("fp", "component_id")
         named = reps.join(linked, "fp", "left").select("fp", F.coalesce("component_id", "rep").alias("component_id"))
+    # written, so that both sides of the join are plain exchanges and a fingerprint of many copies can be split
+    named = store.save(named)
     return fps.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
