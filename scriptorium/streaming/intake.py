@@ -26,7 +26,8 @@ def upsert_stream(rows: DataFrame, apply: Callable[[DataFrame, int], None], chec
 
 def hourly_usage(events: DataFrame, ts: str = "ts", late: str = "1 hour") -> DataFrame:
     """Calls and cost by engine in tumbling hours; works on streams (with a watermark) and tables alike."""
-    rows = events.withWatermark(ts, late) if events.isStreaming else events
+    # a watermark needs a timestamp with a zone
+    rows = events.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, late) if events.isStreaming else events
     return (
         rows.groupBy(F.window(ts, "1 hour").alias("w"), "event_type")
         .agg(F.count("*").alias("calls"), F.sum(F.col("value").cast("decimal(18,4)")).alias("cost"))
