@@ -20,7 +20,7 @@ from scriptorium.functions import text as T
 from scriptorium.functions import translation as R
 from scriptorium.functions import verses as V
 from scriptorium.functions.profiles import LATIN
-from scriptorium.operators import gazetteer, reports, segment, sinks, translate, upsert
+from scriptorium.operators import gazetteer, intake as pages_in, reports, segment, sinks, translate, upsert
 from scriptorium.session import table
 from scriptorium.sources import files, web
 from scriptorium.streaming import intake
@@ -860,3 +860,27 @@ def page_numbers(spark, sf_dir):
 @query("select date_trunc('hour', ts) as hour, event_type, count(*) as calls, cast(sum(cast(value as decimal(18,4))) as double) as cost from events group by 1, 2")
 def stream_hourly(spark, sf_dir):
     return intake.hourly_usage(table(spark, sf_dir, "events")).withColumn("cost", F.col("cost").cast("double"))
+
+
+@query("""with o as (select o_custkey, max(o_orderkey % 1000) as last from orders where o_orderkey % 2 = 0 group by 1)
+select o_orderkey, n.o_custkey, cast(row_number() over (partition by n.o_custkey order by o_orderkey) - 1 + coalesce(last + 1, 0) as int) as idx
+from orders n left join o on n.o_custkey = o.o_custkey where o_orderkey % 2 = 1""")
+def append_index(spark, sf_dir):
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    old = rows.filter("o_orderkey % 2 = 0").withColumn("idx", F.col("o_orderkey") % 1000)
+    return pages_in.append_index(old, rows.filter("o_orderkey % 2 = 1"), ["o_custkey"], ["o_orderkey"])
+
+
+@query("""select page_id, cast(row_number() over (partition by page_id % 9 order by page_id % 5 > 0, page_id) as int) as page_no from pages
+where length(html) > 1500 and (page_id % 5 > 0 or page_id < 45)""")
+def number_pages(spark, sf_dir):
+    rows = table(spark, sf_dir, "pages").filter("page_id % 5 > 0 or page_id < 45")
+    number = F.when(F.col("page_id") % 5 > 0, F.col("page_id"))
+    numbered = rows.select("page_id", (F.col("page_id") % 9).alias("book"), number.alias("n"), F.length("html").alias("size"))
+    return pages_in.number_pages(numbered, "book", "n", F.col("size") > 1500).select("page_id", "page_no")
+
+
+@query(f"with {PASSAGES} select key, page_no from passages where page_no between 2 and 5 and length(trim(text)) > 40 and coalesce(quality_score, 0) >= 0.5")
+def benchmark_rows(spark, sf_dir):
+    rows = pages_in.page_range(passages(spark, sf_dir), "page_no", 5, 2)
+    return rows.filter(pages_in.fit_for_benchmark(F.col("text"), F.col("quality_score"))).select("key", "page_no")
