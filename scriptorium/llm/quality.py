@@ -42,7 +42,7 @@ _UPPER, _LETTER = re.compile(r"[A-ZÀ-ÖØ-Þ]"), re.compile(r"[^\W\d_]")
 RULES = {
     "base": "n_words < 10 or 100 * n_repeat_words > 20 * n_words",
     "symbols": "10 * n_symbols > n_words",
-    "lines": "10 * n_dup_lines > 3 * n_lines",
+    "lines": "n_dup_lines > 2 and 10 * n_dup_lines > 3 * n_lines",
     "shouting": "10 * n_upper > 5 * n_letters",
     "exclaiming": "10 * n_shouts > 3 * n_words",
     "word_length": "10 * word_chars < 25 * n_words or word_chars > 15 * n_words",
