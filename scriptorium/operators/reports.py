@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from scriptorium.functions import text as T
 from scriptorium.functions.profiles import DEVA, ScriptProfile
+from scriptorium.operators.blocks import row_numbers
 
 # --- quality ------------------------------------------------------------------------------------
 
@@ -158,17 +159,21 @@ def in_ranges(rows: DataFrame, ranges: DataFrame, page: str, width: int = 64) ->
 # --- samples and order --------------------------------------------------------------------------
 
 
-def systematic_sample(rows: DataFrame, by: Sequence[str], order: Sequence[str], n: int) -> DataFrame:
+def systematic_sample(rows: DataFrame, by: Sequence[str], order: str, n: int, width: float = 1_000_000) -> DataFrame:
     """Rows ``floor(i * N / n)`` for i below n of each group in order; all rows where there are no more than n.
 
-    Row r is one of them if some i has it, which is so for i = ceil(r * n / N).
+    Row r is one of them if some i has it, which is so for i = ceil(r * n / N). The
+    order is a number, unique in a group; groups are numbered in blocks of ``width``
+    of it and counted with pre-aggregation, so none has to fit a task.
     """
-    w = Window.partitionBy(*by).orderBy(*order)
-    total = F.count("*").over(Window.partitionBy(*by))
-    ranked = rows.withColumn("__r", (F.row_number().over(w) - 1).cast("long")).withColumn("__n", total)
+    ranked = row_numbers(rows, by, order, width, "__r").withColumn("__r", F.col("__r") - 1)
+    counts = rows.groupBy(*by).agg(F.count("*").alias("__n")).select(*(F.col(c).alias(f"__{c}") for c in by), "__n")
+    on = F.lit(True)
+    for c in by:
+        on = on & F.col(c).eqNullSafe(F.col(f"__{c}"))
     i = f"((__r * {n} + __n - 1) div __n)"
     hit = F.expr(f"__n <= {n} or (({i} * __n) div {n} = __r and {i} < {n})")
-    return ranked.filter(hit).drop("__r", "__n")
+    return ranked.join(counts, on).filter(hit).select(*rows.columns)
 
 
 def first_seen(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

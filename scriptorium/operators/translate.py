@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from scriptorium.functions import text as T
 from scriptorium.functions import translation as R
 from scriptorium.functions.profiles import DEVA, LEGACY_VERSION, PROMPT_VERSION, ScriptProfile
+from scriptorium.operators.blocks import running_sum
 from scriptorium.operators.upsert import first_wins
 
 # --- context ------------------------------------------------------------------------------------
@@ -175,22 +176,33 @@ def batch_estimate(rows: DataFrame, by: Sequence[str], message: Column, system_c
     return rows.groupBy(*by).agg(sent.alias("in_chars"), (2 * sent).alias("out_chars"))
 
 
-def running_spend(calls: DataFrame, order: Sequence[str], cost: str, by: Sequence[str] = ()) -> DataFrame:
-    """``spent_before`` and ``spent`` at each call, in order; ``by`` (epochs, accounts) start anew."""
-    w = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    out = calls.withColumn("spent", F.sum(cost).over(w))
+def running_spend(calls: DataFrame, order: str, cost: str, by: Sequence[str] = (), width: float = 1_000_000) -> DataFrame:
+    """``spent_before`` and ``spent`` at each call, in order; ``by`` (epochs, accounts) start anew.
+
+    The order is a number, unique in an account. An account of any size is summed up
+    in blocks of ``width`` of it.
+    """
+    out = running_sum(calls, by, order, cost, width, "spent")
     return out.withColumn("spent_before", F.col("spent") - F.col(cost))
 
 
-def budget_gate(calls: DataFrame, order: Sequence[str], cost: str, budget, by: Sequence[str] = ()) -> DataFrame:
+def budget_gate(calls: DataFrame, order: str, cost: str, budget, by: Sequence[str] = (), width: float = 1_000_000) -> DataFrame:
     """``accepted``: false from the first call that would exceed the budget, for good.
 
     Until then all earlier calls were accepted, so the plain running sum is right;
-    the latch is a running maximum of the breach.
+    what comes at or after an account's first breach, a pre-aggregated minimum, is refused.
     """
-    w = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    breach = (F.col("spent") > F.lit(budget)).cast("int")
-    return running_spend(calls, order, cost, by).withColumn("accepted", F.max(breach).over(w) == 0)
+    spent = running_spend(calls, order, cost, by, width)
+    at = spent.filter(F.col("spent") > F.lit(budget)).groupBy(*by).agg(F.min(order).alias("__breach"))
+    if not by:
+        first = at.first()  # one row
+        return spent.withColumn("accepted", F.lit(True) if first["__breach"] is None else F.col(order) < F.lit(first["__breach"]))
+    at = at.select(*(F.col(c).alias(f"__{c}") for c in by), "__breach")
+    on = F.lit(True)
+    for c in by:
+        on = on & F.col(c).eqNullSafe(F.col(f"__{c}"))
+    late = F.coalesce(F.col(order) >= F.col("__breach"), F.lit(False))
+    return spent.join(at, on, "left").withColumn("accepted", ~late).select(*spent.columns, "accepted")
 
 
 def failure_streaks(calls: DataFrame, by: Sequence[str], order: Sequence[str], ok: Column, limit: int = 15) -> DataFrame:

@@ -620,7 +620,7 @@ _CALLS = "calls as (select event_id, user_id, ts, cast(value as decimal(12,2)) a
 @query(f"with {_CALLS} select event_id, user_id, cast(sum(cost) over w as double) as spent from calls window w as (partition by user_id order by event_id rows unbounded preceding)")
 def running_spend(spark, sf_dir):
     calls = table(spark, sf_dir, "events").select("event_id", "user_id", F.col("value").cast("decimal(12,2)").alias("cost"))
-    out = translate.running_spend(calls, ["event_id"], "cost", ["user_id"])
+    out = translate.running_spend(calls, "event_id", "cost", ["user_id"], 1000)
     return out.select("event_id", "user_id", F.col("spent").cast("double").alias("spent"))
 
 
@@ -628,7 +628,7 @@ def running_spend(spark, sf_dir):
 select event_id, user_id, max(case when spent > 100 then 1 else 0 end) over (partition by user_id order by event_id rows unbounded preceding) = 0 as accepted from s""")
 def budget_gate(spark, sf_dir):
     calls = table(spark, sf_dir, "events").select("event_id", "user_id", F.col("value").cast("decimal(12,2)").alias("cost"))
-    return translate.budget_gate(calls, ["event_id"], "cost", 100, ["user_id"]).select("event_id", "user_id", "accepted")
+    return translate.budget_gate(calls, "event_id", "cost", 100, ["user_id"], 1000).select("event_id", "user_id", "accepted")
 
 
 @query("""with i as (select *, sum(case when event_type <> 'error' then 1 else 0 end) over (partition by user_id order by event_id rows unbounded preceding) as island from events)
@@ -767,7 +767,7 @@ def prefix_filter(spark, sf_dir):
 @query("""with r as (select doc_id, source, row_number() over (partition by source order by doc_id) - 1 as r, count(*) over (partition by source) as n from documents)
 select doc_id, source from r where n <= 7 or r in (select (i * n) // 7 from range(7) as t(i))""")
 def systematic_sample(spark, sf_dir):
-    return reports.systematic_sample(documents(spark, sf_dir).select("doc_id", "source"), ["source"], ["doc_id"], 7)
+    return reports.systematic_sample(documents(spark, sf_dir).select("doc_id", "source"), ["source"], "doc_id", 7, 100)
 
 
 @query("select conv_id, turn, coalesce(role <> lag(role) over (partition by conv_id order by turn), true) as changed from conversations")

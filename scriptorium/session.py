@@ -51,12 +51,13 @@ class Durable:
     """Writes intermediate tables to the shared folder, to cut lineage.
 
     A table written here outlives any executor. ``drop`` removes tables that
-    nothing reads any more; the rest goes when the cluster clears the folder.
+    nothing reads any more; what is left of an application is under one folder,
+    ``scriptorium/<application id>``, which can go when the application has ended.
     """
 
     def __init__(self, spark: SparkSession, label: str):
         self.spark = spark
-        self.root = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+        self.root = f"{shared_dir(spark)}/scriptorium/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
         self.count = 0
 
     def save(self, df: DataFrame) -> DataFrame:

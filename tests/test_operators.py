@@ -87,10 +87,19 @@ def test_context(spark):
 
 def test_budget_latches(spark):
     rows = spark.createDataFrame([(k, c) for k, c in enumerate([5.0, 2.0, 2.0, 0.5])], "n int, cost double")
-    got = translate.budget_gate(rows, ["n"], "cost", 8.0).orderBy("n").collect()
+    got = translate.budget_gate(rows, "n", "cost", 8.0, width=2).orderBy("n").collect()
     assert [r.accepted for r in got] == [True, True, False, False]
 
 
+def test_budget_by_account(spark):
+    rows = spark.createDataFrame([(a, k, c) for a in ("x", None) for k, c in enumerate([5.0, 2.0, 2.0, 0.5])] + [("y", 0, 1.0)], "a string, n int, cost double")
+    got = translate.budget_gate(rows, "n", "cost", 8.0, ["a"], 3).orderBy("a", "n").collect()
+    assert [r.accepted for r in got] == [True, True, False, False] * 2 + [True]
+    assert [r.spent for r in got] == [5.0, 7.0, 9.0, 9.5] * 2 + [1.0]
+    calm = translate.budget_gate(rows.filter("a = 'y'"), "n", "cost", 8.0).collect()
+    assert [r.accepted for r in calm] == [True]
+
+
 def test_failure_streaks(spark):
     rows = spark.createDataFrame([("d", k, x == "o") for k, x in enumerate("foffof")], "doc string, n int, ok boolean")
     got = translate.failure_streaks(rows, ["doc"], ["n"], F.col("ok"), 2).orderBy("n").collect()
@@ -154,13 +163,13 @@ def test_summary_identities(spark):
 
 def test_systematic_sample(spark):
     rows = spark.createDataFrame([("g", k) for k in range(10)] + [("h", k) for k in range(3)], "g string, n int")
-    got = reports.systematic_sample(rows, ["g"], ["n"], 4).collect()
+    got = reports.systematic_sample(rows, ["g"], "n", 4, 3).collect()
     assert sorted(r.n for r in got if r.g == "g") == [0, 2, 5, 7] and len([r for r in got if r.g == "h"]) == 3
     for total in (5, 7, 23):
         rows = spark.createDataFrame([("g", k) for k in range(total)], "g string, n int")
         for n in (1, 3, 4, 6):
             want = sorted({k * total // n for k in range(n)}) if total > n else list(range(total))
-            assert sorted(r.n for r in reports.systematic_sample(rows, ["g"], ["n"], n).collect()) == want
+            assert sorted(r.n for r in reports.systematic_sample(rows, ["g"], "n", n, 4).collect()) == want
 
 
 def test_search_grammar(spark):
