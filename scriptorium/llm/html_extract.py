@@ -7,12 +7,12 @@ or role names such a part, an advert, a notice or reader comments are set aside.
 
 For each path the lengths of text, of link text, and punctuation are summed up
 over its blocks. The path's score fuses the text ratio (characters for each block)
-and the punctuation ratio (marks for each block) and is lowered by the share of
-link text; scores are smoothed over neighbours in page order, weighted by how
-often paths stand next to one another, and paths below a share of the best score
-go. Inside of ``article`` or ``main`` the threshold is a lower one, as the author
-of the page has said where the content is; where such elements hold text, blocks
-outside of them go. A heading stays with the block that it stands above.
+with the punctuation ratio (marks for each block); scores are smoothed over
+neighbours in page order, weighted by how often paths stand next to one another,
+and lowered by the path's own share of link text. Paths below a share of the best
+score go. Inside of ``article`` or ``main`` the threshold is a lower one, as the
+author of the page has said where the content is; where such elements hold text,
+blocks outside of them go. A heading stays with the block that it stands above.
 
 Character references are decoded, white space becomes one space, blocks are joined
 in page order by one space. Broken markup is read as browsers do in the main: end
@@ -218,12 +218,13 @@ def path_scores(found: list[Block]) -> dict[str, float]:
         for j in (k - 1, k + 1):
             if 0 <= j < len(found):
                 around[found[j].path] = around.get(found[j].path, 0) + 1
-    fused = {p: chars / n * (1 + marks / n) * max(0.0, 1 - links / chars) ** 2 for p, (n, chars, marks, links) in sums.items()}
+    fused = {p: chars / n * (1 + marks / n) for p, (n, chars, marks, _) in sums.items()}
     out = {}
     for p, around in near.items():
         total = sum(around.values())
         beside = sum(fused[q] * m for q, m in around.items()) / total if total else fused[p]
-        out[p] = fused[p] * (0.75 + 0.25 * (beside / fused[p] if fused[p] else 0)) if fused[p] else 0.0
+        # the share of links is the path's own: good neighbours do not make up for it
+        out[p] = (0.75 * fused[p] + 0.25 * beside) * max(0.0, 1 - sums[p][3] / sums[p][1]) ** 2
     return out
 
 
