@@ -40,6 +40,8 @@ from pyspark.sql import functions as F
 from scriptorium.session import bounded_batches
 
 LETTERS, STEP = 48, 1 << 20
+#: Cosines of a text that is in no language are about 1 / sqrt(dims); those of short sentences are not much above.
+MIN_SCORE = 0.03
 _table: list[np.ndarray] = []
 
 
@@ -188,7 +190,7 @@ def identify(docs: DataFrame, model: Profiles) -> DataFrame:
     return docs.select(docs["doc_id"].cast("long"), docs["text"]).mapInArrow(run, "doc_id long, lang_pred string, score double")
 
 
-def keep_known(docs: DataFrame, model: Profiles, min_score: float = 0.1) -> DataFrame:
+def keep_known(docs: DataFrame, model: Profiles, min_score: float = MIN_SCORE) -> DataFrame:
     """The rows of ``docs``, all columns, that have a language with ``min_score`` or more."""
     bounded_batches(docs.sparkSession)
     shared, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index("text")

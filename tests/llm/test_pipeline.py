@@ -19,7 +19,7 @@ def test_pipeline_against_brute_force(spark):
     left = {}
     for r in docs.collect():
         lang, score = model.predict(r.text)
-        if lang != "und" and score >= 0.1:
+        if lang != "und" and score >= L.MIN_SCORE:
             left[r.doc_id] = r.text
     fps = {k: fingerprint_brute(t) for k, t in left.items()}
     label = brute_components(sorted(set(fps.values())))
