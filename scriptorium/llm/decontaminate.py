@@ -39,15 +39,15 @@ from pyspark.sql import functions as F
 
 from scriptorium.session import bounded_batches
 
-WIDTH, BLOCK, BITS = 5, 1 << 20, 20
+WIDTH, BLOCK, BITS, REMEMBERED = 5, 1 << 20, 20, 250_000
 _WORD, _GAP = re.compile(r"\w+"), re.compile(r"\W")
 _FACTORS = np.random.default_rng(5).integers(1 << 62, 1 << 63, WIDTH, np.uint64) | np.uint64(1)
 _seen: dict[str, int] = {}
 
 
 def word_hashes(words: list[str]) -> np.ndarray:
-    """64-bit hashes of words, remembered for up to half a million of them."""
-    if len(_seen) > 500_000:
+    """64-bit hashes of words, remembered for up to ``REMEMBERED`` of them."""
+    if len(_seen) > REMEMBERED:
         _seen.clear()
     for w in set(words).difference(_seen):
         _seen[w] = xxhash.xxh3_64_intdigest(w)
