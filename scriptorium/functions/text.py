@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import unicodedata
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import pandas as pd
 from pyspark.sql import Column
@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from scriptorium.functions import profiles as P
-from scriptorium.functions.profiles import DEVA, WHITE, ScriptProfile
+from scriptorium.functions.profiles import DEVA, WHITE, WHITE_CHARS, ScriptProfile
 
 ZERO_WIDTH = "[\u200b\u200c\u200d\ufeff\u2060]"
 DOUBLE_QUOTES = "[\u201c\u201d\u201e\u201f\u00ab\u00bb\u2039\u203a\"\u2033\u2036]"
@@ -32,9 +32,14 @@ def unicode_form(text: Column, form: str) -> Column:
     return normal(text)
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, with the value worked out once however often the body uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def strip(text: Column) -> Column:
     """Takes all Unicode white space off both ends."""
-    return F.regexp_replace(text, f"^{WHITE}+|{WHITE}+$", "")
+    return F.btrim(text, F.lit(WHITE_CHARS))
 
 
 def is_blank(text: Column) -> Column:
@@ -156,7 +161,7 @@ def is_doc_code(text: Column) -> Column:
 
 def count_of(text: Column, chars: str) -> Column:
     """How many characters are of the class ``[chars]``; null counts as empty."""
-    return F.length(F.regexp_replace(F.coalesce(text, F.lit("")), f"[^{chars}]", ""))
+    return let(F.coalesce(text, F.lit("")), lambda t: F.length(t) - F.length(F.regexp_replace(t, f"[{chars}]+", "")))
 
 
 def share(text: Column, chars: str) -> Column:
@@ -207,8 +212,7 @@ def quality_band(score: Column, edges: Sequence[float] = (0.4, 0.7), names: Sequ
 
 def is_noise(text: Column) -> Column:
     """Nothing but white space, punctuation and marks."""
-    t = strip(F.coalesce(text, F.lit("")))
-    return (t == "") | F.regexp_like(t, F.lit(NO_WORD))
+    return let(strip(F.coalesce(text, F.lit(""))), lambda t: (t == "") | F.regexp_like(t, F.lit(NO_WORD)))
 
 
 def is_heading(text: Column, profile: ScriptProfile = DEVA) -> Column:
@@ -216,11 +220,14 @@ def is_heading(text: Column, profile: ScriptProfile = DEVA) -> Column:
 
     For a script that has capitals itself, its letters do not count against it.
     """
-    t = strip(F.coalesce(text, F.lit("")))
-    capitals = (F.upper(t) == t) & (F.lower(t) != t)
-    if profile.name != "latin":
-        capitals = capitals & (count_of(t, profile.letters) == 0)
-    return (F.coalesce(text, F.lit("")) != "") & ((F.length(t) <= 2) | F.endswith(t, F.lit(":")) | capitals)
+
+    def of(t: Column) -> Column:
+        capitals = (F.upper(t) == t) & (F.lower(t) != t)
+        if profile.name != "latin":
+            capitals = capitals & (count_of(t, profile.letters) == 0)
+        return (F.length(t) <= 2) | F.endswith(t, F.lit(":")) | capitals
+
+    return (F.coalesce(text, F.lit("")) != "") & let(strip(F.coalesce(text, F.lit(""))), of)
 
 
 def is_table_fragment(text: Column) -> Column:
@@ -231,9 +238,8 @@ def is_table_fragment(text: Column) -> Column:
 
 def is_front_matter(text: Column, profile: ScriptProfile = DEVA) -> Column:
     """A publisher's banner anywhere, or a front-matter word in a text with next to none of the script."""
-    low = F.lower(text)
     plain = script_share(text, profile) <= 0.05
-    return contains_any(low, P.PUBLISHER_BANNERS) | (plain & contains_any(low, P.FRONT_MATTER))
+    return let(F.lower(text), lambda t: contains_any(t, P.PUBLISHER_BANNERS) | (plain & contains_any(t, P.FRONT_MATTER)))
 
 
 def worth_translating(text: Column, profile: ScriptProfile = DEVA, least: float = 0.05) -> Column:
@@ -254,15 +260,23 @@ def skips_quality(score: Column, least: Column | float) -> Column:
 
 def is_navigation(text: Column, profile: ScriptProfile = DEVA) -> Column:
     t = F.lower(collapse(F.replace(text, F.lit("\u00a0"), F.lit(" "))))
-    return t.isin(*P.NAVIGATION) | ((F.length(t) <= 2) & (count_of(t, profile.letters) == 0))
+    return let(t, lambda t: t.isin(*P.NAVIGATION) | ((F.length(t) <= 2) & (count_of(t, profile.letters) == 0)))
 
 
 def is_verse_line(line: Column, least: float = 0.25, profile: ScriptProfile = DEVA, marks: str = P.IAST_MARKS) -> Column:
     """The script dominates, or a delimiter stands by script or transliteration marks, or such marks are dense."""
-    t = strip(F.coalesce(line, F.lit("")))
-    n = F.greatest(F.length(t), F.lit(1))
-    own, iast = count_of(t, profile.letters), count_of(t, marks)
-    ends = count_of(t, f"{profile.minor}{profile.major}".replace("\n", "\\n"))
-    return (t != "") & (
-        ((own > 0) & (own / n >= least)) | ((ends > 0) & ((own > 0) | (iast > 0))) | ((iast >= 3) & (iast / n >= 0.02))
-    )
+    ends = f"{profile.minor}{profile.major}".replace("\n", "\\n")
+
+    def of(f: Column) -> Column:
+        dominant = (f.own > 0) & (f.own / f.n >= least)
+        return dominant | ((f.ends > 0) & ((f.own > 0) | (f.iast > 0))) | ((f.iast >= 3) & (f.iast / f.n >= 0.02))
+
+    def features(t: Column) -> Column:
+        return F.struct(
+            F.length(t).alias("n"),
+            count_of(t, profile.letters).alias("own"),
+            count_of(t, marks).alias("iast"),
+            count_of(t, ends).alias("ends"),
+        )
+
+    return let(strip(F.coalesce(line, F.lit(""))), lambda t: (t != "") & let(features(t), of))

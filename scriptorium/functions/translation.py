@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from scriptorium.functions import profiles as P
 from scriptorium.functions.profiles import DEVA, WHITE
-from scriptorium.functions.text import NO_WORD, contains_any, count_of, share, strip
+from scriptorium.functions.text import NO_WORD, contains_any, let, share, strip
 
 WORDS = f"{WHITE}+"
 
@@ -29,39 +29,53 @@ def overlap(source: Column, out: Column) -> Column:
 def is_boilerplate(text: Column, lang: str = "en") -> Column:
     """A refusal, a remark on the text, punctuation, or next to nothing."""
     raw = F.coalesce(text, F.lit(""))
-    t = F.lower(strip(raw))
-    out = (F.length(t) < 4) | F.regexp_like(t, F.lit(NO_WORD)) | contains_any(t, P.JUNK_PHRASES)
+    out = let(
+        F.lower(strip(raw)),
+        lambda t: (F.length(t) < 4) | F.regexp_like(t, F.lit(NO_WORD)) | contains_any(t, P.JUNK_PHRASES),
+    )
     return out | contains_any(raw, P.JUNK_PHRASES_HI) if lang == "hi" else out
 
 
 def is_export_junk(text: Column) -> Column:
     """The shorter list that exports use."""
-    t = strip(F.coalesce(text, F.lit("")))
-    return (t == "") | F.regexp_like(t, F.lit(NO_WORD)) | contains_any(F.lower(t), P.EXPORT_JUNK)
+    return let(
+        F.lower(strip(F.coalesce(text, F.lit("")))),
+        lambda t: (t == "") | F.regexp_like(t, F.lit(NO_WORD)) | contains_any(t, P.EXPORT_JUNK),
+    )
 
 
 def is_echo(source: Column, out: Column, lang: str = "en") -> Column:
     """Whether ``out`` is the source come back."""
-    o = strip(F.coalesce(out, F.lit("")))
-    own, digits = share(o, DEVA.letters), count_of(o, "\u0966-\u096f") > 0
-    if lang == "hi":
-        grammar, same = contains_any(o, P.HINDI_FUNCTION_WORDS), overlap(source, o)
-        echo = (~grammar & (F.length(o) > 30)) | (digits & (same > 0.4)) | (same > 0.6)
-        return (o != "") & (own >= 0.5) & echo
-    return (o != "") & (digits | (own > 0.5))
+    digits = lambda o: F.regexp_like(o, F.lit("[\u0966-\u096f]"))
+
+    def english(o: Column) -> Column:
+        return (o != "") & (digits(o) | (share(o, DEVA.letters) > 0.5))
+
+    def hindi(o: Column) -> Column:
+        grammar = contains_any(o, P.HINDI_FUNCTION_WORDS)
+        echo = let(overlap(source, o), lambda same: (~grammar & (F.length(o) > 30)) | (digits(o) & (same > 0.4)) | (same > 0.6))
+        return (o != "") & (share(o, DEVA.letters) >= 0.5) & echo
+
+    return let(strip(F.coalesce(out, F.lit(""))), hindi if lang == "hi" else english)
 
 
 def salvage(out: Column, lang: str = "en") -> Column:
     """What stands before the first caveat, up to its last full sentence, with `` […]``; unchanged without a caveat."""
-    t = strip(F.coalesce(out, F.lit("")))
     # the shortest head before any phrase is the one before the first
     quoted = "|".join(f"(?i:\\Q{p}\\E)" for p in P.JUNK_PHRASES + P.CAVEATS)
     if lang == "hi":
         quoted += "".join(f"|\\Q{p}\\E" for p in P.JUNK_PHRASES_HI + P.CAVEATS_HI)
-    head = F.regexp_extract(t, f"(?s)^(.*?)(?:{quoted})", 1)
-    kept = strip(F.regexp_extract(head, f"(?s)^(.*(?:[.\u0964\u0965!?](?:{WHITE}|$)|//))", 1))
-    sound = (F.length(kept) >= 15) & ~is_boilerplate(kept, lang) & ~is_echo(F.lit(""), kept, lang)
-    return F.when(~F.regexp_like(t, F.lit(quoted)), t).when(sound, F.concat(kept, F.lit(" […]"))).otherwise(F.lit(""))
+
+    def sound(kept: Column) -> Column:
+        good = (F.length(kept) >= 15) & ~is_boilerplate(kept, lang) & ~is_echo(F.lit(""), kept, lang)
+        return F.when(good, F.concat(kept, F.lit(" […]"))).otherwise(F.lit(""))
+
+    def of(t: Column) -> Column:
+        head = F.regexp_extract(t, f"(?s)^(.*?)(?:{quoted})", 1)
+        kept = strip(F.regexp_extract(head, f"(?s)^(.*(?:[.\u0964\u0965!?](?:{WHITE}|$)|//))", 1))
+        return F.when(~F.regexp_like(t, F.lit(quoted)), t).otherwise(let(kept, sound))
+
+    return let(strip(F.coalesce(out, F.lit(""))), of)
 
 
 def _bands(value: Column, cases: Sequence[tuple[str, float, float]]) -> Column:
@@ -75,27 +89,37 @@ def _bands(value: Column, cases: Sequence[tuple[str, float, float]]) -> Column:
 
 def translation_quality(source: Column, out: Column, lang: str = "en") -> Column:
     """A score of 0 to 1 by deductions: length ratio, script, glosses, slashes."""
-    t = strip(F.coalesce(out, F.lit("")))
-    n = F.length(t)
-    ratio = n / F.greatest(F.length(strip(F.coalesce(source, F.lit("")))), F.lit(1))
-    own, latin = share(t, DEVA.letters), share(t, "A-Za-z")
     pair = f"^{WHITE}*([^|/\n]{{2,60}}){WHITE}*\\|{WHITE}*([^|/\n]{{2,60}}){WHITE}*$"
-    left, right = (F.lower(strip(F.regexp_extract(t, pair, k))) for k in (1, 2))
-    lost = F.when(F.regexp_like(t, F.lit(pair)) & (left == right), 0.6).otherwise(0.0)
-    if lang == "hi":
-        lost = lost + _bands(ratio, [("below", 0.5, 0.4), ("below", 0.8, 0.15), ("above", 3.5, 0.3), ("above", 2.5, 0.1)])
-        lost = lost + _bands(own, [("below", 0.30, 0.5), ("below", 0.55, 0.2)])
-        lost = lost + _bands(latin, [("above", 0.25, 0.3), ("above", 0.12, 0.1)])
-    else:
-        lost = lost + _bands(ratio, [("below", 0.6, 0.4), ("below", 1.0, 0.15), ("above", 5.0, 0.3), ("above", 3.5, 0.1)])
-        lost = lost + _bands(own, [("above", 0.30, 0.5), ("above", 0.05, 0.2)])
+
+    def features(t: Column) -> Column:
+        n = F.length(t)
+        left, right = (F.lower(strip(F.regexp_extract(t, pair, k))) for k in (1, 2))
         slashes = (n - F.length(F.replace(t, F.lit(" / "), F.lit("")))) / 3
-        density = slashes / F.greatest(F.size(words(t)), F.lit(1))
-        lost = lost + _bands(density, [("above", 0.08, 0.2), ("above", 0.04, 0.1)])
-        lost = lost + F.when(latin == 0, 0.5).otherwise(0.0)
-    score = F.round(F.greatest(F.lit(0.0), F.least(F.lit(1.0), 1.0 - lost)), 3)
-    void = (t == "") | t.isin(*P.ILLEGIBLE) | is_boilerplate(t, lang) | is_echo(source, t, lang)
-    return F.when(void, F.lit(0.0)).otherwise(score)
+        return F.struct(
+            t.alias("t"),
+            (n / F.greatest(F.length(strip(F.coalesce(source, F.lit("")))), F.lit(1))).alias("ratio"),
+            share(t, DEVA.letters).alias("own"),
+            share(t, "A-Za-z").alias("latin"),
+            (F.regexp_like(t, F.lit(pair)) & (left == right)).alias("gloss"),
+            (slashes / F.greatest(F.size(words(t)), F.lit(1))).alias("density"),
+        )
+
+    def of(f: Column) -> Column:
+        lost = F.when(f.gloss, 0.6).otherwise(0.0)
+        if lang == "hi":
+            lost = lost + _bands(f.ratio, [("below", 0.5, 0.4), ("below", 0.8, 0.15), ("above", 3.5, 0.3), ("above", 2.5, 0.1)])
+            lost = lost + _bands(f.own, [("below", 0.30, 0.5), ("below", 0.55, 0.2)])
+            lost = lost + _bands(f.latin, [("above", 0.25, 0.3), ("above", 0.12, 0.1)])
+        else:
+            lost = lost + _bands(f.ratio, [("below", 0.6, 0.4), ("below", 1.0, 0.15), ("above", 5.0, 0.3), ("above", 3.5, 0.1)])
+            lost = lost + _bands(f.own, [("above", 0.30, 0.5), ("above", 0.05, 0.2)])
+            lost = lost + _bands(f.density, [("above", 0.08, 0.2), ("above", 0.04, 0.1)])
+            lost = lost + F.when(f.latin == 0, 0.5).otherwise(0.0)
+        score = F.round(F.greatest(F.lit(0.0), F.least(F.lit(1.0), 1.0 - lost)), 3)
+        void = (f.t == "") | f.t.isin(*P.ILLEGIBLE) | is_boilerplate(f.t, lang) | is_echo(source, f.t, lang)
+        return F.when(void, F.lit(0.0)).otherwise(score)
+
+    return let(let(strip(F.coalesce(out, F.lit(""))), features), of)
 
 
 def length_score(source: Column, out: Column) -> Column:

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from scriptorium.functions import profiles as P
-from scriptorium.functions.profiles import DEVA, WHITE, ScriptProfile
-from scriptorium.functions.text import ascii_digits, contains_any, count_of, delimiters, script_share, strip
+from scriptorium.functions.profiles import DEVA, WHITE, WHITE_CHARS, ScriptProfile
+from scriptorium.functions.text import ascii_digits, contains_any, count_of, delimiters, let, script_share, strip
 
 
 def _edge(profile: ScriptProfile) -> str:
@@ -18,24 +18,46 @@ def _edge(profile: ScriptProfile) -> str:
     return f"[{marks}{WHITE[1:-1]}]*"
 
 
-def verse_ref(text: Column, profile: ScriptProfile = DEVA) -> tuple[Column, Column]:
-    """The reference at a text's end, in ASCII digits (else null), and the text before it.
+def ref_and_text(text: Column, profile: ScriptProfile = DEVA) -> Column:
+    """``struct<ref, clean>``: the reference at a text's end, in ASCII digits (else null), and the text before it.
 
     ``a.b`` or ``a.b.c`` goes before a single number. A number of four digits gives
-    up its first digit to the text.
+    up its first digit to the text. Only what may belong to a reference is searched:
+    the characters at the end that are digits, points, delimiters or white space.
     """
-    whole = F.regexp_replace(text, f"{WHITE}+$", "")
     edge, number = _edge(profile), f"[{profile.digits}]{{1,3}}"
     dotted = f"{edge}({number})\\.({number})(?:\\.({number}))?{edge}$"
     single = f"{edge}({number}){edge}$"
-    parts = [ascii_digits(F.regexp_extract(whole, dotted, k), profile) for k in (1, 2, 3)]
-    is_dotted = F.regexp_like(whole, F.lit(dotted))
-    is_single = F.regexp_like(whole, F.lit(single))
-    ref = F.when(is_dotted, F.concat_ws(".", parts[0], parts[1], F.nullif(parts[2], F.lit("")))).when(
-        is_single, ascii_digits(F.regexp_extract(whole, single, 1), profile)
-    )
-    before = F.when(is_dotted, F.regexp_replace(whole, dotted, "")).when(is_single, F.regexp_replace(whole, single, ""))
-    return ref, F.when(before.isNull(), text).otherwise(F.regexp_replace(before, f"{WHITE}+$", ""))
+    digits = "".join(dict.fromkeys(profile.digits_from + profile.digits_to))
+    endings = digits + "." + profile.minor + profile.major + WHITE_CHARS
+
+    def of(s: Column) -> Column:
+        parts = [ascii_digits(F.regexp_extract(s.tail, dotted, k), profile) for k in (1, 2, 3)]
+        clean = lambda pattern: F.rtrim(F.concat(s.body, F.regexp_replace(s.tail, pattern, "")), F.lit(WHITE_CHARS))
+        pair = lambda ref, clean: F.struct(ref.alias("ref"), clean.alias("clean"))
+        return (
+            F.when(
+                F.regexp_like(s.tail, F.lit(dotted)),
+                pair(F.concat_ws(".", parts[0], parts[1], F.nullif(parts[2], F.lit(""))), clean(dotted)),
+            )
+            .when(
+                F.regexp_like(s.tail, F.lit(single)),
+                pair(ascii_digits(F.regexp_extract(s.tail, single, 1), profile), clean(single)),
+            )
+            .otherwise(pair(F.lit(None).cast("string"), text))
+        )
+
+    def split(whole: Column) -> Column:
+        body = F.rtrim(whole, F.lit(endings))
+        return F.struct(body.alias("body"), F.substring(whole, F.length(body) + 1, F.length(whole)).alias("tail"))
+
+    return let(let(F.rtrim(text, F.lit(WHITE_CHARS)), split), of)
+
+
+def verse_ref(text: Column, profile: ScriptProfile = DEVA) -> tuple[Column, Column]:
+    """The two fields of ``ref_and_text``."""
+    both = ref_and_text(text, profile)
+    return both["ref"], both["clean"]
 
 
 def chapter(text: Column, profile: ScriptProfile = DEVA, bare_number: bool = False) -> Column:
@@ -45,12 +67,17 @@ def chapter(text: Column, profile: ScriptProfile = DEVA, bare_number: bool = Fal
     such; ``bare_number`` gives the header's own.
     """
     pattern = f"({profile.chapter}){WHITE}*([{profile.digits}]*)"
-    head, number = F.regexp_extract(text, pattern, 1), F.regexp_extract(text, pattern, 2)
-    out = F.when(number != "", ascii_digits(number, profile)).otherwise(strip(head))
-    if bare_number:
-        own = ascii_digits(F.regexp_extract(head, f"([{profile.digits}]+)$", 1), profile)
-        out = F.when(own != "", own).otherwise(out)
-    return F.when(F.regexp_like(text, F.lit(profile.chapter)), out)
+
+    def of(hit: Column) -> Column:
+        # the hit is short, so the groups are searched for in it and not in the text again
+        head, number = F.regexp_extract(hit, pattern, 1), F.regexp_extract(hit, pattern, 2)
+        out = F.when(number != "", ascii_digits(number, profile)).otherwise(strip(head))
+        if bare_number:
+            own = ascii_digits(F.regexp_extract(head, f"([{profile.digits}]+)$", 1), profile)
+            out = F.when(own != "", own).otherwise(out)
+        return F.when(hit != "", out)
+
+    return let(F.regexp_extract(text, pattern, 0), of)
 
 
 def lines_with_text(text: Column) -> Column:
@@ -63,21 +90,23 @@ def text_kind(text: Column, profile: ScriptProfile = DEVA, anchored: bool = Fals
     A text of one or two lines with a chapter word is a colophon; ``anchored`` asks
     for the word at a line's start.
     """
-    t = F.coalesce(text, F.lit(""))
-    own = script_share(t, profile)
-    minor, major = delimiters(t, profile)
     header = f"(?m)^{WHITE}*{profile.chapter}" if anchored else profile.chapter
-    return (
-        F.when(strip(t) == "", "noise")
-        .when((own < 0.03) & (F.length(strip(t)) < 30), "noise")
-        .when((own < 0.05) & contains_any(F.lower(t), P.SEGMENT_FRONT_MATTER), "frontmatter")
-        .when(own < 0.05, "prose")
-        .when(F.regexp_like(t, F.lit(profile.colophon)), "colophon")
-        .when((lines_with_text(t) <= 2) & F.regexp_like(t, F.lit(header)), "colophon")
-        .when((own < 0.40) & F.regexp_like(t, F.lit(profile.commentary)), "tika")
-        .when((minor == 0) & (major == 0) & (own < 0.60), "prose")
-        .otherwise("mula")
-    )
+
+    def of(f: Column) -> Column:
+        t, own = f.t, f.own
+        return (
+            F.when((own < 0.03) & (F.length(strip(t)) < 30), "noise")
+            .when((own < 0.05) & contains_any(F.lower(t), P.SEGMENT_FRONT_MATTER), "frontmatter")
+            .when(own < 0.05, "prose")
+            .when(F.regexp_like(t, F.lit(profile.colophon)), "colophon")
+            .when((lines_with_text(t) <= 2) & F.regexp_like(t, F.lit(header)), "colophon")
+            .when((own < 0.40) & F.regexp_like(t, F.lit(profile.commentary)), "tika")
+            .when(~F.contains(t, F.lit(profile.minor)) & ~F.contains(t, F.lit(profile.major)) & (own < 0.60), "prose")
+            .otherwise("mula")
+        )
+
+    t = F.coalesce(text, F.lit(""))
+    return let(F.struct(t.alias("t"), script_share(t, profile).alias("own")), of)
 
 
 def syllables(text: Column, profile: ScriptProfile = DEVA) -> Column:
@@ -94,6 +123,10 @@ def metre(n: Column) -> Column:
     return out
 
 
+def metre_of(text: Column, profile: ScriptProfile = DEVA) -> Column:
+    return let(syllables(text, profile), metre)
+
+
 def padas(text: Column, kind: Column, profile: ScriptProfile = DEVA) -> Column:
     minor, major = delimiters(text, profile)
     return F.when(kind == "mula", minor + 2 * major).otherwise(0)

@@ -16,8 +16,14 @@ def _quoted(mark: str) -> str:
 
 def split_keeping(text: Column, mark: str) -> Column:
     """The parts of a text that end with ``mark``, and what is left; stripped, without blank ones."""
-    parts = F.split(text, f"(?<={_quoted(mark)})", -1)
-    return F.filter(F.transform(parts, T.strip), lambda p: p != "")
+    parts = F.transform(F.split(text, _quoted(mark), -1), lambda p, k: F.struct(p.alias("p"), k.alias("k")))
+    return T.let(
+        F.struct(parts.alias("parts"), F.size(parts).alias("n")),
+        lambda s: F.filter(
+            F.transform(s.parts, lambda x: T.strip(F.when(x.k + 1 < s.n, F.concat(x.p, F.lit(mark))).otherwise(x.p))),
+            lambda p: p != "",
+        ),
+    )
 
 
 def pair_halves(parts: Column, joint: str = "\n") -> Column:
@@ -55,12 +61,17 @@ def split_by_numbers(text: Column, profile: ScriptProfile = DEVA) -> Column:
 def segments(pages: DataFrame, keys: list[str], text: str = "norm", profile: ScriptProfile = DEVA) -> DataFrame:
     """Each page's parts: ``keys, pos, seg, seg_chapter, chapter`` in page order, before empty ones are dropped.
 
+    ``page_text`` is the page's whole text, at its first part alone.
+
     A chapter holds until the next one; before the first it is the first on the page.
     One partition by the page's keys serves all that follows.
     """
-    parts = pages.select(
-        *keys, V.chapter(F.col(text), profile).alias("page_chapter"), F.posexplode(verse_parts(F.col(text), profile)).alias("pos", "seg")
-    ).withColumn("seg_chapter", V.chapter(F.col("seg"), profile))
+    parts = (
+        pages.select(*keys, F.col(text).alias("page_text"), V.chapter(F.col(text), profile).alias("page_chapter"), verse_parts(F.col(text), profile).alias("parts"))
+        .select(*keys, "page_text", "page_chapter", F.posexplode("parts").alias("pos", "seg"))
+        .withColumn("page_text", F.when(F.col("pos") == 0, F.col("page_text")))
+        .withColumn("seg_chapter", V.chapter(F.col("seg"), profile))
+    )
     so_far = Window.partitionBy(*keys).orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
     running = F.coalesce(F.last("seg_chapter", ignorenulls=True).over(so_far), F.col("page_chapter"))
     return parts.withColumn("chapter", running).drop("page_chapter")
@@ -72,34 +83,31 @@ def segment_pages(pages: DataFrame, keys: list[str], text: str = "norm", profile
     Noise is dropped; a page that keeps nothing gives one prose passage, its whole
     text. ``idx`` counts from 0 within the keys.
     """
-    ref, clean = V.verse_ref(F.col("seg"), profile)
+    page = Window.partitionBy(*keys)
     kept = (
         segments(pages, keys, text, profile)
-        .select(*keys, "pos", "chapter", ref.alias("verse_ref"), T.strip(clean).alias("text"))
-        .filter(F.col("text") != "")
+        .select(*keys, "pos", "page_text", "chapter", V.ref_and_text(F.col("seg"), profile).alias("r"))
+        .select(*keys, "pos", "page_text", "chapter", F.col("r.ref").alias("verse_ref"), T.strip(F.col("r.clean")).alias("text"))
         .withColumn("text_type", V.text_kind(F.col("text"), profile))
-        .filter("text_type <> 'noise'")
-        .withColumn("chandas", F.when(F.col("text_type") == "mula", V.metre(V.syllables(F.col("text"), profile))))
-        .withColumn("padas", V.padas(F.col("text"), F.col("text_type"), profile))
-        .withColumn("quality_score", T.density_score(F.col("text"), profile))
+        .withColumn("kept", (F.col("text") != "") & (F.col("text_type") != "noise"))
+        .withColumn("n_kept", F.count_if("kept").over(page))
+        .filter(F.col("kept") | ((F.col("n_kept") == 0) & (F.col("pos") == 0)))
     )
-    rest = (
-        pages.filter(T.strip(F.coalesce(text, F.lit(""))) != "")
-        .join(kept.select(*keys).distinct(), keys, "left_anti")
-        .select(
-            *keys,
-            F.lit(0).alias("pos"),
-            F.lit(None).cast("string").alias("chapter"),
-            F.lit(None).cast("string").alias("verse_ref"),
-            F.col(text).alias("text"),
-            F.lit("prose").alias("text_type"),
-            F.lit(None).cast("string").alias("chandas"),
-            F.lit(0).alias("padas"),
-            T.passage_quality(F.col(text), profile).alias("quality_score"),
-        )
+    # a page without a passage left is one, as a whole
+    whole, null = F.col("n_kept") == 0, F.lit(None).cast("string")
+    mula = ~whole & (F.col("text_type") == "mula")
+    quality = F.when(whole, T.passage_quality(F.col("page_text"), profile)).otherwise(T.density_score(F.col("text"), profile))
+    return kept.select(
+        *keys,
+        (F.row_number().over(page.orderBy("pos")) - 1).alias("idx"),
+        F.when(whole, F.col("page_text")).otherwise(F.col("text")).alias("text"),
+        F.when(whole, null).otherwise(F.col("verse_ref")).alias("verse_ref"),
+        F.when(whole, null).otherwise(F.col("chapter")).alias("chapter"),
+        F.when(whole, "prose").otherwise(F.col("text_type")).alias("text_type"),
+        F.when(mula, V.metre_of(F.col("text"), profile)).alias("chandas"),
+        F.when(mula, V.padas(F.col("text"), F.col("text_type"), profile)).otherwise(0).alias("padas"),
+        quality.alias("quality_score"),
     )
-    order = Window.partitionBy(*keys).orderBy("pos")
-    return kept.unionByName(rest).withColumn("idx", F.row_number().over(order) - 1).drop("pos")
 
 
 def resegment(pages: DataFrame, doc: str, page: str, text: str, least: float = 0.4, profile: ScriptProfile = DEVA) -> DataFrame:
@@ -153,19 +161,19 @@ def greedy_chunks(lines: Column, most: int = 1200, keep: float | None = None, pr
     def flushed(state: Column) -> Column:
         return F.when(state.n > 0, F.array_append(state.done, state.cur)).otherwise(state.done)
 
-    def step(state: Column, raw: Column) -> Column:
-        line = T.collapse(raw)
-        size = F.length(line) + 1
+    def step(state: Column, x: Column) -> Column:
         make = lambda done, cur, n: F.struct(done.alias("done"), cur.alias("cur"), n.cast("int").alias("n"))
+        size = F.length(x.line) + 1
         return (
-            F.when(line == "", make(flushed(state), F.lit(""), F.lit(0)))
-            .when(F.startswith(line, F.lit("# ")), make(F.array_append(flushed(state), line), F.lit(""), F.lit(0)))
-            .when((state.n > 0) & (state.n + size > most), make(flushed(state), line, size))
-            .when(state.n > 0, make(state.done, F.concat(state.cur, F.lit("\n"), line), state.n + size))
-            .otherwise(make(state.done, line, size))
+            F.when((state.n > 0) & (x.line != "") & ~x.heading & (state.n + size <= most), make(state.done, F.concat(state.cur, F.lit("\n"), x.line), state.n + size))
+            .when(x.line == "", make(flushed(state), F.lit(""), F.lit(0)))
+            .when(x.heading, make(F.array_append(flushed(state), x.line), F.lit(""), F.lit(0)))
+            .otherwise(make(flushed(state), x.line, size))
         )
 
-    chunks = F.aggregate(lines, start, step, flushed)
+    # lines are tidied once, before the fold
+    tidy = F.transform(F.transform(lines, T.collapse), lambda x: F.struct(x.alias("line"), F.startswith(x, F.lit("# ")).alias("heading")))
+    chunks = F.aggregate(tidy, start, step, flushed)
     if keep is None:
         return chunks
     return F.filter(chunks, lambda c: F.startswith(c, F.lit("# ")) | (T.script_share(c, profile) >= keep))

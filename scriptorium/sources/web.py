@@ -105,17 +105,25 @@ def content_lines(html: Column, title: Column, profile: ScriptProfile = DEVA) ->
 
     A page without lines gives its title.
     """
-    texts = F.filter(tag_texts(html), lambda x: x.text != "")
-    first = F.greatest(F.array_position(F.transform(texts, lambda x: x.tag), "h1"), F.lit(1)).cast("int")
-    started = F.slice(texts, first, F.greatest(F.size(texts), F.lit(1)))
-    stops = F.array_position(F.transform(started, lambda x: F.lower(x.text).isin(*P.COMMENT_HEADINGS)), True).cast("int")
-    body = F.when(stops > 0, F.slice(started, 1, F.greatest(stops - 1, F.lit(0)))).otherwise(started)
-    kept = F.filter(body, lambda x: ~T.is_navigation(x.text, profile))
-    lines = F.transform(
-        kept, lambda x: F.when(x.tag.isin("h1", "h2", "h3", "h4"), F.concat(F.lit("# "), x.text)).otherwise(x.text)
-    )
     fallback = F.when(F.coalesce(title, F.lit("")) != "", F.array(F.concat(F.lit("# "), title))).otherwise(F.array().cast("array<string>"))
-    return F.when(F.size(lines) > 0, lines).otherwise(fallback)
+
+    def from_first(texts: Column) -> Column:
+        first = F.greatest(F.array_position(F.transform(texts, lambda x: x.tag), "h1"), F.lit(1)).cast("int")
+        return F.slice(texts, first, F.greatest(F.size(texts), F.lit(1)))
+
+    def up_to_comments(texts: Column) -> Column:
+        at = F.array_position(F.transform(texts, lambda x: F.lower(x.text).isin(*P.COMMENT_HEADINGS)), True).cast("int")
+        return T.let(at, lambda at: F.when(at > 0, F.slice(texts, 1, F.greatest(at - 1, F.lit(0)))).otherwise(texts))
+
+    def lines(texts: Column) -> Column:
+        return F.transform(
+            F.filter(texts, lambda x: ~T.is_navigation(x.text, profile)),
+            lambda x: F.when(x.tag.isin("h1", "h2", "h3", "h4"), F.concat(F.lit("# "), x.text)).otherwise(x.text),
+        )
+
+    texts = F.filter(tag_texts(html), lambda x: x.text != "")
+    found = T.let(T.let(T.let(texts, from_first), up_to_comments), lines)
+    return T.let(found, lambda found: F.when(F.size(found) > 0, found).otherwise(fallback))
 
 
 def plain_lines(text: Column, boilerplate: Sequence[str]) -> Column:
