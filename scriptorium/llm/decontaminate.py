@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scriptorium.session import bounded_batches
+from scriptorium.session import prepare_batches
 
 WIDTH, BLOCK, BITS, REMEMBERED = 5, 1 << 20, 20, 250_000
 _WORD, _GAP = re.compile(r"\w+"), re.compile(r"\W")
@@ -150,7 +150,7 @@ def containments(
 ) -> DataFrame:
     """``doc_id, item_id, n_shingles, n_found, containment``: a row for each document and item found in it."""
     spark = docs.sparkSession
-    bounded_batches(spark)
+    prepare_batches(spark)
     rows = docs.select(docs["doc_id"].cast("long"), docs["text"])
     out = None
     for index in item_blocks(benchmark, threshold, block_bytes):
@@ -177,7 +177,7 @@ def containments(
 
 def clean(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.8, block_bytes: int = 8 << 20) -> DataFrame:
     """The rows of ``docs``, all columns, that contain no item."""
-    bounded_batches(docs.sparkSession)
+    prepare_batches(docs.sparkSession)
     at = docs.columns.index("text")
     for index in item_blocks(benchmark, threshold, block_bytes):
         shared = docs.sparkSession.sparkContext.broadcast(index)

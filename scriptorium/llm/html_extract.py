@@ -33,7 +33,7 @@ from dataclasses import dataclass
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from scriptorium.session import bounded_batches
+from scriptorium.session import prepare_batches
 
 _TAG = re.compile(
     r"<!--.*?(?:--!?>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>|<(/?)([A-Za-z][^\s/>]*)([^>]*)>",
@@ -246,7 +246,7 @@ def main_text(page: str | None, outside: float = 0.1, within: float = 0.005) ->
 
 def extract(pages: DataFrame) -> DataFrame:
     """``page_id, url, text, n_chars`` of every row of ``pages``."""
-    bounded_batches(pages.sparkSession)
+    prepare_batches(pages.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

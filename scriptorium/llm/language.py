@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scriptorium.session import bounded_batches
+from scriptorium.session import prepare_batches
 
 LETTERS, STEP = 48, 1 << 20
 #: Cosines of a text that is in no language are about 1 / sqrt(dims); those of short sentences are not much above.
@@ -135,7 +135,7 @@ def sample(docs: DataFrame, train_docs: int) -> DataFrame:
 
 def learn(docs: DataFrame, dims: int = 1024, seed: int = 7, max_langs: int = 64) -> Profiles:
     """From columns ``text`` and ``lang``; rows without a language or without a letter teach nothing."""
-    bounded_batches(docs.sparkSession)
+    prepare_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
@@ -176,7 +176,7 @@ def learn(docs: DataFrame, dims: int = 1024, seed: int = 7, max_langs: int = 64)
 
 def identify(docs: DataFrame, model: Profiles) -> DataFrame:
     """``doc_id, lang_pred, score`` of every row of ``docs``."""
-    bounded_batches(docs.sparkSession)
+    prepare_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -192,7 +192,7 @@ def identify(docs: DataFrame, model: Profiles) -> DataFrame:
 
 def keep_known(docs: DataFrame, model: Profiles, min_score: float = MIN_SCORE) -> DataFrame:
     """The rows of ``docs``, all columns, that have a language with ``min_score`` or more."""
-    bounded_batches(docs.sparkSession)
+    prepare_batches(docs.sparkSession)
     shared, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index("text")
 
     def known(text: str | None) -> bool:

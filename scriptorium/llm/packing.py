@@ -39,7 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from scriptorium.llm.token_count import model_path, pieces
-from scriptorium.session import bounded_batches
+from scriptorium.session import prepare_batches
 
 CACHED = 600_000
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
@@ -213,7 +213,7 @@ def pack(
     """A row for each piece of each document, with its sequence and offset there."""
     if capacity & (capacity - 1):
         raise ValueError("the capacity is a power of two")
-    bounded_batches(docs.sparkSession)
+    prepare_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, end = encoder_at(model_path(vocabulary, folder)), pack_ids([end_id])

@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scriptorium.llm.words import word_blocks
-from scriptorium.session import Durable, bounded_batches
+from scriptorium.session import Durable, prepare_batches
 
 SYMBOLS = "#*$%&|<>"
 WHITE = " \t\n\v\f\r"
@@ -97,7 +97,7 @@ def figures(text: str | None) -> tuple[int, ...]:
 
 def document_figures(docs: DataFrame) -> DataFrame:
     """``doc_id, host`` and the figures of every row."""
-    bounded_batches(docs.sparkSession)
+    prepare_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

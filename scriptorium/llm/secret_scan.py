@@ -24,7 +24,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from scriptorium.session import bounded_batches
+from scriptorium.session import prepare_batches
 
 KINDS = ("assign", "access", "hex", "random")
 ASSIGN = re.compile(
@@ -98,7 +98,7 @@ def spans(text: str | None, enc, ratio: float = 2.0) -> list[tuple[str, int, int
 
 def scan(docs: DataFrame, vocabulary: str = "byte_bpe_50k.tiktoken", folder: str | None = None, ratio: float = 2.0) -> DataFrame:
     """``doc_id, spans array<struct<kind, start, end>>`` of every row of ``docs``."""
-    bounded_batches(docs.sparkSession)
+    prepare_batches(docs.sparkSession)
     item = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -140,7 +140,7 @@ def redact(
 
     ``n_chars``, where it is a column, follows the text.
     """
-    bounded_batches(docs.sparkSession)
+    prepare_batches(docs.sparkSession)
     at = docs.columns.index("text")
     chars = docs.columns.index("n_chars") if "n_chars" in docs.columns else None
 

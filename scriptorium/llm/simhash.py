@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from scriptorium.llm.words import word_blocks
-from scriptorium.session import Durable, bounded_batches
+from scriptorium.session import Durable, prepare_batches
 
 SHINGLE, SEED, RADIUS, LARGEST = 3, 42, 3, 256
 
@@ -66,7 +66,7 @@ def fingerprint(text: str | None) -> int:
 
 def fingerprints(docs: DataFrame) -> DataFrame:
     """``doc_id, fp`` (the 64 bits as a signed long) of every row."""
-    bounded_batches(docs.sparkSession)
+    prepare_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -20,7 +20,7 @@ from collections.abc import Iterable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from scriptorium.session import bounded_batches
+from scriptorium.session import prepare_batches
 
 SCHEMA = "doc_id long, n_bytes long, n_tokens long"
 _SAFE = re.compile(r"(?<=[A-Za-z]) (?=[A-Za-z])")
@@ -95,7 +95,7 @@ def token_counts(
     piece_bytes: int = 1 << 18,
 ) -> DataFrame:
     """``doc_id, n_bytes, n_tokens`` of every row of ``docs``."""
-    bounded_batches(docs.sparkSession)
+    prepare_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sp = processor(model, folder)
