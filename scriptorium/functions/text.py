@@ -13,11 +13,15 @@ from pyspark.sql.types import StringType
 from scriptorium.functions import profiles as P
 from scriptorium.functions.profiles import DEVA, WHITE, WHITE_CHARS, ScriptProfile
 
-ZERO_WIDTH = "[\u200b\u200c\u200d\ufeff\u2060]"
-DOUBLE_QUOTES = "[\u201c\u201d\u201e\u201f\u00ab\u00bb\u2039\u203a\"\u2033\u2036]"
-SINGLE_QUOTES = "[\u2018\u2019\u201a\u201b\u00b4\u0060\u2032\u2035]"
+ZERO_WIDTH = "\u200b\u200c\u200d\ufeff\u2060"
+DOUBLE_QUOTES = "\u201c\u201d\u201e\u201f\u00ab\u00bb\u2039\u203a\u2033\u2036"
+SINGLE_QUOTES = "\u2018\u2019\u201a\u201b\u00b4\u0060\u2032\u2035"
 DASHES = "[\u2012-\u2015]+"
-SPACES = "[ \t\u00a0\u1680\u2000-\u200a\u202f\u205f\u3000]+"
+_OTHER_SPACES = "\t\u00a0\u1680\u2000-\u200a\u202f\u205f\u3000"
+_OTHER_WHITE = WHITE[1:-1].replace(" ", "")
+#: Runs of space that are not one plain space already: single spaces are left alone, as most are.
+SPACES = f"[{_OTHER_SPACES}][ {_OTHER_SPACES}]*| [ {_OTHER_SPACES}]+"
+WHITE_RUNS = f"[{_OTHER_WHITE}]{WHITE}*| {WHITE}+"
 #: Nothing but punctuation, symbols and marks; letters and numbers are what remains.
 NO_WORD = r"^[^\p{L}\p{N}]+$"
 
@@ -59,17 +63,12 @@ def contains_any(text: Column, phrases: Sequence[str]) -> Column:
 
 def tidy(text: Column) -> Column:
     """The part of ``normalize`` that follows the Unicode form."""
-    out = F.coalesce(text, F.lit(""))
-    for pattern, by in (
-        ("\u00ad", ""),
-        (ZERO_WIDTH, ""),
-        ("\r\n?", "\n"),
-        (f"-{WHITE}*\n{WHITE}*", ""),
-        (DOUBLE_QUOTES, '"'),
-        (SINGLE_QUOTES, "'"),
-        (DASHES, "-"),
-        (SPACES, " "),
-    ):
+    quotes, apostrophes = len(DOUBLE_QUOTES), len(SINGLE_QUOTES)
+    # what becomes one character, then what goes
+    out = F.translate(
+        F.coalesce(text, F.lit("")), DOUBLE_QUOTES + SINGLE_QUOTES + "\u00ad" + ZERO_WIDTH, '"' * quotes + "'" * apostrophes
+    )
+    for pattern, by in (("\r\n?", "\n"), (f"-{WHITE}*\n{WHITE}*", ""), (DASHES, "-"), (SPACES, " ")):
         out = F.regexp_replace(out, pattern, by)
     return strip(out)
 
@@ -100,8 +99,8 @@ def normalize_record(text: Column, profile: ScriptProfile = DEVA) -> Column:
 
 def legacy_clean(text: Column, marks: str = "\u0964\u0965", hyphens: str = "-\u2010\u2011\u2012\u2013") -> Column:
     """NFC, without zero-width characters, delimiters as ``|``, hyphens as ``-``."""
-    out = F.regexp_replace(unicode_form(F.coalesce(text, F.lit("")), "NFC"), ZERO_WIDTH, "")
-    return strip(F.translate(out, marks + hyphens, "|" * len(marks) + "-" * len(hyphens)))
+    out = unicode_form(F.coalesce(text, F.lit("")), "NFC")
+    return strip(F.translate(out, marks + hyphens + ZERO_WIDTH, "|" * len(marks) + "-" * len(hyphens)))
 
 
 def strip_lines(text: Column) -> Column:
@@ -111,7 +110,7 @@ def strip_lines(text: Column) -> Column:
 
 def collapse(text: Column) -> Column:
     """Any white space becomes one space; ends are stripped."""
-    return strip(F.regexp_replace(text, f"{WHITE}+", " "))
+    return strip(F.regexp_replace(text, WHITE_RUNS, " "))
 
 
 def clean_for_translation(text: Column) -> Column:

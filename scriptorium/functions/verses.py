@@ -10,6 +10,7 @@ from pyspark.sql.types import StringType
 from scriptorium.functions import profiles as P
 from scriptorium.functions.profiles import DEVA, WHITE, WHITE_CHARS, ScriptProfile
 from scriptorium.functions.text import ascii_digits, contains_any, count_of, delimiters, let, script_share, strip
+from scriptorium.session import ship
 
 
 def _edge(profile: ScriptProfile) -> str:
@@ -228,6 +229,8 @@ def slp1(text: str) -> str:
 
 
 def _arrow(function):
+    ship()
+
     @F.pandas_udf(StringType())
     def run(texts: pd.Series) -> pd.Series:
         return texts.map(function, na_action="ignore")

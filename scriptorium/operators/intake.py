@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from scriptorium.functions import text as T
 from scriptorium.functions import verses as V
 from scriptorium.functions.profiles import DEVA, ScriptProfile
+from scriptorium.session import ship
 
 #: Reads an image: ``(content, dpi, language, preprocessing, layout) -> text``.
 Reader = Callable[[bytes, int, str, str, int], str]
@@ -36,6 +37,7 @@ def read_scans(
     Settings are tried in order: resolutions, then languages, preprocessing, layouts;
     the first text of ``max(20, min_chars)`` characters is taken, else the longest.
     """
+    ship(pages.sparkSession)
     steps = list(dict.fromkeys((dpi, min(450, max_dpi), max_dpi)))
     least = max(20, min_chars)
     ladder = [(d, g, p, y) for d in steps for g in langs for p in preprocs for y in layouts]

@@ -68,7 +68,9 @@ def segments(pages: DataFrame, keys: list[str], text: str = "norm", profile: Scr
     """
     parts = (
         pages.select(*keys, F.col(text).alias("page_text"), V.chapter(F.col(text), profile).alias("page_chapter"), verse_parts(F.col(text), profile).alias("parts"))
-        .select(*keys, "page_text", "page_chapter", F.posexplode("parts").alias("pos", "seg"))
+        # outer: for an inner one a filter on the array's size is pushed down, and works the array out again
+        .select(*keys, "page_text", "page_chapter", F.posexplode_outer("parts").alias("pos", "seg"))
+        .filter(F.col("pos").isNotNull())
         .withColumn("page_text", F.when(F.col("pos") == 0, F.col("page_text")))
         .withColumn("seg_chapter", V.chapter(F.col("seg"), profile))
     )
@@ -115,7 +117,8 @@ def resegment(pages: DataFrame, doc: str, page: str, text: str, least: float = 0
     header = f"(?m)^{WHITE}*\\[[^\\]]*\\]|COLLECTION|नीलमतपुराणम्|^{WHITE}*$"
     first = Window.partitionBy(doc).orderBy(page, "pos")
     return (
-        pages.select(doc, page, F.posexplode(split_by_numbers(F.col(text), profile)).alias("pos", "v"))
+        pages.select(doc, page, F.posexplode_outer(split_by_numbers(F.col(text), profile)).alias("pos", "v"))
+        .filter(F.col("pos").isNotNull())
         .withColumn("nth", F.row_number().over(first))
         .select(
             doc,

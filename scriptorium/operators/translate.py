@@ -13,6 +13,7 @@ from scriptorium.functions import translation as R
 from scriptorium.functions.profiles import DEVA, LEGACY_VERSION, PROMPT_VERSION, ScriptProfile
 from scriptorium.operators.blocks import running_sum
 from scriptorium.operators.upsert import first_wins
+from scriptorium.session import ship
 
 # --- context ------------------------------------------------------------------------------------
 
@@ -118,6 +119,8 @@ def dictionary_engine(terms: dict[str, str]) -> Engine:
 def run_engine(rows: DataFrame, engine: Engine, message: str, out: str = "output") -> DataFrame:
     """A column with the engine's answer to each message, batch by batch."""
 
+    ship(rows.sparkSession)
+
     @F.pandas_udf("string")
     def answer(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:

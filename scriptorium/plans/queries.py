@@ -400,7 +400,7 @@ def segments(spark, sf_dir):
 select doc_id, i as pos, a[2 * i + 1] || case when 2 * i + 2 <= len(a) then chr(10) || a[2 * i + 2] else '' end as pair from s, unnest(range(cast((len(a) + 1) // 2 as bigint))) as u(i)""")
 def half_verse_pairs(spark, sf_dir):
     halves = F.filter(F.transform(F.split(F.substring("text", 1, 400), r"\.", -1), T.strip), lambda x: x != "")
-    return documents(spark, sf_dir).select("doc_id", F.posexplode(segment.pair_halves(halves)).alias("pos", "pair"))
+    return documents(spark, sf_dir).select("doc_id", F.posexplode_outer(segment.pair_halves(halves)).alias("pos", "pair")).filter("pos is not null")
 
 
 @query(f"""with {_LINES}, h as (select * from lines where contains(line, 'th')),
@@ -415,7 +415,7 @@ def line_blocks(spark, sf_dir):
 @query()
 def greedy_chunks(spark, sf_dir):
     lines = F.transform(F.split("text", "\n", -1), lambda x: F.when(F.length(x) < 12, F.concat(F.lit("# "), x)).otherwise(x))
-    return documents(spark, sf_dir).select("doc_id", F.posexplode(segment.greedy_chunks(lines, 600)).alias("pos", "chunk"))
+    return documents(spark, sf_dir).select("doc_id", F.posexplode_outer(segment.greedy_chunks(lines, 600)).alias("pos", "chunk")).filter("pos is not null")
 
 
 @query("select c.doc_id, count(*) as n_clauses, coalesce(sum(len(c.w)), 0)::bigint as n_words from (select doc_id, list_filter(string_split_regex(unnest(string_split_regex(regexp_replace(text, '^\\s+|\\s+$', '', 'g'), '[|.\\n]+')), '\\s+'), lambda x: x <> '') as w from documents) c where len(c.w) > 0 group by 1")
@@ -826,7 +826,7 @@ def html_headings(spark, sf_dir):
 @query()
 def html_lines(spark, sf_dir):
     pages = table(spark, sf_dir, "pages").select("page_id", web.content_lines(F.col("html"), F.lit(None).cast("string"), LATIN).alias("lines"))
-    return pages.select("page_id", F.posexplode("lines").alias("pos", "line"))
+    return pages.select("page_id", F.posexplode_outer("lines").alias("pos", "line")).filter("pos is not null")
 
 
 @query("select page_id, url from pages where contains(lower(url || ' ' || substr(html, 1, 200)), 'blog.') order by url, page_id limit 30")

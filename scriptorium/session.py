@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -76,8 +77,30 @@ class Durable:
                 where.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
-def bounded_batches(spark: SparkSession, rows: int = 2000, size: int = 16 << 20) -> None:
-    """Keeps Arrow batches small where texts are long; leaves smaller settings alone."""
+def ship(spark: SparkSession | None = None) -> None:
+    """Sends this package to the executors, once for each Spark context.
+
+    Python functions there refer to the package's modules, which executors of a
+    cluster need not have on their path. The archive is served by the driver.
+    """
+    spark = spark or SparkSession.getActiveSession()
+    if spark is None or getattr(spark.sparkContext, "_scriptorium_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="scriptorium-"), "scriptorium.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for folder, _, names in os.walk(root):
+            for name in names:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    out.write(path, os.path.relpath(path, os.path.dirname(root)))
+    spark.sparkContext.addPyFile(archive)
+    spark.sparkContext._scriptorium_shipped = True
+
+
+def prepare_batches(spark: SparkSession, rows: int = 2000, size: int = 16 << 20) -> None:
+    """Before an Arrow function over texts: ``ship``, and batches of bounded size; smaller settings are left alone."""
+    ship(spark)
     for key, most in (
         ("spark.sql.execution.arrow.maxRecordsPerBatch", rows),
         ("spark.sql.execution.arrow.maxBytesPerBatch", size),

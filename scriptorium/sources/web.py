@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
+import html as references
 import re
 from collections.abc import Sequence
-from html.parser import HTMLParser
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from scriptorium.functions import profiles as P
 from scriptorium.functions import text as T
 from scriptorium.functions.profiles import DEVA, ScriptProfile
+from scriptorium.session import ship
 
 TAGS = ("h1", "h2", "h3", "h4", "p", "li", "blockquote", "pre")
 #: Elements and classes that hold no content.
@@ -44,55 +45,59 @@ def search_pages(pages: DataFrame, columns: Sequence[str], query: str, slug: str
     return found.limit(limit) if limit else found
 
 
-class _Lines(HTMLParser):
-    """Texts of the content tags in document order; nested ones repeat, as each tag gives its whole text."""
-
-    def __init__(self) -> None:
-        super().__init__(convert_charrefs=True)
-        self.open: list[list] = []
-        self.found: list[list] = []
-        self.dropped = 0
-        self.main = False
-
-    def handle_starttag(self, tag: str, attrs: list) -> None:
-        if tag in VOID:
-            return
-        classes = (dict(attrs).get("class") or "").split()
-        drops = tag in DROPPED_TAGS or not set(classes).isdisjoint(DROPPED_CLASSES)
-        self.dropped += drops
-        entry = [tag, drops, None]
-        if tag in TAGS and not self.dropped:
-            entry[2] = [tag, []]
-            self.found.append(entry[2])
-        self.open.append(entry)
-
-    def handle_endtag(self, tag: str) -> None:
-        if tag not in (e[0] for e in self.open):
-            return
-        while self.open:
-            name, drops, _ = self.open.pop()
-            self.dropped -= drops
-            if name == tag:
-                break
-
-    def handle_data(self, data: str) -> None:
-        if not self.dropped and data.strip():
-            for _, _, into in self.open:
-                if into:
-                    into[1].append(data.strip())
+_MARK = re.compile(
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(script|style)\b.*?(?:</\1\s*>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"]*\"|'[^']*')*+)>",
+    re.DOTALL | re.IGNORECASE,
+)
+_CLASSES = re.compile(r"""\bclass\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.IGNORECASE)
 
 
 def _tag_texts(page: str | None) -> list[dict[str, str]]:
-    parser = _Lines()
-    if page:
-        parser.feed(page)
-        parser.close()
-    return [{"tag": tag, "text": re.sub(r"\s+", " ", " ".join(parts)).strip()} for tag, parts in parser.found]
+    """Texts of the content tags in document order; nested ones repeat, as each tag gives its whole text."""
+    found: list[tuple[str, list[str]]] = []
+    opened: list[tuple] = []  # tag, whether it drops, where its text goes
+    dropped, at, page = 0, 0, page or ""
+
+    def say(raw: str) -> None:
+        text = references.unescape(raw).strip() if not dropped else ""
+        if text:
+            for _, _, into in opened:
+                if into is not None:
+                    into.append(text)
+
+    for mark in _MARK.finditer(page):
+        if mark.start() > at:
+            say(page[at : mark.start()])
+        at = mark.end()
+        if not mark[3]:
+            continue
+        tag = mark[3].lower()
+        if mark[2]:
+            if any(tag == t for t, *_ in opened):
+                while opened:
+                    name, drops, _ = opened.pop()
+                    dropped -= drops
+                    if name == tag:
+                        break
+        elif tag not in VOID:
+            classes = _CLASSES.search(mark[4] or "")
+            own = " ".join(filter(None, classes.groups())).split() if classes else ()
+            drops = tag in DROPPED_TAGS or not set(own).isdisjoint(DROPPED_CLASSES)
+            dropped += drops
+            into = None
+            if tag in TAGS and not dropped:
+                into = []
+                found.append((tag, into))
+            opened.append((tag, drops, into))
+    say(page[at:])
+    return [{"tag": tag, "text": re.sub(r"\s+", " ", " ".join(parts)).strip()} for tag, parts in found]
 
 
 def tag_texts(html: Column) -> Column:
     """``array<struct<tag, text>>`` of headings, paragraphs, items, quotes and preformatted texts outside of boilerplate."""
 
+    ship()
+
     @F.pandas_udf("array<struct<tag: string, text: string>>")
     def run(pages: pd.Series) -> pd.Series:
         return pages.map(_tag_texts)
