@@ -190,7 +190,7 @@ CHARS_PER_TOKEN = 4.0
 PROMPT_VERSION = "v2-2026-07-20"
 LEGACY_VERSION = "v1-legacy"
 
-# --- profiles -----------------------------------------------------------------------------------
+# --- profiles; their patterns and classes are fixed values too -----------------------------------------------------------------------------------
 
 
 @dataclass(frozen=True)

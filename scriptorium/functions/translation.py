@@ -13,6 +13,8 @@ from scriptorium.functions.profiles import DEVA, WHITE
 from scriptorium.functions.text import NO_WORD, contains_any, let, share, strip
 
 WORDS = f"{WHITE}+"
+#: Where a word begins and ends, whatever its script.
+_EDGE, _END = r"(?<![\p{L}\p{N}_])", r"(?![\p{L}\p{N}_])"
 
 
 def words(text: Column) -> Column:
@@ -167,19 +169,18 @@ def footnote_parts(escaped: Column) -> Column:
 
 def swap_term(text: Column, old: str, new: str) -> Column:
     """``new`` for the word ``old`` in any case: all capitals, a capital first, or as given."""
-    edge, end = r"(?<![\p{L}\p{N}_])", r"(?![\p{L}\p{N}_])"
-    out = F.regexp_replace(text, f"{edge}{old.upper()}{end}", new.upper())
-    out = F.regexp_replace(out, f"{edge}(?=\\p{{Lu}})(?iu:{old}){end}", new[0].upper() + new[1:].lower())
-    return F.regexp_replace(out, f"{edge}(?iu:{old}){end}", new)
+    out = F.regexp_replace(text, f"{_EDGE}{old.upper()}{_END}", new.upper())
+    out = F.regexp_replace(out, f"{_EDGE}(?=\\p{{Lu}})(?iu:{old}){_END}", new[0].upper() + new[1:].lower())
+    return F.regexp_replace(out, f"{_EDGE}(?iu:{old}){_END}", new)
 
 
-#: Rules in order: name, then steps of (pattern, replacement) or terms to swap.
+#: The style rules in order, by name, as patterns and replacements, and the terms to swap.
 STYLE_CLEAN = (("[\u200b\u200c\u200d\u200e\u200f\u202a-\u202e\u2060]", ""), (f"{WHITE}*\n+{WHITE}*", " "), (f"{WHITE}{{2,}}", " "))
 STYLE_STEPS = (
     ("strip:SfP", f"(?i)^{WHITE}*Stories from Panchatantra{WHITE}*[:\\-–—]?{WHITE}*", ""),
     ("strip:TaleOf", f"(?i)^{WHITE}*Tale of the{WHITE}+", ""),
-    ("diction:used_to_be", f"(?i)\\bThere{WHITE}+used{WHITE}+to{WHITE}+be\\b", "There was"),
-    ("diction:once_was", f"(?i)\\bThere{WHITE}+once{WHITE}+was\\b", "There was"),
+    ("diction:used_to_be", f"(?i){_EDGE}There{WHITE}+used{WHITE}+to{WHITE}+be{_END}", "There was"),
+    ("diction:once_was", f"(?i){_EDGE}There{WHITE}+once{WHITE}+was{_END}", "There was"),
 )
 STYLE_TERMS = {
     "common": (("bargad", "banyan"), ("nyagrodha", "banyan"), ("śṛgāla", "jackal"), ("shrigala", "jackal")),
@@ -210,11 +211,12 @@ def apply_terms(text: Column, terms: Sequence[tuple[str, str]]) -> Column:
     return out
 
 
+#: What opens a tale and goes, with what takes its place.
 OPENINGS = (
-    (f"(?i)^{WHITE}*There used to be\\b", "There was"),
-    (f"(?i)^{WHITE}*There was once\\b", "There was"),
+    (f"(?i)^{WHITE}*There used to be{_END}", "There was"),
+    (f"(?i)^{WHITE}*There was once{_END}", "There was"),
     (f"(?i)^{WHITE}*Once upon a time[,]?{WHITE}*", ""),
-    ("(?i)\\bThere (?:lived|resided)\\b", "lived"),
+    (f"(?i){_EDGE}There (?:lived|resided){_END}", "lived"),
 )
 
 

@@ -8,18 +8,20 @@ from pyspark.sql import functions as F
 from scriptorium.functions import verses as V
 from scriptorium.operators.reports import first_seen
 
-#: Words of a dictionary entry that tell a place's or people's kind; the first that fits.
-KIND_RULES = (
-    ("TRIBE", r"(?i)tribe|clan|people"),
-    ("LOC", r"(?i)country|region|kingdom|city|town|district"),
-    ("RIVER", r"(?i)river"),
-    ("MOUNTAIN", r"(?i)mountain|hill"),
+#: Words of a dictionary entry that tell a name's kind; the first kind that fits counts.
+KIND_WORDS = (
+    ("TRIBE", ("tribe", "people", "nation")),
+    ("LOC", ("city", "town", "capital", "kingdom")),
+    ("RIVER", ("river", "nadi", "nadī")),
+    ("MOUNTAIN", ("mountain", "parvata")),
 )
 
 
 def guess_kind(entry: Column) -> Column:
+    """The kind that a dictionary entry's words tell, or null."""
     out = F.lit(None).cast("string")
-    for kind, pattern in reversed(KIND_RULES):
+    for kind, words in reversed(KIND_WORDS):
+        pattern = rf"(?iu)(?<![\p{{L}}\p{{N}}_])(?:{'|'.join(words)})(?![\p{{L}}\p{{N}}_])"
         out = F.when(F.regexp_like(entry, F.lit(pattern)), kind).otherwise(out)
     return out
 

@@ -201,6 +201,39 @@ def test_gazetteer(spark):
     assert lines[0].startswith("<?xml") and lines[-1] == "</graph></graphml>" and len(lines) == 6
 
 
+def test_guess_kind(spark):
+    given = ["name of a people and a city", "a capital", "Nadī of the north", "a parvata", "peoples", None]
+    rows = spark.createDataFrame(list(enumerate(given)), "k int, e string")
+    got = rows.select("k", gazetteer.guess_kind(F.col("e")).alias("t")).orderBy("k").collect()
+    assert [r.t for r in got] == ["TRIBE", "LOC", "RIVER", "MOUNTAIN", None, None]
+
+
+def test_intake(spark):
+    from scriptorium.operators import intake
+
+    reader = lambda content, dpi, lang, preproc, psm: " x " * 10 if dpi == 450 and content == b"b" else "y"
+    got = {r.path: r for r in intake.read_scans(spark.createDataFrame([("a", b"a"), ("b", b"b")], "path string, content binary"), reader).collect()}
+    assert got["a"].text == "y" and got["b"].dpi == 450 and len(got["b"].text) >= 20
+    assert intake.read_scans(spark.createDataFrame([("a", b"a")], "path string, content binary")).first().text == ""
+    skips = spark.createDataFrame([([3, 1], [2, 3]), (None, [1])], "a array<bigint>, b array<bigint>")
+    assert sorted(r.s for r in skips.select(intake.merge_skips(F.col("a"), F.col("b")).alias("s")).collect()) == [[1], [1, 2, 3]]
+    found = spark.range(1).select(intake.analyse(F.lit("रामः।सीता")).alias("v")).first().v
+    assert found.normalized == "रामः । सीता" and found.clauses == [["रामः"], ["सीता"]]
+    pages = spark.createDataFrame([("p",), ("q",)], "slug string")
+    assert intake.pages_of(pages, ["p"]).count() == 1
+    with pytest.raises(LookupError):
+        intake.pages_of(pages, ["p", "z"])
+
+
+def test_corpus_tree(spark, tmp_path):
+    from scriptorium.operators import intake
+
+    for name in ("veda/a.pdf", "veda/b.pdf", "purana/c.pdf", "purana/d.txt"):
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_bytes(b"12")
+    assert {r.category: (r.n_files, r.bytes) for r in intake.corpus_tree(spark, str(tmp_path)).collect()} == {"veda": (2, 4), "purana": (1, 2)}
+
+
 def test_edition(spark):
     rows = spark.createDataFrame(
         [("d", 1, 0, "1", "1.1", "क", "ka", "First [i.e., one two] //"), ("d", 1, 1, "1", "1.2", "ख", None, "Second [see also this]"), ("d", 2, 0, "पर्व", None, "ग", None, "[lake] x")],
