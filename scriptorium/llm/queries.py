@@ -147,4 +147,61 @@ select conv_id, count(*)::bigint as n_turns,
     sha256(coalesce(string_agg(text, '' order by nth) filter (where role = 'assistant'), '')) as loss_sha256,
     sum(text_chars + case when opens then role_chars + 12 + 1 + 11 else 9 end)::bigint as formatted_chars
 from sized group by conv_id""",
+    "op9_decontaminate": """
+with docs as (select row_number() over () as r, doc_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]+') as a from documents),
+items as (
+    select row_number() over () as k, item_id, a, least(5, len(a)) as width
+    from (select item_id, regexp_extract_all(lower(text), '[\\p{L}\\p{N}_]+') as a from (select distinct item_id, text from benchmark)) where len(a) > 0
+),
+item_shingles as (
+    select distinct k, item_id, width, array_to_string(a[i + 1 : i + width], ' ') as s
+    from (select *, unnest(range(len(a) - width + 1)) as i from items)
+),
+sizes as (select k, count(*) as n_shingles from item_shingles group by k),
+doc_shingles as (
+    select distinct r, doc_id, width, array_to_string(a[i + 1 : i + width], ' ') as s
+    from (select r, doc_id, a, width, unnest(range(len(a) - width + 1)) as i from docs, (select distinct width from items))
+),
+found as (
+    select d.r, d.doc_id, i.k, i.item_id, count(*) as n_found
+    from doc_shingles d join item_shingles i on d.s = i.s and d.width = i.width group by 1, 2, 3, 4
+)
+select doc_id, item_id, n_shingles, n_found, n_found / n_shingles as containment
+from found join sizes using (k) where n_found >= 0.8 * n_shingles - 1e-9""",
+    "op5_quality_rules": """
+with docs as (select row_number() over () as r, doc_id, coalesce(source, '') as host, coalesce(text, '') as text from documents),
+words as (select r, regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+') as w from docs),
+windows as (
+    select r, i, array_to_string(w[i + 1 : i + 5], ' ') as s
+    from (select r, w, unnest(range(len(w) - 4)) as i from words)
+),
+twice as (select r, i from (select r, i, count(*) over (partition by r, s) as n from windows) where n > 1),
+repeats as (select r, count(distinct i + k) as n_repeat_words from (select r, i, unnest(range(5)) as k from twice) group by r),
+lines as (select r, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) as l from docs),
+figures as (
+    select r, doc_id, host, len(w) as n_words,
+        length(regexp_replace(text, '[\\x20\\x09-\\x0D]', '', 'g')) as word_chars,
+        length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) as n_symbols,
+        len(l) - len(list_distinct(l)) as n_dup_lines, coalesce(n_repeat_words, 0) as n_repeat_words, len(l) as n_lines,
+        length(text) - length(regexp_replace(text, '[A-ZÀ-ÖØ-Þ]', '', 'g')) as n_upper,
+        length(text) - length(regexp_replace(text, '[\\p{L}\\p{Nl}\\p{No}]', '', 'g')) as n_letters,
+        length(text) - length(replace(text, '!', '')) as n_shouts
+    from docs join words using (r) join lines using (r) left join repeats using (r)
+),
+judged as (
+    select *, n_words < 10 or 100 * n_repeat_words > 20 * n_words as base_failed,
+        10 * n_symbols > n_words or (n_dup_lines > 2 and 10 * n_dup_lines > 3 * n_lines) or 10 * n_upper > 5 * n_letters
+        or 10 * n_shouts > 3 * n_words or 10 * word_chars < 25 * n_words or word_chars > 15 * n_words as soft_failed
+    from figures
+),
+hosts as (select host, count(*) as n, count(*) filter (where base_failed or soft_failed) as f from judged group by host),
+mean as (
+    select sum(n)::double as n, sum(f)::double as f, count(*) as h, sum(f * f / n) as q, (sum(f) + 0.5) / (sum(n) + 1) as m from hosts
+),
+spread as (select m, greatest(0.0, q / n - (f / n) ** 2 - m * (1 - m) * h / n) as v from mean),
+prior as (select m, least(greatest(case when v > 1e-9 then m * (1 - m) / v - 1 else 1e4 end, 1.0), 1e4) as t from spread),
+rates as (select host, (f + m * t) / (n + t) as rate from hosts, prior)
+select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+    not base_failed and (rate <= 0.02 or (rate <= 0.8 and not soft_failed)) as kept
+from judged join rates using (host)""",
 }
