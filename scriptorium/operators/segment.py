@@ -18,9 +18,9 @@ def split_keeping(text: Column, mark: str) -> Column:
     """The parts of a text that end with ``mark``, and what is left; stripped, without blank ones."""
     parts = F.transform(F.split(text, _quoted(mark), -1), lambda p, k: F.struct(p.alias("p"), k.alias("k")))
     return T.let(
-        F.struct(parts.alias("parts"), F.size(parts).alias("n")),
-        lambda s: F.filter(
-            F.transform(s.parts, lambda x: T.strip(F.when(x.k + 1 < s.n, F.concat(x.p, F.lit(mark))).otherwise(x.p))),
+        parts,
+        lambda parts: F.filter(
+            F.transform(parts, lambda x: T.strip(F.when(x.k + 1 < F.size(parts), F.concat(x.p, F.lit(mark))).otherwise(x.p))),
             lambda p: p != "",
         ),
     )
@@ -28,9 +28,13 @@ def split_keeping(text: Column, mark: str) -> Column:
 
 def pair_halves(parts: Column, joint: str = "\n") -> Column:
     """First and second part, third and fourth, and so on, joined; an odd last part stays alone."""
-    starts = F.sequence(F.lit(0), F.size(parts) - 1, F.lit(2))
-    pairs = F.transform(starts, lambda i: F.array_join(F.slice(parts, i + 1, 2), joint))
-    return F.when(F.size(parts) > 0, pairs).otherwise(F.array().cast("array<string>"))
+
+    def of(parts: Column) -> Column:
+        starts = F.sequence(F.lit(0), F.size(parts) - 1, F.lit(2))
+        pairs = F.transform(starts, lambda i: F.array_join(F.slice(parts, i + 1, 2), joint))
+        return F.when(F.size(parts) > 0, pairs).otherwise(F.array().cast("array<string>"))
+
+    return T.let(parts, of)
 
 
 def verse_parts(text: Column, profile: ScriptProfile = DEVA) -> Column:

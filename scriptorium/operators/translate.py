@@ -21,19 +21,18 @@ from scriptorium.session import ship
 def preceding(rows: DataFrame, doc: str, order: Sequence[str], value: Column, n: int = 5, where: Column | None = None) -> DataFrame:
     """A column ``context``: the ``value`` of the last ``n`` earlier rows of the document that fit ``where``, in order.
 
-    The frame is bounded: ranks among the rows that fit number them, and a row's
-    context is the ``n`` ranks before its own, so no array holds a whole document.
+    The frame is bounded: each row that fits gathers the ``n`` up to itself, and other
+    rows take over the last such list, so no array holds a whole document. Both
+    windows run on one exchange by document.
     """
     where = F.lit(True) if where is None else where
     w = Window.partitionBy(doc).orderBy(*order)
-    ranked = rows.withColumn("__fits", F.coalesce(where, F.lit(False)).cast("int"))
-    ranked = ranked.withColumn("__before", F.coalesce(F.sum("__fits").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    # the last n values that fit, at each row that fits; carried on to rows that do not
+    ranked = rows.repartition(doc).withColumn("__fits", F.coalesce(where, F.lit(False)).cast("int"))
     fits = Window.partitionBy(doc, "__fits").orderBy(*order)
     own = F.collect_list(value).over(fits.rowsBetween(-(n - 1), 0))
     ranked = ranked.withColumn("__own", F.when(F.col("__fits") == 1, own))
     last = F.last("__own", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1))
-    return ranked.withColumn("context", F.coalesce(last, F.slice(F.array(value), 1, 0))).drop("__fits", "__before", "__own")
+    return ranked.withColumn("context", F.coalesce(last, F.slice(F.array(value), 1, 0))).drop("__fits", "__own")
 
 
 def candidates(
