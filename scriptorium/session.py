@@ -98,7 +98,7 @@ def ship(spark: SparkSession | None = None) -> None:
     spark.sparkContext._scriptorium_shipped = True
 
 
-def prepare_batches(spark: SparkSession, rows: int = 2000, size: int = 16 << 20) -> None:
+def prepare_batches(spark: SparkSession, rows: int = 1000, size: int = 4 << 20) -> None:
     """Before an Arrow function over texts: ``ship``, and batches of bounded size; smaller settings are left alone."""
     ship(spark)
     for key, most in (
