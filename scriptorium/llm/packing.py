@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from scriptorium.llm.token_count import model_path, pieces
 from scriptorium.session import prepare_batches
 
-CACHED = 600_000
+CACHED = 400_000
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 #: Outside this set of characters texts go to the library whole.
 _OTHER = re.compile("[^\t-\r -~À-ÖØ-öø-ÿ]")
