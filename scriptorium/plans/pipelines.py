@@ -10,6 +10,8 @@ from scriptorium.functions import verses as V
 from scriptorium.functions.profiles import DEVA, PROMPT_VERSION, ScriptProfile
 from scriptorium.operators import segment, translate, upsert
 from scriptorium.plans.catalog import Catalog
+from scriptorium.sources.files import page_from_name
+from scriptorium.streaming.intake import inbox, upsert_stream
 
 PASSAGES = {
     "doc": "string",
@@ -53,6 +55,16 @@ def ingest(catalog: Catalog, pages: DataFrame, profile: ScriptProfile = DEVA, ia
     return catalog.write("passages", upsert.upsert_passages(catalog.read("passages"), new))
 
 
+def ingest_inbox(catalog: Catalog, path: str, checkpoint: str, profile: ScriptProfile = DEVA) -> None:
+    """Ingests what is new in a folder of page files, batch by batch; a batch that is run again changes nothing."""
+
+    def apply(batch: DataFrame, _: int) -> None:
+        code = F.regexp_replace(F.regexp_replace("stem", "_norm$", ""), "_[0-9]+$", "")
+        ingest(catalog, batch.select(code.alias("doc"), page_from_name(F.col("stem")).alias("page_no"), "line", "text"), profile)
+
+    upsert_stream(inbox(catalog.spark, path), apply, checkpoint).awaitTermination()
+
+
 def translate_document(
     catalog: Catalog, doc: str, engine: translate.Engine, name: str, profile: ScriptProfile = DEVA, lang: str = "en", n_context: int = 5
 ) -> int:

@@ -13,7 +13,7 @@ from scriptorium.sources.files import RECORD, stem
 
 def inbox(spark: SparkSession, path: str, files_per_batch: int = 100) -> DataFrame:
     """New JSON-lines files of a folder as records, file by file."""
-    raw = spark.readStream.option("wholetext", True).option("maxFilesPerTrigger", files_per_batch).text(path)
+    raw = spark.readStream.option("maxFilesPerTrigger", files_per_batch).text(path, wholetext=True)
     lines = raw.select(F.input_file_name().alias("file"), F.posexplode(F.split("value", "\n", -1)).alias("line", "raw"))
     record = lines.filter(F.trim("raw") != "").select(stem(F.col("file")).alias("stem"), "line", F.from_json("raw", RECORD).alias("r"))
     return record.filter("r.text is not null").select("stem", "line", "r.*")

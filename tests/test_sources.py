@@ -139,6 +139,18 @@ def test_inbox_stream(spark, tmp_path):
     assert sorted(t for v in seen.values() for t in v) == ["t0", "t1", "t2"] and len(seen) == 3
 
 
+def test_inbox_is_ingested_once(spark, tmp_path):
+    catalog, box = Catalog(spark, f"{tmp_path}/catalog"), tmp_path / "in"
+    box.mkdir()
+    put(box / "gita_0001.jsonl", {"text": VERSES})
+    for _ in range(2):
+        pipelines.ingest_inbox(catalog, str(box), f"{tmp_path}/cp")
+    put(box / "gita_0002.jsonl", {"text": "अर्जुन उवाच ॥"}, {"text": "राम ॥"})
+    pipelines.ingest_inbox(catalog, str(box), f"{tmp_path}/cp")
+    got = catalog.read("passages").orderBy("page_no", "idx").collect()
+    assert [(r.doc, r.page_no, r.idx) for r in got] == [("gita", 1, 0), ("gita", 1, 1), ("gita", 2, 0), ("gita", 2, 1)]
+
+
 def test_streak_state(spark, tmp_path):
     rows = spark.createDataFrame([("d", k >= 4, k) for k in range(6)] + [("e", False, 0)], "doc string, ok boolean, seq long")
     rows.repartition(2).write.parquet(f"{tmp_path}/in")
