@@ -14,9 +14,11 @@ first; rows of one turn are ordered by role, then text; repeated rows are all
 kept; rows with a null ``conv_id`` form one conversation; an empty table gives an
 empty table; other columns are ignored.
 
-A conversation is one output value, so its rows must meet. Escaping runs on the
-rows, sorting on chunks of ``chunk`` turns, so that of a conversation with very
-many rows only sorted chunks meet in the last step.
+A conversation is one output value, so its rows must meet. Rows are gathered by
+chunks of ``chunk`` turns; sorting and escaping run on chunks. Most conversations
+are one chunk, and complete with that one shuffle; which are longer is known from
+their turn numbers alone. Their chunks meet in a second step: if there are up to
+``max_long`` of them, theirs alone, else those of all conversations.
 """
 
 from __future__ import annotations
@@ -47,7 +49,7 @@ def unescape_role(role: Column) -> Column:
     return unescape(F.replace(role, F.lit("<\\n>"), F.lit("\n")))
 
 
-def format_conversations(rows: DataFrame, loss_role: str = "assistant", chunk: int = 512) -> DataFrame:
+def format_conversations(rows: DataFrame, loss_role: str = "assistant", chunk: int = 512, max_long: int = 10_000) -> DataFrame:
     """``conv_id, formatted string, segments array<struct<text, loss>>``.
 
     The segments' texts concatenated are ``formatted``; ``loss`` marks those that
@@ -76,9 +78,21 @@ def format_conversations(rows: DataFrame, loss_role: str = "assistant", chunk: i
             ).alias("ts"),
         )
     )
-    whole = chunks.groupBy("conv_id").agg(
-        F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("chunk", "ts"))), lambda c: c.ts)).alias("ts")
-    )
+
+    def joined(parts: DataFrame) -> DataFrame:
+        ordered = F.array_sort(F.collect_list(F.struct("chunk", "ts")))
+        return parts.groupBy("conv_id").agg(F.flatten(F.transform(ordered, lambda c: c.ts)).alias("ts"))
+
+    places = rows.select(F.col("conv_id").alias("__long"), key.alias("chunk")).groupBy("__long")
+    long = places.agg(F.min("chunk").alias("a"), F.max("chunk").alias("b")).filter("a <> b").select("__long", F.lit(True).alias("__is"))
+    n_long = long.limit(max_long + 1).count()
+    if n_long == 0:
+        whole = chunks.select("conv_id", "ts")
+    elif n_long <= max_long:
+        marked = chunks.join(F.broadcast(long), F.col("conv_id").eqNullSafe(F.col("__long")), "left")
+        whole = marked.filter("__is is null").select("conv_id", "ts").unionByName(joined(marked.filter("__is is not null")))
+    else:
+        whole = joined(chunks)
     # where a run of one role starts, and where the next one does
     starts = F.filter(
         F.sequence(F.lit(0), F.size("ts") - 1),
@@ -116,7 +130,7 @@ def format_conversations(rows: DataFrame, loss_role: str = "assistant", chunk: i
     )
     return (
         whole.withColumn("starts", starts)
-        .select("conv_id", runs.alias("runs"), )
+        .select("conv_id", runs.alias("runs"))
         .select("conv_id", segments.alias("segments"))
         .select("conv_id", F.array_join(F.col("segments.text"), "").alias("formatted"), "segments")
     )

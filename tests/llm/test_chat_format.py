@@ -23,8 +23,8 @@ def brute(rows):
     return dict(sorted(out.items(), key=key))
 
 
-def check(spark, rows, chunk=512):
-    got = C.digests(C.format_conversations(spark.createDataFrame(rows, SCHEMA), chunk=chunk)).collect()
+def check(spark, rows, chunk=512, max_long=10_000):
+    got = C.digests(C.format_conversations(spark.createDataFrame(rows, SCHEMA), chunk=chunk, max_long=max_long)).collect()
     assert {r.conv_id: (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) for r in got} == brute(rows)
 
 
@@ -33,6 +33,8 @@ def test_control_strings_nulls_ties_and_repeats(spark):
     rows += [(7, None, "user", "x"), (7, 1, "assistant", "b"), (7, 1, "assistant", "a"), (7, 1, "assistant", "a"), (None, 0, "a\nb<|", "y")]
     check(spark, rows)
     check(spark, rows, chunk=2)
+    check(spark, rows, chunk=2, max_long=1)
+    check(spark, [r for r in rows if r[0] is not None and r[1] is not None])
 
 
 def test_adjacent_turns_share_a_block(spark):
