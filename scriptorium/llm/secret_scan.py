@@ -2,11 +2,12 @@
 
 A string that language or code uses is in a vocabulary's longer pieces; a random
 one falls into pieces of one or two characters. A candidate is a run of 20 or
-more characters of ``[A-Za-z0-9+/_=-]`` with letters of both cases and digits,
+more characters of ``[A-Za-z0-9+/_=-]``, of whatever letters and digits,
 which no pattern has found and which is not a known digest (``known``, sets of
-hex or base64 lengths with their alphabets) or an identifier (UUIDs, words joined
-by ``-``, ``_`` or ``/``, paths). It is a secret if it has at most ``ratio``
-characters for each token of a tiktoken vocabulary.
+hex or base64 lengths with their alphabets) or an identifier (UUIDs, numbers,
+words joined by ``-``, ``_`` or ``/``, paths; words are what the vocabulary reads
+in more than ``ratio`` characters a token). It is a secret if it has at most
+``ratio`` characters for each token of a tiktoken vocabulary.
 
 Spans are ``(kind, start, end)`` in code points, the end exclusive, ordered by
 start, then kind as in ``KINDS``. Defined results: a null text counts as empty
@@ -63,14 +64,19 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return found
 
 
-def named(word: str) -> bool:
+def named(word: str, enc, ratio: float) -> bool:
     """Whether ``word`` is a known digest or an identifier."""
     if DIGEST.fullmatch(word) or UUID.search(word):
         return True
     parts = [p for p in re.split(r"[-_/+=]+", word) if p]
+    parts = [p for p in parts if len(p) > 3] or parts  # versions and the like say nothing beside words
     pieces = [NAME_PART.findall(p) for p in parts]
     # in names words are long; random strings change between cases and digits every few characters
-    return all(len(x) <= 1 + len(p) // 5 for p, x in zip(parts, pieces, strict=True))
+    if any(len(x) > 1 + len(p) // 5 for p, x in zip(parts, pieces, strict=True)):
+        return False
+    # letters of one case look like one long word, so the vocabulary must know the words too
+    words = [x for found in pieces for x in found if x.isalpha()]
+    return sum(map(len, words)) > ratio * sum(len(enc.encode_ordinary(x)) for x in words) or not words
 
 
 def random_spans(text: str, taken: list[tuple[str, int, int]], enc, ratio: float) -> list[tuple[str, int, int]]:
@@ -78,9 +84,7 @@ def random_spans(text: str, taken: list[tuple[str, int, int]], enc, ratio: float
     found = []
     for m in CANDIDATE.finditer(text):
         word = m.group()
-        if not (any(c.isdigit() for c in word) and word.lower() != word and word.upper() != word):
-            continue
-        if any(s < m.end() and m.start() < e for _, s, e in taken) or named(word):
+        if any(s < m.end() and m.start() < e for _, s, e in taken) or named(word, enc, ratio):
             continue
         # long runs are tested by stretches, so that plain parts do not hide a random one
         stretches = [word[k : k + 64] for k in range(0, max(1, len(word) - 19), 32)]

@@ -65,6 +65,20 @@ def test_random_strings(spark):
     assert not any(S.spans(n, enc) for n in names)
 
 
+def test_random_strings_of_every_alphabet():
+    enc, rng = S.encoding(), random.Random(11)
+    upper, digits = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+    for alphabet in (upper.lower() + digits, upper + "234567", upper + upper.lower(), upper, upper.lower()):
+        made = ["".join(rng.choices(alphabet, k=32)) for _ in range(300)]
+        assert sum([s[0] for s in S.spans(f"see {x} there", enc)] == ["random"] for x in made) >= 285, alphabet
+    clean = [
+        "anticonstitutionnellement", "Donaudampfschifffahrtsgesellschaft", "internationalization", "MAXIMUM_CONNECTION_TIMEOUT_SECONDS",
+        "build/v10-b12-rc3-linux64", "articles/about-the-history-of-printing", "getUserAccountByPrimaryEmail", "--------------------",
+        "2024-01-02/2024-02-03/17", "12345678901234567890", "src/main/resources/templates/header",
+    ]
+    assert [x for x in clean if S.spans(x, enc)] == []
+
+
 def test_redact(spark):
     rows = docs_of(spark, SECRET).withColumn("spans", F.lit(1))
     got = {r.doc_id: r for r in S.redact(rows).collect()}
