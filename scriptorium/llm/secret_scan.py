@@ -6,8 +6,11 @@ more characters of ``[A-Za-z0-9+/_=-]``, of whatever letters and digits,
 which no pattern has found and which is not a known digest (``known``, sets of
 hex or base64 lengths with their alphabets) or an identifier (UUIDs, numbers,
 words joined by ``-``, ``_`` or ``/``, paths; words are what the vocabulary reads
-in more than ``ratio`` characters a token). It is a secret if it has at most
-``ratio`` characters for each token of a tiktoken vocabulary.
+in more than ``ratio`` characters a token). UUIDs, digests and what the patterns
+found are cut out of a run, and what is left is a run again. A part between
+separators, or the shortest stretch of parts with 20 characters, is a secret if it
+has at most ``ratio`` characters for each token of a tiktoken vocabulary; so is a
+part with a window of 20 characters that has at most 0.85 of that.
 
 Spans are ``(kind, start, end)`` in code points, the end exclusive, ordered by
 start, then kind as in ``KINDS``. Defined results: a null text counts as empty
@@ -33,9 +36,16 @@ ASSIGN = re.compile(
 )
 ACCESS = re.compile("AKIA[A-Z0-9]+")
 HEX = re.compile("[0-9a-f]{24,}")
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
+LEAST, LONG = 20, 64
+CANDIDATE = re.compile(rf"[A-Za-z0-9+/_=-]{{{LEAST},}}")
+PART = re.compile(r"[A-Za-z0-9+]+")
 #: Digests that are no secrets: MD5, SHA-1, SHA-256, SHA-512 in capital hex; subresource integrity values.
 DIGEST = re.compile(r"(?:[0-9A-F]{32}|[0-9A-F]{40}|[0-9A-F]{64}|[0-9A-F]{128}|sha(?:256|384|512)-[A-Za-z0-9+/]+={0,2})")
+#: The same as parts of a run, by their exact lengths.
+PART_DIGEST = re.compile(
+    r"(?<![A-Za-z0-9])(?:(?:[0-9A-F]{128}|[0-9A-F]{64}|[0-9A-F]{40}|[0-9A-F]{32})(?![A-Za-z0-9])"
+    r"|sha(?:256-[A-Za-z0-9+/]{43}|384-[A-Za-z0-9+/]{64}|512-[A-Za-z0-9+/]{86})(?![A-Za-z0-9+])={0,2})"
+)
 UUID = re.compile(r"[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}")
 #: Parts that people name things by: a word in one case or capitalised, or a number.
 NAME_PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]{1,8}")
@@ -66,7 +76,7 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
 
 def named(word: str, enc, ratio: float) -> bool:
     """Whether ``word`` is a known digest or an identifier."""
-    if DIGEST.fullmatch(word) or UUID.search(word):
+    if DIGEST.fullmatch(word) or len(set(word)) < 5:  # lines and masks repeat a few characters
         return True
     parts = [p for p in re.split(r"[-_/+=]+", word) if p]
     parts = [p for p in parts if len(p) > 3] or parts  # versions and the like say nothing beside words
@@ -75,21 +85,79 @@ def named(word: str, enc, ratio: float) -> bool:
     if any(len(x) > 1 + len(p) // 5 for p, x in zip(parts, pieces, strict=True)):
         return False
     # letters of one case look like one long word, so the vocabulary must know the words too
-    words = [x for found in pieces for x in found if x.isalpha()]
-    return sum(map(len, words)) > ratio * sum(len(enc.encode_ordinary(x)) for x in words) or not words
+    words = [x for p, found in zip(parts, pieces, strict=True) if len(p) > 3 for x in found if x.isalpha()]
+    # joined words are names even if the vocabulary knows their language little
+    least = ratio if len(parts) == 1 else 0.75 * ratio
+    return sum(map(len, words)) > least * sum(len(enc.encode_ordinary(x)) for x in words) or not words
+
+
+def rest(word: str, taken: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    """What is left of a run without ``taken``, UUIDs and digests, where it is long enough to be a candidate."""
+    cut = taken + [m.span() for pattern in (UUID, PART_DIGEST) for m in pattern.finditer(word)]
+    at = 0
+    for start, end in [*sorted(cut), (len(word), len(word))]:
+        if start - at >= LEAST:
+            yield at, start
+        at = max(at, end)
+
+
+def random_parts(word: str, enc, ratio: float) -> list[tuple[int, int]]:
+    """The random stretches of a run, from separator to separator.
+
+    Tested are each part between separators, the shortest stretches of parts that are long
+    enough (separators may be characters of a secret), and windows inside of long parts. Plain
+    words in the same run thus do not hide a random part.
+    """
+
+    def hit(start: int, end: int, most: float = ratio) -> bool:
+        x = word[start:end]
+        return len(x) <= most * len(enc.encode_ordinary(x)) and not named(x, enc, most)
+
+    parts = [m.span() for m in PART.finditer(word)]
+    hits = set()  # first and last part
+    for k, (start, end) in enumerate(parts):
+        if end - start >= LEAST:
+            # stretches, as the vocabulary takes long to read what has no end
+            stretches = ((x, min(x + LONG, end)) for x in range(start, end - LEAST + 1, LONG // 2))
+            # words are cut at a window's ends, which costs tokens
+            windows = (min(x, end - LEAST) for x in range(start, end - LEAST + 4, 4))
+            if any(hit(*x) for x in stretches) or any(hit(x, x + LEAST, 0.85 * ratio) for x in windows):
+                hits.add((k, k))
+            continue
+        up = next((j for j in range(k, len(parts)) if parts[j][1] - start >= LEAST), None)
+        down = next((j for j in range(k, -1, -1) if end - parts[j][0] >= LEAST), None)
+        for i, j in {(k, up), (down, k)}:
+            if i is not None and j is not None and parts[j][1] - parts[i][0] <= LONG and hit(parts[i][0], parts[j][1]):
+                while i < j and plain(word[slice(*parts[i])], enc, ratio):
+                    i += 1
+                while i < j and plain(word[slice(*parts[j])], enc, ratio):
+                    j -= 1
+                hits.add((i, j))
+    out: list[tuple[int, int]] = []
+    for i, j in sorted(hits):
+        start, end = parts[i][0], parts[j][1]
+        if out and start <= out[-1][1] + 8:  # a part between that looks like a word is one by chance
+            out[-1] = (out[-1][0], max(out[-1][1], end))
+        else:
+            out.append((start, end))
+    return [(s, min(len(word), e + len(word[e:]) - len(word[e:].lstrip("=")))) for s, e in out]
+
+
+def plain(part: str, enc, ratio: float) -> bool:
+    """Whether a part at the end of a random stretch is a word beside it."""
+    return len(part) > 3 and named(part, enc, ratio)
 
 
 def random_spans(text: str, taken: list[tuple[str, int, int]], enc, ratio: float) -> list[tuple[str, int, int]]:
     """Candidates outside ``taken`` that the token-efficiency test finds."""
     found = []
     for m in CANDIDATE.finditer(text):
-        word = m.group()
-        if any(s < m.end() and m.start() < e for _, s, e in taken) or named(word, enc, ratio):
+        word, at = m.group(), m.start()
+        if DIGEST.fullmatch(word):
             continue
-        # long runs are tested by stretches, so that plain parts do not hide a random one
-        stretches = [word[k : k + 64] for k in range(0, max(1, len(word) - 19), 32)]
-        if any(len(x) <= ratio * len(enc.encode_ordinary(x)) for x in stretches):
-            found.append(("random", m.start(), m.end()))
+        inside = [(max(s - at, 0), min(e - at, len(word))) for _, s, e in taken if s < m.end() and at < e]
+        for left, right in rest(word, inside):
+            found += [("random", at + left + s, at + left + e) for s, e in random_parts(word[left:right], enc, ratio)]
     return found
 
 
