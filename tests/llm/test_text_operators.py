@@ -226,6 +226,20 @@ def test_held_out_accuracy_and_odd_rows(spark):
     assert 120 < sampled < 300
 
 
+def test_gibberish_goes_and_clean_texts_stay(spark):
+    from scriptorium.llm.queries import held_out, language_model
+
+    docs = table(spark, "/root/testdata/sf0.01", "documents")
+    model = language_model(docs)
+    rng = random.Random(13)
+    alphabets = ["abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", "bcdfghjklmnpqrstvwxz", "".join(map(chr, range(0x4E00, 0x9FA5)))]
+    made = [" ".join("".join(rng.choices(a, k=rng.randint(3, 10))) for _ in range(n)) for a in alphabets for n in (20, 200, 2000) for _ in range(20)]
+    assert L.keep_known(docs_of(spark, made), model).count() <= 0.02 * len(made)
+    clean = docs.filter(held_out() & F.col("text").rlike("[a-z]"))
+    assert L.keep_known(clean, model).count() >= 0.995 * clean.count()
+    assert L.least_score(1) == L.MIN_SCORE and L.least_score(10**7) == L.MIN_MOST
+
+
 def test_digest_columns(spark):
     from scriptorium.llm.queries import op3_secret_scan
 
