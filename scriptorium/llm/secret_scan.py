@@ -133,6 +133,8 @@ def random_parts(word: str, enc, ratio: float) -> list[tuple[int, int]]:
                 while i < j and plain(word[slice(*parts[j])], enc, ratio):
                     j -= 1
                 hits.add((i, j))
+    if not hits and LEAST <= len(word) <= LONG and hit(0, len(word)):
+        return [(0, len(word))]  # separators at the ends may be characters of it, too
     out: list[tuple[int, int]] = []
     for i, j in sorted(hits):
         start, end = parts[i][0], parts[j][1]
