@@ -296,9 +296,102 @@ def test_pages_against_their_articles(spark):
         assert r.text == " ".join(want.split()) and r.n_chars == len(r.text) and r.url == pages[r.page_id].url
 
 
+def scores_brute(blocks):
+    """Scores by path of ``(path, text, links)``, a path being a tuple of elements; for pages without names or articles."""
+    by = {}
+    for path, text, links in blocks:
+        by.setdefault(path, []).append((len(text), sum(c in ",.;:!?" for c in text), links))
+    mean = lambda path, k: sum(x[k] for x in by[path]) / len(by[path])
+
+    def median(k):
+        weighted = sorted((mean(path, k), sum(x[0] - x[2] for x in by[path])) for path in by)
+        at = np.cumsum([w for _, w in weighted])
+        return weighted[int(np.searchsorted(at, at[-1] / 2))][0]
+
+    length, marks = median(0), median(1)
+    fused = {path: min(1, (mean(path, 0) / length) ** 0.5) * (1 + (min(1, (mean(path, 1) / marks) ** 0.5) if marks else 1)) / 2 for path in by}
+    out = {}
+    for path in by:
+        around = []
+        for k, (other, *_) in enumerate(blocks):
+            if other == path:
+                around += [blocks[j][0] for j in (k - 1, k + 1) if 0 <= j < len(blocks)]
+        same = lambda a, b: next((i for i, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
+        weights = [1.0 if q == path else same(path, q) / max(len(path), len(q)) for q in around]
+        near = sum(w * fused[q] for w, q in zip(weights, around, strict=True)) / sum(weights) if sum(weights) else fused[path]
+        share = sum(x[2] for x in by[path]) / sum(x[0] for x in by[path])
+        out[path] = (0.7 * fused[path] + 0.3 * near) ** 2 * (1 - share) ** 2
+    return out
+
+
+def test_path_scores_against_brute_force():
+    rng = random.Random(7)
+    for _ in range(200):
+        blocks, page, path = [], [], ["html", "body"]
+        page.append("<html><body>")
+        for _ in range(rng.randint(1, 40)):
+            if rng.random() < 0.3 and len(path) < 6:
+                path.append(rng.choice(["div", "section", "div.a", "blockquote"]))
+                page.append("<" + path[-1].replace(".a", " class='a b'") + ">")
+            elif rng.random() < 0.3 and len(path) > 2:
+                page.append(f"</{path.pop().split('.')[0]}>")
+            else:
+                text = "".join(rng.choices("ab,.", k=rng.randint(1, 80)))
+                linked = rng.random() < 0.3
+                page.append("<p>" + (f"<a href='x'>{text}</a>" if linked else text) + "</p>")
+                blocks.append(((*path, "p"), text, len(text) if linked else 0))
+        reader = H.Reader("".join(page))
+        assert [b.text for b in reader.blocks] == [b[1] for b in blocks]
+        if blocks and any(len(b[1]) > b[2] for b in blocks):
+            got, want = H.path_scores(reader.blocks, reader.paths), scores_brute(blocks)
+            assert {path: got[b.path] for b, (path, *_) in zip(reader.blocks, blocks, strict=True)} == pytest.approx(want)
+
+
+def test_ratios_select_without_names_and_articles(spark):
+    import html
+
+    bare = right = without = total = 0
+    for r in table(spark, "/root/testdata/sf0.01", "pages").collect():
+        article = re.search(r"<article>(.*?)</article>", r.html, re.DOTALL)[1]
+        want = " ".join(html.unescape(re.sub(r"<[^>]*>", "", re.sub(r"</?(p|h1|br)>", " ", article))).split())
+        page = re.sub("<(/?)(article|nav|footer)>", r"<\1div>", r.html).replace(' class="ad"', "")
+        total += 1
+        bare += H.main_text(page) == want
+        without += want in H.main_text(page)
+        right += H.main_text(r.html, share=0) != want  # with no threshold menus, adverts and footers stay
+    assert right == total and without >= 0.99 * total and bare >= 0.5 * total
+
+
+def test_names_of_ids_and_long_blocks():
+    related = f'<article><h2 id="related-work">Related work</h2><p id="comments">{LONG}</p><h2 id="legal-issues">Legal</h2><p>{LONG}</p></article>'
+    assert H.main_text(related) == f"Related work {LONG} Legal {LONG}"
+    code = "".join(f"x[{k}] = f(y, z); " for k in range(500)).strip()
+    page = "<article>" + f"<p>{LONG}</p>" * 150 + f"<pre>{code}</pre><table>" + "<tr><td>1<td>2" * 50 + "</table></article>"
+    assert H.main_text(page) == " ".join([*[LONG] * 150, code, *["1 2"] * 50])
+    bare = page.replace("article>", "div>").split("<table>")[0]
+    assert H.main_text(f"<div class=top><p>Home</p></div>{bare}") == " ".join([*[LONG] * 150, code])
+    cards = "<div class=box>" + "".join(f"<article><a href=/{k}>See {k}</a></article>" for k in range(9)) + "</div>"
+    assert H.main_text(f"<body><div class=text><p>{LONG}</p><p>{LONG}</p></div>{cards}</body>") == f"{LONG} {LONG}"
+
+
+@pytest.mark.parametrize("page", [
+    "<b>" * 150_000 + "</i>" * 150_000, "<div>" * 250_000 + "x", "<li>x" * 200_000, "<ul><div>" + "<div>" * 50_000 + "<li></li>" * 50_000,
+    "<i><div>" + "<b>" * 100_000 + "</i>" * 100_000, "<b>" * 60_000 + "<div></div>" * 60_000, '<b x="<b" x="' * 60_000 + ">",
+    "<script>" + "</script " * 90_000 + ">", '<a b="' * 150_000 + ">", "<div>x" * 150_000, ("<div>" * 30 + "x" + "</div>" * 30 + "y") * 3000, "&" * 1_000_000, "<" * 1_000_000,
+])
+def test_long_and_broken_pages_take_linear_time(page):
+    import time
+
+    began = time.perf_counter()
+    H.main_text(page)
+    assert time.perf_counter() - began < 10
+
+
 def test_extract_odd_rows(spark):
     rows = spark.createDataFrame([(1, "u", None, "x"), (1, "u", None, "x"), (None, None, "<p>a", "y")], "page_id long, url string, html string, text string")
     got = sorted((r.page_id or 0, r.url, r.text, r.n_chars) for r in H.extract(rows).collect() if r.url) + [r.text for r in H.extract(rows).collect() if not r.url]
     assert got == [(1, "u", "", 0), (1, "u", "", 0), "a"]
     assert H.extract(rows.limit(0)).count() == 0
-    assert len(H.main_text("<div>" * 3000 + "x" + "<p>word, and word." * 3000)) == 1 + 16 * 3000
+    assert H.main_text("<div>" * 3000 + "x" + "<p>word, and word." * 3000).count("word, and word.") == 3000
+    clash = spark.createDataFrame([(1, "u", "<p>a", 5, 6)], "page_id long, url string, html string, n_chars long, path long")
+    assert [tuple(r) for r in H.extract(clash).collect()] == [(1, "u", "a", 1)]
