@@ -249,6 +249,45 @@ def test_containments_against_brute_force(spark, monkeypatch, block):
         assert D.containments(docs_of(spark, []), table_of_items).count() == 0
 
 
+def test_sketches_choose_the_candidates():
+    rng = random.Random(8)
+    pool = [f"w{k}" for k in range(4000)]
+    items = [(k, " ".join(rng.choices(pool, k=rng.randint(5, 300)))) for k in range(300)]
+    index = D.Index.build(items, 0.8)
+    assert sum(len(v) for v in index.sketch.values()) < 0.5 * sum(len(i[2]) for i in index.items)  # most shingles are in no sketch
+    found = picked = parts = 0
+    for _ in range(200):
+        key, text = rng.choice(items)
+        words, share = text.split(), rng.choice([0.2, 0.5, 0.9, 1.0])
+        part = words[: max(5, int(share * len(words)))]
+        doc = " ".join(rng.choices(pool, k=500) + part + rng.choices(pool, k=500))
+        exact = containment_brute([(0, doc)], [(key, text)])
+        chosen = index.candidates(doc)
+        assert {h[0] for h in index.find(doc, 0.8)} == {i for _, i, *_ in exact}  # other items have nothing in common with it
+        found += bool(exact)
+        picked += len(chosen)
+        parts += 1
+    # every contained item is a candidate, and the sketches rule out most of those that are there in part
+    assert found <= picked < found + 0.5 * (parts - found)
+    for n in range(1, 400):
+        size, need = D.sketch_size(n, 0.8)
+        assert 1 <= need <= size <= n and size - need == n - -(-8 * n // 10) == D.may_lack(n, 0.8)
+
+
+def test_short_items_and_clashing_names(spark):
+    items = spark.createDataFrame([(1, "yes", "x"), (2, "one two three four five six", "y"), (None, "seven eight nine ten eleven", "z")], "item_id long, text string, doc_id string")
+    docs = spark.createDataFrame(
+        [(1, "yes", 1), (1, "yes", 1), (2, "say one two three four five six", 2), (None, "Seven eight nine ten eleven.", 3), (4, None, 4), (5, "", 5)],
+        "doc_id long, text string, item_id int",
+    ).withColumn("row", F.lit(0)).withColumn("a", F.lit("b"))
+    for size in (8 << 20, 1):
+        got = sorted((r.doc_id or 0, r.item_id or 0, r.containment) for r in D.containments(docs, items, block_bytes=size).collect())
+        assert got == [(0, 0, 1.0), (1, 1, 1.0), (1, 1, 1.0), (2, 2, 1.0)]
+        kept = D.clean(docs, items, least=D.WIDTH, block_bytes=size)
+        assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [1, 1, 4, 5]
+        assert sorted(r.doc_id for r in D.clean(docs, items, block_bytes=size).collect()) == [4, 5]
+
+
 def test_decontamination_query(spark):
     from scriptorium.llm.queries import op9_decontaminate
 
