@@ -1,30 +1,27 @@
 """Language identification with hyperdimensional profiles.
 
-Each letter has a random vector of +1 and -1 (``dims`` of them, from a seed). An
-n-gram's vector binds the vectors of its three letters, rolled by their places;
-a text's vector is the sum (bundle) of its n-grams' vectors; a language's
-prototype is the sum over its training texts. A text is given to the prototype of
-the largest cosine.
-
-The inner product of a text with a prototype is the sum over the text's n-grams
-of the inner products of their vectors with it, so these are worked out once for
-all n-grams, and a text takes look-ups instead of vector sums; the ranking of the
-languages is exactly that of the cosines. The score divides by the text vector's
-expected length (n-gram vectors are close to orthogonal), and is cut to 0..1.
-
-Letters are lower-cased; a to z have numbers of their own, others share 21; what
-is no letter is a boundary, runs of it count once. Numbers go up to ``LETTERS``,
-so profiles have at most ``LETTERS ** 3`` n-grams.
-
-Training takes the rows that are given; ``sample`` bounds them: a hash of the
-text's id picks about ``train_docs`` of them. At most ``max_langs`` languages may
-occur, or it is an error; that bounds what goes to the driver.
+Each letter has a random vector of ``DIMS`` times +1 or -1, which a hash of its code
+point gives, so that letters of all scripts have one of their own. An n-gram's vector
+binds (multiplies) those of its three letters, permuted by their places; a text's
+vector is the sum (bundle) of its n-grams' vectors; a language's prototype is the sum
+of its training texts' vectors, each of length 1. A text is given to the prototype of
+the largest cosine, which is the score, cut to 0..1.
+
+Vectors are kept as bits, so binding is an exclusive or and permuting rolls words of 64
+bits. Letters are lower-cased; what is no letter is a boundary, and runs of it count
+once.
+
+Training takes the rows that are given; ``sample`` bounds them: in each language a hash
+of the text's id picks about ``train_docs``, all where there are no more. At most
+``max_langs`` languages may occur, or it is an error; that bounds what goes to the
+driver.
 
 Defined results: a null text, or one without a letter, is ``und`` with score 0; so
 is every text if there is nothing to learn from; of equal cosines the language
-that sorts first wins; repeated rows are judged alike; an empty table gives an
-empty table; other columns stay out (``keep_known`` keeps them); a null ``doc_id``
-stays null and is held out of the training.
+that sorts first wins; very long texts are read whole, in blocks of ``STEP`` characters;
+repeated rows are judged alike; an empty table gives an empty table; other columns stay
+out (``keep_known`` keeps them), whatever their names; a null ``doc_id`` stays null and
+is held out of the training.
 """
 
 from __future__ import annotations
@@ -39,32 +36,32 @@ from pyspark.sql import functions as F
 
 from scriptorium.session import prepare_batches
 
-LETTERS, STEP = 48, 1 << 20
-#: Cosines of a text that is in no language are about 1 / sqrt(dims); those of short sentences are not much above.
-MIN_SCORE = 0.03
+DIMS, SEED, STEP, AT_ONCE = 1024, 7, 1 << 20, 1024
+#: Cosines of a text of other letters are about 1 / sqrt(DIMS), 0.031; the shortest clean texts have 0.11 and more.
+MIN_SCORE = 0.1
 #: Random letters share a language's frequent n-grams, so their cosine grows with their number, but less than that of clean
-#: texts does: calibrated on the held-out documents of sf0.01 and on random letters, 16 to 6,400 characters long.
-MIN_RISE, MIN_FROM, MIN_MOST = 0.03, 16, 0.3
+#: texts does: calibrated on held-out documents and on random letters, 16 to 22,000 n-grams long.
+MIN_BASE, MIN_RISE, MIN_FROM, MIN_MOST = 0.03, 0.03, 16, 0.3
 _table: list[np.ndarray] = []
+_MASK = np.uint64((1 << 21) - 1)
 
 
-def letter_numbers() -> np.ndarray:
-    """The number of each code point: 0 for what is no letter, 1 to 26 for a to z, 27 to 47 for others."""
+def letters() -> np.ndarray:
+    """For each code point that of its lower-case letter; 0 for what is no letter."""
     if not _table:
-        numbers = np.zeros(0x110000, np.uint8)
+        numbers = np.zeros(0x110000, np.uint32)
         for cp in range(0x110000):
             if (c := chr(cp)).isalpha():
-                low = ord(c.lower()[0])
-                numbers[cp] = low - 96 if 97 <= low <= 122 else 27 + low % (LETTERS - 27)
+                numbers[cp] = ord(c.lower()[0])
         _table.append(numbers)
     return _table[0]
 
 
-def profile(text: str | None) -> np.ndarray | None:
-    """How often each n-gram occurs in a whole text (``LETTERS ** 3`` numbers); None without a letter."""
+def profile(text: str | None) -> tuple[np.ndarray, np.ndarray] | None:
+    """The distinct n-grams of a whole text (three code points of 21 bits each) and their counts; None without a letter."""
     if not text:
         return None
-    numbers, counts, last = letter_numbers(), None, np.zeros(1, np.uint8)
+    numbers, parts, last = letters(), [], np.zeros(1, np.uint32)
     for at in range(0, len(text), STEP):
         cps = np.frombuffer(text[at : at + STEP].encode("utf-32-le", "surrogatepass"), np.uint32)
         x = np.concatenate([last, numbers[cps]])
@@ -73,79 +70,85 @@ def profile(text: str | None) -> np.ndarray | None:
         keep[: len(last)] = True
         x = x[keep]
         if at + STEP >= len(text) and x[-1]:
-            x = np.append(x, np.uint8(0))
+            x = np.append(x, np.uint32(0))
         if len(x) >= 3:
-            y = x.astype(np.int64)
-            part = np.bincount((y[:-2] * LETTERS + y[1:-1]) * LETTERS + y[2:], minlength=LETTERS**3)
-            counts = part if counts is None else counts + part
+            y = x.astype(np.uint64)
+            parts.append(np.unique(y[:-2] << np.uint64(42) | y[1:-1] << np.uint64(21) | y[2:], return_counts=True))
         last = x[-2:]
-    return counts
+    if len(parts) > 1:
+        grams, where = np.unique(np.concatenate([g for g, _ in parts]), return_inverse=True)
+        return grams, np.bincount(where, np.concatenate([n for _, n in parts])).astype(np.int64)
+    return parts[0] if parts else None
 
 
-def letter_vectors(dims: int, seed: int) -> np.ndarray:
-    return np.random.default_rng(seed).choice(np.array([-1, 1], np.float32), (LETTERS, dims))
+def letter_bits(cps: np.ndarray, dims: int = DIMS, seed: int = SEED) -> np.ndarray:
+    """The random bits of each code point, in words of 64: splitmix64 of the code point, the word and the seed."""
+    z = cps.astype(np.uint64)[:, None] * np.uint64(dims // 64) + np.arange(dims // 64, dtype=np.uint64) + np.uint64(seed << 32)
+    z = (z + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return z ^ (z >> np.uint64(31))
 
 
-def rolled(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The letters' vectors for the first, second and third place of an n-gram."""
-    return np.roll(vectors, 2, axis=1), np.roll(vectors, 1, axis=1), vectors
+def bound(grams: np.ndarray, dims: int = DIMS, seed: int = SEED) -> np.ndarray:
+    """The n-grams' vectors as bits (a row of 0 and 1 for each; 1 stands for -1)."""
+    places = np.stack([grams >> np.uint64(42), grams >> np.uint64(21) & _MASK, grams & _MASK])
+    cps, at = np.unique(places, return_inverse=True)
+    one, two, three = at.reshape(places.shape)
+    bits = letter_bits(cps, dims, seed)
+    words = np.roll(bits, 2, axis=1)[one] ^ np.roll(bits, 1, axis=1)[two] ^ bits[three]
+    return np.unpackbits(words.view(np.uint8), axis=1, bitorder="little")
 
 
-def bundle(counts: np.ndarray, vectors: np.ndarray) -> np.ndarray:
+def bundle(grams: np.ndarray, counts: np.ndarray, dims: int = DIMS, seed: int = SEED) -> np.ndarray:
     """The sum of the n-grams' vectors, each as often as ``counts`` says."""
-    one, two, three = rolled(vectors)
-    cube = counts.reshape(LETTERS, LETTERS, LETTERS).astype(np.float32)
-    out = np.zeros(vectors.shape[1], np.float64)
-    for a in range(LETTERS):
-        if cube[a].any():
-            out += one[a] * (two * (cube[a] @ three)).sum(axis=0)
-    return out
-
-
-def products(prototype: np.ndarray, vectors: np.ndarray) -> np.ndarray:
-    """The inner product of each n-gram's vector with ``prototype`` over the prototype's length."""
-    one, two, three = rolled(vectors)
-    unit = (prototype / max(np.linalg.norm(prototype), 1e-12)).astype(np.float32)
-    return np.concatenate([((two * (one[a] * unit)) @ three.T).ravel() for a in range(LETTERS)])
+    minus = np.zeros(dims, np.float64)
+    for k in range(0, len(grams), AT_ONCE):
+        part = bound(grams[k : k + AT_ONCE], dims, seed).astype(np.float32)
+        minus += counts[k : k + AT_ONCE].astype(np.float32) @ part
+    return counts.sum() - 2 * minus
 
 
 @dataclass
 class Profiles:
-    """Learned languages: ``table`` has a row for each n-gram, a column for each language."""
+    """Learned languages: ``prototypes`` has a row of length 1 for each."""
 
     langs: list[str]
-    table: np.ndarray
-    dims: int
+    prototypes: np.ndarray
+    seed: int = SEED
 
     def predict(self, text: str | None) -> tuple[str, float]:
         return self.judge(text)[:2]
 
     def judge(self, text: str | None) -> tuple[str, float, int]:
         """The language, its score, and the number of n-grams that it rests on."""
-        counts = profile(text)
-        if counts is None or not self.langs:
+        found = profile(text)
+        if found is None or not self.langs:
             return "und", 0.0, 0
-        seen = np.flatnonzero(counts)
-        often = counts[seen].astype(np.float32)
-        cosines = often @ self.table[seen] / np.sqrt(self.dims * float(often @ often))
+        vector = bundle(*found, self.prototypes.shape[1], self.seed)
+        cosines = self.prototypes @ vector / max(float(np.linalg.norm(vector)), 1e-12)
         best = int(cosines.argmax())
-        return self.langs[best], float(min(1.0, max(0.0, cosines[best]))), int(counts.sum())
+        return self.langs[best], float(min(1.0, max(0.0, cosines[best]))), int(found[1].sum())
 
 
 def least_score(grams: int, min_score: float = MIN_SCORE) -> float:
     """What a text of so many n-grams must score: ``min_score``, and more for each doubling of their number."""
-    return max(min_score, min(MIN_MOST, MIN_SCORE + MIN_RISE * np.log2(max(grams, MIN_FROM) / MIN_FROM)))
+    return max(min_score, min(MIN_MOST, MIN_BASE + MIN_RISE * np.log2(max(grams, MIN_FROM) / MIN_FROM)))
 
 
-def sample(docs: DataFrame, train_docs: int) -> DataFrame:
-    """Rows of about ``train_docs`` ids, picked by a hash of the id; all rows where there are no more."""
-    n = docs.count()
-    if n <= train_docs:
-        return docs
-    return docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < int((1 << 30) * train_docs / n))
+def sample(docs: DataFrame, train_docs: int, max_langs: int = 64) -> DataFrame:
+    """About ``train_docs`` rows of each ``lang``, picked by a hash of the id; all rows of one that has no more."""
+    sizes = [r for r in docs.filter("lang is not null").groupBy("lang").count().limit(max_langs + 1).collect()]
+    if len(sizes) > max_langs:
+        raise ValueError(f"more than {max_langs} languages")
+    most = F.lit(1 << 30)
+    for r in sizes:
+        if r["count"] > train_docs:
+            most = F.when(F.col("lang") == r.lang, F.lit(int((1 << 30) * train_docs / r["count"]))).otherwise(most)
+    return docs.filter(F.col("lang").isNotNull() & (F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) < most))
 
 
-def learn(docs: DataFrame, dims: int = 1024, seed: int = 7, max_langs: int = 64) -> Profiles:
+def learn(docs: DataFrame, dims: int = DIMS, seed: int = SEED, max_langs: int = 64) -> Profiles:
     """From columns ``text`` and ``lang``; rows without a language or without a letter teach nothing."""
     prepare_batches(docs.sparkSession)
 
@@ -153,37 +156,35 @@ def learn(docs: DataFrame, dims: int = 1024, seed: int = 7, max_langs: int = 64)
         sums: dict[str, np.ndarray] = {}
         for batch in batches:
             for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                if (counts := profile(text)) is not None:
-                    if lang in sums:
-                        sums[lang] += counts
-                    elif len(sums) <= max_langs:
-                        sums[lang] = counts
-        for lang, counts in sums.items():
-            seen = np.flatnonzero(counts)
+                if (found := profile(text)) is not None and (lang in sums or len(sums) <= max_langs):
+                    vector = bundle(*found, dims, seed)
+                    sums[lang] = sums.get(lang, 0) + vector / max(float(np.linalg.norm(vector)), 1e-12)
+        for lang, vector in sums.items():
+            # whole numbers, so that the sum does not depend on the order of the tasks
             yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(seen), pa.string()), pa.array(seen), pa.array(counts[seen])], ["lang", "gram", "n"]
+                [pa.array([lang] * dims, pa.string()), pa.array(range(dims), pa.int32()), pa.array(np.rint(vector * 2**32).astype(np.int64))],
+                ["lang", "dim", "n"],
             )
 
-    grams = (
+    # langs * dims rows go to the driver
+    found = (
         docs.filter(F.col("lang").isNotNull())
         .select("text", "lang")
-        .mapInArrow(run, "lang string, gram long, n long")
-        .groupBy("lang", "gram")
-        .agg(F.sum("n").alias("n"))
+        .mapInArrow(run, "lang string, dim int, n long")
+        .groupBy("lang", "dim")
+        .agg(F.sum(F.col("n").cast("double")).alias("n"))
         .toArrow()
     )
-    names = grams.column("lang").to_numpy(zero_copy_only=False)
+    names = found.column("lang").to_numpy(zero_copy_only=False)
     langs = sorted(set(names))
     if len(langs) > max_langs:
         raise ValueError(f"more than {max_langs} languages")
-    vectors = letter_vectors(dims, seed)
-    table = np.zeros((LETTERS**3, len(langs)), np.float32)
-    gram, n = grams.column("gram").to_numpy(), grams.column("n").to_numpy()
+    prototypes = np.zeros((len(langs), dims), np.float64)
+    dim, n = found.column("dim").to_numpy(), found.column("n").to_numpy()
     for k, lang in enumerate(langs):
-        counts = np.zeros(LETTERS**3, np.float64)
-        counts[gram[names == lang]] = n[names == lang]
-        table[:, k] = products(bundle(counts / max(counts.sum(), 1), vectors), vectors)
-    return Profiles(langs, table, dims)
+        prototypes[k, dim[names == lang]] = n[names == lang]
+        prototypes[k] /= max(float(np.linalg.norm(prototypes[k])), 1e-12)
+    return Profiles(langs, prototypes, seed)
 
 
 def identify(docs: DataFrame, model: Profiles) -> DataFrame:

@@ -183,17 +183,53 @@ def test_prior_by_hand(spark):
 # --- languages
 
 
-def test_products_are_inner_products_of_bound_vectors():
-    vectors = L.letter_vectors(64, 1)
-    rng = np.random.default_rng(0)
-    counts = np.zeros(L.LETTERS**3)
-    counts[rng.integers(0, L.LETTERS**3, 50)] = rng.integers(1, 5, 50)
-    bind = lambda g: np.roll(vectors[g // L.LETTERS**2], 2) * np.roll(vectors[g // L.LETTERS % L.LETTERS], 1) * vectors[g % L.LETTERS]
-    prototype = sum(counts[g] * bind(g) for g in np.flatnonzero(counts))
-    assert np.allclose(L.bundle(counts, vectors), prototype)
-    table = L.products(prototype, vectors)
-    for g in rng.integers(0, L.LETTERS**3, 30):
-        assert table[g] == pytest.approx(bind(g) @ prototype / np.linalg.norm(prototype), abs=1e-3)
+def letter_vector(cp, dims, seed):
+    """Splitmix64 of the code point and each word, a bit at a time."""
+    out, mask = [], (1 << 64) - 1
+    for word in range(dims // 64):
+        z = (cp * (dims // 64) + word + (seed << 32) + 1) * 0x9E3779B97F4A7C15 & mask
+        z = (z ^ z >> 30) * 0xBF58476D1CE4E5B9 & mask
+        z = (z ^ z >> 27) * 0x94D049BB133111EB & mask
+        z ^= z >> 31
+        out += [-1 if z >> b & 1 else 1 for b in range(64)]
+    return np.array(out)
+
+
+def text_vector(text, dims, seed):
+    """The bundle of a text's bound n-grams, one after the other; None without a letter."""
+    x = [0]
+    for c in text or "":
+        cp = ord(c.lower()[0]) if c.isalpha() else 0
+        if cp or x[-1]:
+            x.append(cp)
+    x += [0] if x[-1] else []
+    grams = [tuple(x[k : k + 3]) for k in range(len(x) - 2)]
+    vector = {cp: letter_vector(cp, dims, seed) for cp in set(x)}
+    bind = lambda a, b, c: np.roll(vector[a], 128) * np.roll(vector[b], 64) * vector[c]
+    return sum(bind(*g) for g in grams) if grams else None
+
+
+def test_scores_are_cosines_of_explicit_vectors(spark):
+    rng = random.Random(5)
+    dims, seed = 256, 3
+    make = lambda letters: " ".join("".join(rng.choices(letters, k=rng.randint(1, 7))) for _ in range(rng.randint(1, 40)))
+    kinds = {"de": "enrisaß", "en": "ethoaiE", "ru": "оеаинтс", None: "zzq"}
+    train = [(k, make(kinds[lang]), lang, None, None) for k, lang in enumerate(list(kinds) * 8)] + [(90, None, "en", None, None), (91, "12", "xx", None, None)]
+    model = L.learn(spark.createDataFrame(train, DOCS), dims, seed)
+    assert model.langs == ["de", "en", "ru"]
+    prototypes = {}
+    for _, text, lang, *_ in train:
+        if lang and (v := text_vector(text, dims, seed)) is not None:
+            prototypes[lang] = prototypes.get(lang, 0) + v / np.linalg.norm(v)
+    for text in [make(rng.choice(["enrisaß", "ethoaiE", "оеаинтс", "日本語", "abé .,\n1Z"])) for _ in range(100)] + ["a", "", None, "É"]:
+        v = text_vector(text, dims, seed)
+        if v is None:
+            assert model.predict(text) == ("und", 0.0)
+            continue
+        cosines = {lang: v @ p / np.linalg.norm(v) / np.linalg.norm(p) for lang, p in prototypes.items()}
+        lang, score = model.predict(text)
+        assert cosines[lang] == pytest.approx(max(cosines.values()), abs=1e-4)
+        assert score == pytest.approx(min(1, max(0, cosines[lang])), abs=1e-4)
 
 
 def test_profile_in_chunks(monkeypatch):
@@ -203,7 +239,7 @@ def test_profile_in_chunks(monkeypatch):
     monkeypatch.setattr(L, "STEP", 7)
     for t, w in zip(texts, whole, strict=True):
         got = L.profile(t)
-        assert (got is None) == (w is None) and (w is None or (got == w).all()), t
+        assert (got is None) == (w is None) and (w is None or all((a == b).all() for a, b in zip(got, w, strict=True))), t
         assert (w is None) == (not any(c.isalpha() for c in t or ""))
 
 
@@ -224,8 +260,13 @@ def test_held_out_accuracy_and_odd_rows(spark):
     assert [r.doc_id for r in kept] == [2] and kept[0].score == "s"
     assert L.learn(docs_of(spark, [])).langs == []
     assert L.identify(docs_of(spark, ["abc"]), L.learn(docs_of(spark, []))).first().lang_pred == "und"
-    sampled = L.sample(docs, 200).count()
-    assert 120 < sampled < 300
+    sampled = {r.lang: r["count"] for r in L.sample(docs, 60).groupBy("lang").count().collect()}
+    sizes = {r.lang: r["count"] for r in docs.groupBy("lang").count().collect()}
+    assert set(sampled) == set(sizes) and all(30 < n < 100 or n == sizes[lang] for lang, n in sampled.items())
+    with pytest.raises(ValueError):
+        L.sample(docs, 60, max_langs=2)
+    twice = L.identify(docs_of(spark, ["the and of that"] * 2).withColumn("lang_pred", F.lit(1)).withColumn("score", F.lit("x")), model).collect()
+    assert len(twice) == 2 and twice[0][1:] == twice[1][1:]
 
 
 def test_gibberish_goes_and_clean_texts_stay(spark):
@@ -234,7 +275,7 @@ def test_gibberish_goes_and_clean_texts_stay(spark):
     docs = table(spark, "/root/testdata/sf0.01", "documents")
     model = language_model(docs)
     rng = random.Random(13)
-    alphabets = ["abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", "bcdfghjklmnpqrstvwxz", "".join(map(chr, range(0x4E00, 0x9FA5)))]
+    alphabets = ["абвгдежзийклмнопрстуфхцчшщъыьэюя", "asdfghjkl", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", "bcdfghjklmnpqrstvwxz", "".join(map(chr, range(0x4E00, 0x9FA5)))]
     made = [" ".join("".join(rng.choices(a, k=rng.randint(3, 10))) for _ in range(n)) for a in alphabets for n in (20, 200, 2000) for _ in range(20)]
     assert L.keep_known(docs_of(spark, made), model).count() <= 0.02 * len(made)
     clean = docs.filter(held_out() & F.col("text").rlike("[a-z]"))
