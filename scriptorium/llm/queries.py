@@ -85,8 +85,8 @@ def held_out() -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 4 == 2, F.lit(True))
 
 
-def language_model(docs: DataFrame, train_docs: int = 20_000) -> language.Profiles:
-    """Learned from about ``train_docs`` of the documents that have a language and are not held out."""
+def language_model(docs: DataFrame, train_docs: int = 4000) -> language.Profiles:
+    """Learned from about ``train_docs`` documents of each language that are not held out."""
     return language.learn(language.sample(docs.filter(~held_out() & F.col("lang").isNotNull()), train_docs))
 
 
@@ -198,10 +198,11 @@ hosts as (select host, count(*) as n, count(*) filter (where base_failed or soft
 mean as (
     select sum(n)::double as n, sum(f)::double as f, count(*) as h, sum(f * f / n) as q, (sum(f) + 0.5) / (sum(n) + 1) as m from hosts
 ),
-spread as (select m, greatest(0.0, q / n - (f / n) ** 2 - m * (1 - m) * h / n) as v from mean),
-prior as (select m, least(greatest(case when v > 1e-9 then m * (1 - m) / v - 1 else 1e4 end, 1.0), 1e4) as t from spread),
-rates as (select host, (f + m * t) / (n + t) as rate from hosts, prior)
+spread as (select n / h as w, m, greatest(0.0, q / n - (f / n) ** 2 - m * (1 - m) * h / n) as v from mean),
+prior as (select m, greatest(least(case when v > 1e-9 then m * (1 - m) / v - 1 else w end, w), 1.0) as t from spread),
+bounds as (select m, t, m - 0.67 * sqrt(m * (1 - m) / (t + 1)) as low, greatest(0.5, m + 1.0 * sqrt(m * (1 - m) / (t + 1))) as high from prior),
+rates as (select host, (f + m * t) / (n + t) as rate, low, high from hosts, bounds)
 select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-    not base_failed and (rate <= 0.02 or (rate <= 0.8 and not soft_failed)) as kept
+    not base_failed and (rate < low or (rate <= high and not soft_failed)) as kept
 from judged join rates using (host)""",
 }

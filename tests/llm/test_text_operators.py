@@ -171,6 +171,23 @@ def test_host_verdicts(spark):
     assert Q.judge(spark.createDataFrame([], DOCS)).count() == 0
 
 
+def test_verdicts_on_the_real_table(spark):
+    docs = table(spark, "/root/testdata/sf0.1", "documents")
+    rows = spark.createDataFrame(Q.host_rates(Q.document_figures(docs)).toPandas())
+    prior = Q.beta_prior(rows)
+    low, high = Q.verdict_bounds(prior, 0.67, 1.0, 0.5)
+    shrunk = {r.host: r.verdict for r in Q.host_verdicts(rows, prior, 0.67, 1.0, 0.5).collect()}
+    raw = {r.host: "bad" if r.failed / r.n > high else "good" if r.failed / r.n < low else "mixed" for r in rows.collect()}
+    assert set(shrunk.values()) == {"good", "mixed"} and raw != shrunk  # hosts differ; without the prior they would differ more
+    assert {h for h in raw if raw[h] == "mixed"} < {h for h in shrunk if shrunk[h] == "mixed"}
+
+
+def test_most_of_a_host_must_fail_before_it_is_bad(spark):
+    hosts = spark.createDataFrame([("a", 1000, 30), ("b", 1000, 30), ("c", 1000, 450), ("d", 1000, 700), ("e", 1, 1)], "host string, n long, failed long")
+    got = {r.host: r.verdict for r in Q.host_verdicts(hosts, Q.beta_prior(hosts), 0.67, 1.0, 0.5).collect()}
+    assert got == {"a": "good", "b": "good", "c": "mixed", "d": "bad", "e": "mixed"}  # one document says little of a host
+
+
 def test_prior_by_hand(spark):
     hosts = spark.createDataFrame([("a", 100, 10), ("b", 100, 50), ("c", 200, 20)], "host string, n long, failed long")
     alpha, beta = Q.beta_prior(hosts)
