@@ -95,16 +95,40 @@ def features(dims: int) -> Column:
     )
 
 
+#: Words of hosts that a filter of training data keeps out: gambling, adult sites, sham pharmacies, spam, advertising.
+UNWANTED = (
+    "casinos kasino roulette jackpots winners winbig winspin megawin betting bettors sportsbet betslips betshop onlinebet poker "
+    "slotgames lottery freebies freespins freecash freebet freeroll freemoney freeslots freegames sportbets betsmart cheapest cheaper cheapmeds cheaprx pillstore painpill dietpills "
+    "pharmacy viagra steroids adults adultcams adultshop adultchat xxxcams xxxvideos porntube sexchat sexcams escorts hookup nudes "
+    "xrated spammer spammy spambot spammail linkfarms seofarms contentfarm clickfarms likefarm adserver adclicks adsense adspace "
+    "adstats adsrv adtracker adnetwork tracking trackers trackingpixel clicktrack popunder clickbait paydayloan fastcash warez "
+    "keygen crackz torrentz phishing malware replicas hotdeals getrich"
+).split()
+#: Words of ordinary hosts; some share letters with the unwanted ones.
+ORDINARY = (
+    "weather library gardening chess history recipes travel science museum school northern theatre heritage weathered thinking other "
+    "another mother brother leather feather gather father rather either whether thesis thread thunder throne thanks thirty third month "
+    "health wealth earth north south mouth station nation reading hearing evening morning window winter wing freedom farmer farmland "
+    "pillar pillow spoon spark better alphabet address adviser admiral advent heads roads beads railtracks truck cheaply cheer "
+    "cheese chapter casing cassette adobe duality wins spa rtl sports portal poets lots essex sussex exchange context loaned shopping"
+).split()
+
+
 def labelled_urls(spark: SparkSession) -> DataFrame:
-    """A small labelled table ``url, bad``: invented hosts out of words that unwanted and ordinary sites use."""
-    bad = "adult-x xxx-tube sex-chat porn-hub casino-win win-casino slots-online free-bets bets-now poker-cash cheap-pills pills-shop buy-viagra spam-farm link-farm seo-spam ads-track track-ads click-ads adserver free-money loan-fast warez-crack".split()
-    good = "therhand intion onerth heating blendon weather library gardening chess history recipes travel science museum school northern listed thanks trackfield padstow essexfarm bethany shopping loaned pillow farmland window freedom clickhouse adsorb".split()
+    """A small labelled table ``url, bad``: invented hosts out of words that unwanted and ordinary sites use.
+
+    Each word stands alone and joined to another of its kind, both kinds under the same
+    subdomains, top-level domains and paths, so that none of these say anything of the label.
+    """
     sub, top = ("", "www.", "m.", "blog."), ("com", "net", "org")
     paths = ("/en/12", "/de/845.html", "/fr/7/", "/es/391", "/a/b", "")
     rows = []
-    for flag, words in ((1.0, bad), (0.0, good)):
-        for i, (word, s, t) in enumerate(product(words, sub, top)):
-            rows.append((f"http://{s}{word}.example.{t}{paths[i % len(paths)]}", flag))
+    for flag, words in ((1.0, UNWANTED), (0.0, ORDINARY)):
+        for i, word in enumerate(words):
+            for k, (s, t) in enumerate(product(sub, top)):
+                other = words[(i + 7 * k + 1) % len(words)]
+                stem = (word, f"{word}-{other}", word + other)[k % 3]
+                rows.append((f"http://{s}{stem}.example.{t}{paths[k % len(paths)]}", flag))
     return spark.createDataFrame(rows, "url string, bad double").coalesce(1)
 
 
@@ -115,7 +139,7 @@ class UrlModel:
         self.weights, self.intercept = list(weights), intercept
 
     @classmethod
-    def fit(cls, labelled: DataFrame, dims: int = 1 << 12, reg: float = 1e-3, max_labelled: int = 5000, steps: int = 400) -> UrlModel:
+    def fit(cls, labelled: DataFrame, dims: int = 1 << 14, reg: float = 1e-4, max_labelled: int = 5000, steps: int = 400) -> UrlModel:
         """From ``url, bad`` (0 or 1). The table is small by contract: more rows than ``max_labelled`` are an error.
 
         Accelerated gradient descent on the mean log loss plus ``reg / 2`` times
@@ -131,16 +155,15 @@ class UrlModel:
         if len(rows) > max_labelled:
             raise ValueError(f"more than {max_labelled} labelled URLs")
         rows.sort()
-        x = np.zeros((len(rows), dims + 1), np.float32)
-        for i, row in enumerate(rows):
-            x[i, row.f] = 1
-        x[:, dims] = 1
-        y = np.array([row.bad for row in rows], np.float32)
-        w = v = np.zeros(dims + 1, np.float32)
-        rate = 4 / (float((x * x).sum(axis=1).max(initial=1)) + reg)
+        n = max(len(rows), 1)
+        sizes = np.array([len(row.f) + 1 for row in rows], np.int64)
+        at = np.array([i for row in rows for i in (*row.f, dims)], np.int64)
+        starts, y = np.cumsum(sizes) - sizes, np.array([row.bad for row in rows])
+        w = v = np.zeros(dims + 1)
+        rate = 4 / (float(sizes.max(initial=1)) + reg)
         for step in range(steps if rows else 0):
-            p = 1 / (1 + np.exp(-(x @ v)))
-            new = v - rate * (x.T @ (p - y) / len(rows) + reg * v)
+            p = 1 / (1 + np.exp(-np.add.reduceat(v[at], starts)))
+            new = v - rate * (np.bincount(at, np.repeat(p - y, sizes), dims + 1) / n + reg * v)
             w, v = new, new + step / (step + 3) * (new - w)
         return cls(w[:dims].tolist(), float(w[dims]))
 

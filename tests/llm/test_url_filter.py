@@ -2,6 +2,7 @@ import re
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from scriptorium.llm import url_filter as U
@@ -84,3 +85,63 @@ def test_plan_has_no_python(spark, model, capsys):
     U.judge(spark.createDataFrame([(1, "http://x")], "page_id long, url string"), URL_RULES, model).explain()
     plan = capsys.readouterr().out
     assert "Project" in plan and not re.search("Python|Arrow|Pandas", plan)
+
+
+def features_brute(host, path, dims):
+    def hashed(salt, gram):
+        h = xxhash.xxh64_intdigest(gram.encode(), xxhash.xxh64_intdigest(salt, 42))
+        return (h - (1 << 64) if h >> 63 else h) % dims
+
+    texts = (("h", f"^{host}$"), ("p", path))
+    return {hashed(salt, t[k : k + n]) for salt, t in texts for n in (3, 4, 5) for k in range(max(len(t) - n + 1, 1))}
+
+
+def test_features_against_brute_force(spark):
+    rows = spark.createDataFrame(list(enumerate(URLS)), "page_id long, url string")
+    found = rows.select("page_id", U.host(F.col("url")).alias("host"), U.path(F.col("url")).alias("path")).withColumn("f", U.features(1000))
+    for r in found.collect():
+        assert len(r.f) == len(set(r.f)) and set(r.f) == features_brute(*split(URLS[r.page_id]), 1000)
+
+
+def test_fit_against_plain_gradient_descent(spark):
+    rows = [(f"http://{w}.example.com/x{k}", float(k % 2)) for k, w in enumerate(["abc", "xyz", "abd", "xyw", "abe", "xyv"])]
+    model = U.UrlModel.fit(spark.createDataFrame(rows, "url string, bad double"), dims=64, reg=0.1, steps=2000)
+    x = np.zeros((len(rows), 65))
+    for i, (url, _) in enumerate(rows):
+        x[i, list(features_brute(*split(url), 64))] = 1
+    x[:, 64], y, w = 1, np.array([b for _, b in rows]), np.zeros(65)
+    for _ in range(20_000):
+        w -= 0.05 * (x.T @ (1 / (1 + np.exp(-x @ w)) - y) / len(rows) + 0.1 * w)
+    assert np.allclose([*model.weights, model.intercept], w, atol=1e-4)
+
+
+def test_labelled_words_are_not_those_of_the_pages(spark):
+    from scriptorium.session import table
+
+    urls = [r.url for r in table(spark, "/root/testdata/sf0.1", "pages").select("url").collect()]
+    seen = {w for u in urls for w in re.split(r"[.-]", split(u)[0])} - {"www", "m", "blog", "example", "com", "net", "org"}
+    assert seen.isdisjoint({*U.UNWANTED, *U.ORDINARY})
+    labelled = {w for r in U.labelled_urls(spark).collect() for w in re.split(r"[.-]", split(r.url)[0])}
+    assert seen.isdisjoint(labelled)
+
+
+def test_unseen_words(spark):
+    """Words that the model has not seen: every fifth of both kinds is held out."""
+    rows = U.labelled_urls(spark).collect()
+    odd = {w for words in (U.UNWANTED, U.ORDINARY) for w in words[::5]}
+    has = lambda url: any(w in split(url)[0] for w in odd)
+    model = U.UrlModel.fit(spark.createDataFrame([r for r in rows if not has(r.url)], "url string, bad double"))
+    out = spark.createDataFrame([(f"http://www.{w}.example.com/en/{k}", float(w in U.UNWANTED)) for k, w in enumerate(sorted(odd))], "url string, bad double")
+    got = U.judge(out.withColumn("page_id", F.col("bad")), [], model).collect()
+    bad, good = [r.score for r in got if r.page_id == 1], [r.score for r in got if r.page_id == 0]
+    assert len(bad) > 15 and np.mean([b > g for b in bad for g in good]) >= 0.7  # area under the curve; words without kin are a guess
+    assert np.mean([g < 0.8 for g in good]) >= 0.9
+
+
+def test_hosts_of_the_pages(spark, model):
+    from scriptorium.session import table
+
+    got = U.judge(table(spark, "/root/testdata/sf0.1", "pages"), [], model).select("host", "score", "verdict").collect()
+    unwanted = re.compile("adult-x|casino-win|free-bets|cheap-pills|spam-farm|ads-track")
+    bad, good = [r for r in got if unwanted.search(r.host)], [r for r in got if not unwanted.search(r.host)]
+    assert sum(r.verdict == "block" for r in bad) >= 0.95 * len(bad) and not any(r.verdict == "block" for r in good)
