@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 START, SEP, END = "<|im_start|>", "<|im_sep|>", "<|im_end|>\n"
 #: What no text may hold unescaped: the template's own marks and those of other templates.
 CONTROL = r"<\||</?s>|\[/?INST\]"
-_FIRST = r"([<\[])(?=\||/?s>|/?INST\])"
-_MARKED = r"([<\[])\\(?=\||/?s>|/?INST\])"
+_FIRST = rf"(?={CONTROL})(.)"
+_MARKED = r"(<)\\(?=\||/?s>)|(\[)\\(?=/?INST\])"
 
 
 def escape(text: Column) -> Column:
@@ -38,7 +38,7 @@ def escape(text: Column) -> Column:
 
 
 def unescape(text: Column) -> Column:
-    return F.replace(F.regexp_replace(text, _MARKED, "$1"), F.lit("\\\\"), F.lit("\\"))
+    return F.replace(F.regexp_replace(text, _MARKED, "$1$2"), F.lit("\\\\"), F.lit("\\"))
 
 
 def escape_role(role: Column) -> Column:
