@@ -7,7 +7,8 @@ cut: a piece of this vocabulary holds a word start only at its beginning, and th
 library puts one in front of each text it encodes, in the place of the space that
 the cut takes away. Where no such place comes, the text grows until one does.
 
-Defined results: a null text counts as empty, with 0 bytes and 0 tokens; repeated
+Defined results: a null text counts as empty, with 0 bytes and 0 tokens; texts of equal
+length are counted alike, very long ones in pieces; repeated
 rows are counted one by one; an empty table gives an empty table; other columns
 stay out, whatever their names; a null ``doc_id`` stays null.
 """
@@ -57,6 +58,11 @@ def processor(name: str, folder: str | None):
     return _loaded[key]
 
 
+def n_bytes(text: str) -> int:
+    """Of UTF-8."""
+    return len(text) if text.isascii() else len(text.encode("utf-8", "surrogatepass"))
+
+
 def count(texts: Iterable[str | None], encode, batch_bytes: int, piece_bytes: int) -> Iterator[int]:
     """The number of tokens of each text; ``encode`` takes a list of strings."""
     held: list[str] = []
@@ -74,10 +80,11 @@ def count(texts: Iterable[str | None], encode, batch_bytes: int, piece_bytes: in
 
     for text in texts:
         totals.append(0)
-        for piece in pieces(text or "", piece_bytes):
+        whole = text or ""
+        for piece in pieces(whole, max(1, piece_bytes * len(whole) // max(n_bytes(whole), 1))):
             held.append(piece)
             owners.append(len(totals) - 1)
-            size += len(piece) + 64
+            size += n_bytes(piece) + 64
             if size >= batch_bytes:
                 flush()
         if len(totals) >= 4096 and not held:
@@ -108,7 +115,7 @@ def token_counts(
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
-                    pa.array([len(t.encode()) if t else 0 for t in texts], pa.int64()),
+                    pa.array([n_bytes(t or "") for t in texts], pa.int64()),
                     pa.array(list(count(texts, encode, batch_bytes, piece_bytes)), pa.int64()),
                 ],
                 ["doc_id", "n_bytes", "n_tokens"],

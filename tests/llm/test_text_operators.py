@@ -106,6 +106,8 @@ def test_redact(spark):
     got = {r.doc_id: r for r in S.redact(rows).collect()}
     assert got[2].text == "[SECRET]\" x" and got[2].n_chars == len(got[2].text) and got[0].text is None and got[12].text == SECRET[12]
     assert len(got) == len(SECRET) and got[2].spans == 1
+    twice = S.scan(docs_of(spark, [SECRET[2]] * 2).withColumn("spans", F.lit(1)).withColumn("kind", F.lit(2))).collect()
+    assert len(twice) == 2 and twice[0].spans == twice[1].spans and len(twice[0].spans) == 2
     assert S.scan(docs_of(spark, [])).count() == 0
 
 
@@ -120,6 +122,28 @@ def test_token_counts(spark):
     assert T.token_counts(docs_of(spark, [])).count() == 0
 
 
+def test_no_piece_spans_a_cut():
+    import re
+
+    sp = T.processor("piece_bpe_32k.model", None)
+    assert not [p for p in map(sp.id_to_piece, range(sp.get_piece_size())) if re.search("[A-Za-z]\u2581[A-Za-z]", p)]
+
+
+def test_batches_are_filled_by_bytes(spark):
+    texts, seen = ["日本 語" * 100, "abc " * 100, "é" * 50, None] * 40, []
+
+    def encode(held):
+        seen.append(sum(len(t.encode()) for t in held))
+        return [t.split() for t in held]
+
+    got = list(T.count(texts, encode, 4000, 900))
+    assert max(seen) <= 4000 + 1300 and min(seen[:-1]) >= 4000 - 64 * 20
+    assert len(got) == len(texts) and got[1] == 100
+    rows = docs_of(spark, ["a b c", "a b c"]).withColumn("n_bytes", F.lit("x")).withColumn("n_tokens", F.lit(None).cast("int"))
+    counted = T.token_counts(rows).collect()
+    assert len(counted) == 2 and counted[0][1:] == counted[1][1:] and counted[0].n_bytes == 5
+
+
 def test_pieces_lose_only_single_spaces():
     rng = random.Random(2)
     for _ in range(300):
