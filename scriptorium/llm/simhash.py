@@ -36,7 +36,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scriptorium.llm.words import word_blocks
@@ -64,16 +64,18 @@ def fingerprint(text: str | None) -> int:
     return int(np.packbits(2 * ones > total, bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """``doc_id, fp`` (the 64 bits as a signed long) of every row."""
+def fingerprints(docs: DataFrame, *keys: Column) -> DataFrame:
+    """``doc_id, fp`` (the 64 bits as a signed long) of every row, and whole numbers ``k0, k1, ...`` that come with it."""
     prepare_batches(docs.sparkSession)
+    names = ["doc_id", "fp", *(f"k{k}" for k in range(len(keys)))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fps = np.fromiter((fingerprint(t) for t in batch.column(1).to_pylist()), np.uint64, batch.num_rows)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64)), *batch.columns[2:]], names)
 
-    return docs.select(docs["doc_id"].cast("long"), docs["text"]).mapInArrow(run, "doc_id long, fp long")
+    rows = docs.select(docs["doc_id"].cast("long"), docs["text"], *(key.cast("long").alias(f"k{k}") for k, key in enumerate(keys)))
+    return rows.mapInArrow(run, ", ".join(f"{n} long" for n in names))
 
 
 def hex_digits(fp: Column) -> Column:
@@ -177,34 +179,63 @@ def components(links: DataFrame, store: Durable, rounds: int = 100) -> DataFrame
     raise RuntimeError(f"components did not settle in {rounds} rounds")
 
 
-def near_duplicates(docs: DataFrame, largest: int = LARGEST) -> DataFrame:
-    """``doc_id, fp, component_id`` of every row of ``docs``."""
-    store = Durable(docs.sparkSession, "simhash")
-    fps = store.save(fingerprints(docs))
+def named_fingerprints(fps: DataFrame, store: Durable, largest: int) -> DataFrame:
+    """``fp, root, component_id``: of each fingerprint the least one that it reaches, and the smallest id of those."""
     reps = store.save(fps.groupBy("fp").agg(F.min("doc_id").alias("rep")))
     links = store.save(edges(reps.select("fp"), store, largest))
     if links.isEmpty():
-        named = reps.withColumnRenamed("rep", "component_id")
+        named = reps.select("fp", F.col("fp").alias("root"), F.col("rep").alias("component_id"))
     else:
         roots = components(links, store).withColumnRenamed("node", "fp")
         linked = reps.join(roots, "fp")
         ids = linked.groupBy("root").agg(F.min("rep").alias("component_id"))
-        linked = linked.select("fp", "root").join(ids, "root").select("fp", "component_id")
-        named = reps.join(linked, "fp", "left").select("fp", F.coalesce("component_id", "rep").alias("component_id"))
+        linked = linked.select("fp", "root").join(ids, "root").select("fp", "root", "component_id")
+        named = reps.join(linked, "fp", "left").select(
+            "fp", F.coalesce("root", "fp").alias("root"), F.coalesce("component_id", "rep").alias("component_id")
+        )
     # written, so that both sides of the join are plain exchanges and a fingerprint of many copies can be split
     named = store.save(named)
+    store.drop(reps, links)
+    return named
+
+
+def near_duplicates(docs: DataFrame, largest: int = LARGEST) -> DataFrame:
+    """``doc_id, fp, component_id`` of every row of ``docs``."""
+    store = Durable(docs.sparkSession, "simhash")
+    fps = store.save(fingerprints(docs))
+    named = named_fingerprints(fps, store, largest)
     return fps.join(named, "fp").select("doc_id", "fp", "component_id")
 
 
-def deduplicate(docs: DataFrame, largest: int = LARGEST) -> DataFrame:
-    """The rows of ``docs``, all columns, of one document of each component: that with the smallest id.
+def deduplicate(docs: DataFrame, largest: int = LARGEST, broadcast_rows: int = 500_000) -> DataFrame:
+    """The rows of ``docs``, all columns, of one row of each component: that with the smallest id.
+
+    Each row is judged by its own text, also where several rows have one id. Of rows of the same id in
+    a component that with the smallest hash of all columns stays; of rows that agree in all columns
+    one. Rows without a ``doc_id`` stay.
 
-    ``doc_id`` is a document's identity: of several rows of one id one stays.
-    Rows without a ``doc_id`` stay.
+    Rows are known by a hash of all their columns (128 bits), so no text is shuffled: the keys of the
+    rows that go are broadcast if they have been counted to be at most ``broadcast_rows``. If there are
+    more, they meet the rows in an ordinary join.
     """
-    named = near_duplicates(docs, largest)
-    keep = named.filter("doc_id = component_id").select("doc_id").distinct()
-    rows = docs.filter(F.col("doc_id").isNotNull())
-    order = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    once = rows.withColumn("__nth", F.row_number().over(order)).filter("__nth = 1").drop("__nth")
-    return once.join(keep, "doc_id", "left_semi").select(docs.columns).unionByName(docs.filter(F.col("doc_id").isNull()))
+    store = Durable(docs.sparkSession, "simhash")
+    columns = [docs[c] for c in docs.columns]
+    shape = [c.isNull() for c in columns]  # a null adds nothing to a hash
+    keys = [F.xxhash64(F.lit(k), *shape, *columns) for k in (0, 1)]
+    fps = store.save(fingerprints(docs, *keys))
+    named = named_fingerprints(fps, store, largest)
+    rows = fps.filter("doc_id is not null").groupBy("doc_id", "k0", "k1", "fp").agg(F.count("*").alias("n")).join(named.select("fp", "root"), "fp")
+    rows = store.save(rows.select("root", F.struct("doc_id", "k0", "k1").alias("row"), "n"))
+    first = rows.groupBy("root").agg(F.min("row").alias("first"))
+    judged = store.save(rows.join(first, "root").select("row.k0", "row.k1", "n", (F.col("row") == F.col("first")).alias("stays")))
+    store.drop(rows, fps, named)
+    # rows that go, and those of which there are several that agree in all
+    going = judged.filter("not stays or n > 1").select(F.col("k0").alias("__k0"), F.col("k1").alias("__k1"))
+    once = judged.filter("stays and n > 1").select(F.col("k0").alias("__k0"), F.col("k1").alias("__k1"))
+    if going.count() <= broadcast_rows:
+        going, once = F.broadcast(going), F.broadcast(once)
+    keyed = docs.withColumns({"__k0": keys[0], "__k1": keys[1]})
+    left = keyed.join(going, ["__k0", "__k1"], "left_anti")
+    if not judged.filter("stays and n > 1").isEmpty():
+        left = left.unionByName(keyed.join(once, ["__k0", "__k1"], "left_semi").dropDuplicates(["__k0", "__k1"]))
+    return left.select(docs.columns)

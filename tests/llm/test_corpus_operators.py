@@ -118,6 +118,18 @@ def test_near_duplicates_odd_rows(spark):
     assert S.near_duplicates(docs_of(spark, [])).count() == 0 and S.deduplicate(docs_of(spark, [])).count() == 0
 
 
+@pytest.mark.parametrize("rows_broadcast", [500_000, 0])
+def test_rows_are_judged_one_by_one(spark, rows_broadcast):
+    same, other = "a b c d e f g", "some other words of a text"
+    rows = [(1, same, "x"), (3, same, "x"), (3, other, "y"), (3, other, "z"), (3, other, None), (4, other, "y"), (5, "alone", "u"), (5, "alone", "u"), (None, same, "x"), (None, same, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, root string").withColumn("k0", F.lit(1)).withColumn("n", F.lit(None).cast("int"))
+    kept = S.deduplicate(docs, broadcast_rows=rows_broadcast)
+    got = sorted((r.doc_id or 0, r.text) for r in kept.collect())
+    assert got == [(0, same), (0, same), (1, same), (3, other), (5, "alone")] and kept.columns == docs.columns
+    again = S.deduplicate(docs.repartition(3), broadcast_rows=rows_broadcast)
+    assert sorted(map(str, again.collect())) == sorted(map(str, kept.collect()))
+
+
 def test_simhash_query_against_brute_force(spark):
     from scriptorium.llm.queries import op4_simhash
 
