@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 import zipfile
@@ -39,11 +40,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that all executors share, from ``spark.checkpoint.dir``.
 
-    Only where that is unset (local mode, tests) a temporary folder is taken.
+    Only in local mode, where one machine is all there is, a temporary folder may stand in.
     """
-    conf = spark.sparkContext.getConf()
-    folder = conf.get("spark.checkpoint.dir")
+    folder = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not folder:
+        if not re.fullmatch(r"local(\[[^]]*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = "file://" + os.path.join(tempfile.gettempdir(), f"scriptorium-{os.getuid()}")
     return folder.rstrip("/")
 
@@ -70,11 +72,17 @@ class Durable:
         return saved
 
     def drop(self, *saved: DataFrame) -> None:
-        jvm = self.spark.sparkContext._jvm
         for df in saved:
             if path := getattr(df, "_scriptorium_path", None):
-                where = jvm.org.apache.hadoop.fs.Path(path)
-                where.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+                self._delete(path)
+
+    def clear(self) -> None:
+        """Removes all tables saved here."""
+        self._delete(self.root)
+
+    def _delete(self, path: str) -> None:
+        where = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def ship(spark: SparkSession | None = None) -> None:

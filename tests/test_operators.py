@@ -256,3 +256,26 @@ def test_sheets_and_diffs(spark):
 def test_no_ascii_classes_in_profiles():
     for name, value in vars(DEVA).items():
         assert "\\w" not in value and "\\d" not in value, name
+
+
+def test_shared_folder_is_asked_for_on_a_cluster(spark):
+    from types import SimpleNamespace
+
+    from scriptorium.session import Durable, shared_dir
+
+    def with_conf(master, folder=None):
+        conf = SimpleNamespace(get=lambda key: folder)
+        return SimpleNamespace(sparkContext=SimpleNamespace(master=master, getConf=lambda: conf))
+
+    assert shared_dir(with_conf("local[4]")).startswith("file:") and shared_dir(with_conf("local")).startswith("file:")
+    assert shared_dir(with_conf("spark://x:1", "hdfs://a/b/")) == "hdfs://a/b"
+    for master in ("spark://x:1", "yarn", "local-cluster[2,1,1024]"):
+        with pytest.raises(RuntimeError):
+            shared_dir(with_conf(master))
+    store = Durable(spark, "test")
+    saved = [store.save(spark.range(3)), store.save(spark.range(4))]
+    store.drop(saved[0])
+    assert saved[1].count() == 4
+    store.clear()
+    with pytest.raises(Exception):
+        spark.read.parquet(f"{store.root}/002")
