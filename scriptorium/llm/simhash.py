@@ -181,12 +181,12 @@ def components(links: DataFrame, store: Durable, rounds: int = 100) -> DataFrame
 
 def named_fingerprints(fps: DataFrame, store: Durable, largest: int) -> DataFrame:
     """``fp, root, component_id``: of each fingerprint the least one that it reaches, and the smallest id of those."""
-    reps = store.save(fps.groupBy("fp").agg(F.min("doc_id").alias("rep")))
-    links = store.save(edges(reps.select("fp"), store, largest))
+    reps, passing = store.save(fps.groupBy("fp").agg(F.min("doc_id").alias("rep"))), Durable(store.spark, "simhash-links")
+    links = store.save(edges(reps.select("fp"), passing, largest))
     if links.isEmpty():
         named = reps.select("fp", F.col("fp").alias("root"), F.col("rep").alias("component_id"))
     else:
-        roots = components(links, store).withColumnRenamed("node", "fp")
+        roots = components(links, passing).withColumnRenamed("node", "fp")
         linked = reps.join(roots, "fp")
         ids = linked.groupBy("root").agg(F.min("rep").alias("component_id"))
         linked = linked.select("fp", "root").join(ids, "root").select("fp", "root", "component_id")
@@ -196,6 +196,7 @@ def named_fingerprints(fps: DataFrame, store: Durable, largest: int) -> DataFram
     # written, so that both sides of the join are plain exchanges and a fingerprint of many copies can be split
     named = store.save(named)
     store.drop(reps, links)
+    passing.clear()
     return named
 
 

@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from scriptorium.llm import language as L
@@ -54,6 +55,27 @@ def test_stages_on_an_empty_table(spark):
         assert stage(spark, docs, SF).count() == 0
 
 
+def test_stages_on_odd_rows(spark):
+    docs = table(spark, SF, "documents").select("doc_id", "text", "lang", "source", "n_chars")
+    rows = [tuple(r) for r in docs.collect()]
+    long = max(rows, key=lambda r: r[4])
+    fresh = "The mother of the other brother was thinking of the weather in the north and the earth of the third month."
+    odd = [
+        (None, None, None, None, None), (9001, None, "en", "s", 0), (9002, "", None, None, 0), (9003, "12 34 !!", "en", "s", 8), (9004, "Русский текст без всякого языка", None, "s", 31),
+        (9005, fresh, "en", "s", len(fresh)), (9005, fresh, "en", "s", len(fresh)), (None, fresh, "en", "s", len(fresh)), (9006, fresh + " ", "en", "s", len(fresh) + 1),
+        (9007, long[1] * 20, long[2], long[3], long[4] * 20),
+    ]
+    both = spark.createDataFrame(rows + odd, docs.schema).withColumns({c: F.lit("x") for c in ("fp", "root", "k0", "lang_pred", "score", "spans", "row", "start")})
+    kept = both
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        kept = stage(spark, kept, SF)
+        assert kept.columns == both.columns
+    ids = [r.doc_id for r in kept.collect()]
+    assert [k for k in (9001, 9002, 9003, 9004, 9006) if k in ids] == [] and ids.count(9005) == 1 and ids.count(None) == 1
+    packed = corpus_pipeline.STAGES[-1][1](spark, kept, SF).collect()
+    assert {r.doc_id for r in packed} == set(ids) and "fp" not in packed[0].asDict()
+
+
 def test_one_query_for_each_operator():
     assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
 
