@@ -3,7 +3,15 @@
 All stages but the last return the columns of ``documents``; the last returns the
 pieces of the packed sequences. Stages: documents without a known language go; of
 each group of near-duplicates the one with the smallest id stays; documents with a
-benchmark item inside go; secrets are replaced by a mark; what is left is packed.
+benchmark item of five or more words inside go; secrets are replaced by a mark; what is
+left is packed.
+
+Defined results: a null text, or one without a letter, has no language, so its row goes in
+the first stage; rows that agree in all columns are near-duplicates, of which one stays, and
+so are those of one id with near texts; rows without a ``doc_id`` are never taken for
+duplicates; very long texts are read whole; a null ``lang`` teaches nothing and is no reason to go; an
+empty table gives an empty table; columns beyond those of ``documents``, whatever their
+names, are kept by all stages but the last.
 """
 
 from __future__ import annotations
@@ -24,7 +32,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
+    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"), least=decontaminate.WIDTH)
 
 
 def secret_redaction(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
