@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scriptorium.functions import verses as V
 from scriptorium.operators.reports import first_seen
+from scriptorium.session import prepare_batches
 
 #: Words of a dictionary entry that tell a name's kind; the first kind that fits counts.
 KIND_WORDS = (
@@ -39,31 +43,65 @@ def forms(entries: DataFrame) -> DataFrame:
     ).filter(F.coalesce("form", F.lit("")) != "")
 
 
-def find_entities(rows: DataFrame, key: str, text: str, known: DataFrame, max_forms: int = 5000) -> DataFrame:
+def find_entities(rows: DataFrame, key: str, text: str, known: DataFrame, max_forms: int = 50_000, max_chars: int = 2_000_000) -> DataFrame:
     """``key, start, end, form, label, canonical, gaz_index``: all places of all forms, overlapping ones too.
 
-    Rows and forms meet on the forms' first three characters, an equi-join with the
-    places of the text that begin so; shorter forms meet on what they have. The forms
-    are broadcast only if they are ``max_forms`` at most.
+    Up to ``max_forms`` distinct forms of ``max_chars`` together, both counted, are broadcast as one
+    automaton, and a task finds their places in one pass over its texts; only places leave it.
+    A larger gazetteer meets the texts in an equi-join on the forms' first three characters (shorter
+    forms: on what they have); a place carries as much text as the longest form has.
     """
-    sizes = [r.n for r in known.select(F.least(F.length("form"), F.lit(3)).alias("n")).distinct().collect()]
-    if not sizes:
-        sizes = [3]
-    heads = known.withColumns({"__head": F.substring("form", 1, 3), "__n": F.length("form")})
-    if known.limit(max_forms + 1).count() <= max_forms:
-        heads = F.broadcast(heads)
-    t = F.coalesce(F.col(text), F.lit(""))
-    places = F.sequence(F.lit(1), F.greatest(F.length(t), F.lit(1)))
-
-    def heads_of(n: int) -> Column:
-        return F.transform(places, lambda i: F.struct(i.alias("at"), F.substring(t, i, F.lit(n)).alias("head")))
-
-    pieces = F.flatten(F.array(*map(heads_of, sorted(sizes))))
-    at = rows.select(key, text, F.explode(pieces).alias("p")).select(key, text, "p.at", "p.head")
-    hits = at.join(heads, (F.col("head") == F.col("__head"))).filter(F.substring(F.col(text), F.col("at"), F.col("__n")) == F.col("form"))
-    return hits.select(
-        key, (F.col("at") - 1).alias("start"), (F.col("at") - 1 + F.col("__n")).alias("end"), "form", "label", "canonical", "gaz_index"
-    ).distinct()
+    known = known.select("form", "label", "canonical", "gaz_index").distinct()
+    size = known.select("form").distinct().agg(F.count("*").alias("n"), F.coalesce(F.sum(F.length("form")), F.lit(0)).alias("chars")).first()
+    if size.n <= max_forms and size.chars <= max_chars:
+        places = _places(rows.select(F.col(key).alias("k"), F.col(text).cast("string").alias("t")), [r.form for r in known.select("form").distinct().collect()])
+        found = places.join(F.broadcast(known), "form")
+        return found.select(F.col("k").alias(key), "start", (F.col("start") + F.length("form")).alias("end"), "form", "label", "canonical", "gaz_index")
+    stats = known.agg(F.max(F.length("form")).alias("longest"), F.collect_set(F.least(F.length("form"), F.lit(3))).alias("sizes")).first()
+    heads = known.withColumn("__head", F.substring("form", 1, 3))
+    texts, longest = rows.select(F.col(key).alias("k"), F.coalesce(F.col(text), F.lit("")).alias("t")), F.lit(stats.longest)
+    here = F.transform(F.sequence(F.lit(1), F.greatest(F.length("t"), F.lit(1))), lambda i: F.substr(F.col("t"), i, longest))
+    at = texts.select("k", F.posexplode(here).alias("start", "here"))
+    at = at.select("k", "start", "here", F.explode(F.array_distinct(F.array(*(F.substring("here", 1, n) for n in sorted(stats.sizes))))).alias("__head"))
+    hits = at.join(heads, "__head").filter(F.col("here").startswith(F.col("form")))
+    return hits.select(F.col("k").alias(key), "start", (F.col("start") + F.length("form")).alias("end"), "form", "label", "canonical", "gaz_index")
+
+
+def _places(rows: DataFrame, words: list[str]) -> DataFrame:
+    """``k, form, start`` of each place of a word in the texts ``t``."""
+    spark = rows.sparkSession
+    prepare_batches(spark)
+    shared = spark.sparkContext.broadcast(sorted(words))
+    kind = rows.schema["k"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import ahocorasick
+
+        forms, automaton = shared.value, ahocorasick.Automaton()
+        for n, form in enumerate(forms):
+            automaton.add_word(form, n)
+        if forms:
+            automaton.make_automaton()
+        names = pa.array(forms, pa.string())
+        for batch in batches:
+            owner, number, start = [], [], []
+            for row, text in enumerate(batch.column(1).to_pylist()):
+                if text and forms:
+                    for end, n in automaton.iter(text):
+                        owner.append(row)
+                        number.append(n)
+                        start.append(end + 1 - len(forms[n]))
+                if len(owner) >= 200_000:  # a very long text must not grow one batch without end
+                    yield out(batch, names, owner, number, start)
+                    owner, number, start = [], [], []
+            yield out(batch, names, owner, number, start)
+
+    def out(batch, names, owner, number, start) -> pa.RecordBatch:
+        at = pa.array(owner, pa.int64())
+        columns = [batch.column(0).take(at), names.take(pa.array(number, pa.int64())), pa.array(start, pa.int32())]
+        return pa.RecordBatch.from_arrays(columns, ["k", "form", "start"])
+
+    return rows.mapInArrow(run, f"k {kind}, form string, start int")
 
 
 def entities_by_form(rows: DataFrame, key: str, text: str, form: str) -> DataFrame:

@@ -95,6 +95,22 @@ def progress(rows: DataFrame, by: Sequence[str] = ("doc",)) -> DataFrame:
     )
 
 
+def references_of(rows: DataFrame, refs: DataFrame, key: str, norm: str, ref: str) -> DataFrame:
+    """``key``, the least ``ref`` of the same normalised text, and how many there are.
+
+    Texts meet by their hashes, 64 bytes instead of whole texts in the shuffle; references of
+    one text are counted before, so a frequent one does not multiply rows.
+    """
+    digest = F.sha2(norm, 256).alias("__digest")
+    known = refs.groupBy(digest).agg(F.min(ref).alias(ref), F.count("*").alias("n"))
+    return rows.select(key, digest).join(known, "__digest", "left").select(key, ref, F.coalesce("n", F.lit(0)).alias("n"))
+
+
+def doc_quality(rows: DataFrame, by: Sequence[str] = ("doc",)) -> DataFrame:
+    """Passages and mean quality by document; a passage without a score counts as 0."""
+    return rows.groupBy(*by).agg(F.count("*").alias("n"), F.round(F.avg(F.coalesce("quality_score", F.lit(0.0))), 2).alias("avg_quality"))
+
+
 def doc_status(docs: DataFrame, rows: DataFrame, key: str) -> DataFrame:
     """Every document with its rows and pages, also those without any."""
     counts = rows.groupBy(key).agg(F.count("*").alias("n_rows"), F.countDistinct("page_no").alias("n_pages"))
@@ -176,10 +192,14 @@ def systematic_sample(rows: DataFrame, by: Sequence[str], order: str, n: int, wi
     return ranked.join(counts, on).filter(hit).select(*rows.columns)
 
 
-def first_seen(rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """One row for each key: its first by ``order``."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return rows.withColumn("__n", F.row_number().over(w)).filter("__n = 1").drop("__n")
+def first_seen(rows: DataFrame, keys: Sequence[str], order: Sequence[str], last: bool = False) -> DataFrame:
+    """One row for each key: its first by ``order``, or its last; of several at one place any.
+
+    An aggregate, so a frequent key shrinks before the shuffle and is never sorted.
+    """
+    place = F.struct(*order)
+    best = (F.max_by if last else F.min_by)(F.struct(*rows.columns), place)
+    return rows.groupBy(*(F.col(k).alias(f"__{k}") for k in keys)).agg(best.alias("__r")).select("__r.*")
 
 
 def change_marks(rows: DataFrame, by: Sequence[str], order: Sequence[str], column: str) -> Column:

@@ -4,14 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from scriptorium.operators.reports import first_seen
+
 
 def upsert(old: DataFrame, new: DataFrame, keys: Sequence[str], replace: Sequence[str] = (), fill: Sequence[str] = ()) -> DataFrame:
     """Rows of both by key. On a match ``replace`` columns take the new value, ``fill`` columns the new
-    one unless it is null, all others keep the old one. Rows of ``old`` alone stay. Keys are unique in ``new``.
+    one unless it is null, all others keep the old one. Rows of ``old`` alone stay. Of rows of ``new`` with
+    one key the one that sorts first counts, so that a repeat does not multiply rows.
     """
+    new = first_seen(new, keys, [c for c in new.columns if c not in keys] or list(keys))
     o, n = old.alias("o"), new.alias("n")
     on = [F.col(f"o.{k}").eqNullSafe(F.col(f"n.{k}")) for k in keys]
     both = o.withColumn("__old", F.lit(True)).alias("o").join(n.withColumn("__new", F.lit(True)).alias("n"), on, "full_outer")
@@ -48,17 +52,21 @@ def ensure_docs(old: DataFrame, new: DataFrame) -> DataFrame:
     return upsert(old, new, ["code"], fill=[c for c in old.columns if c != "code"])
 
 
+def _digest(keys: Sequence[str]):
+    """The keys as one value of fixed size, so that long texts are no shuffle keys; null-safe."""
+    return F.sha2(F.to_json(F.struct(*(F.col(k).isNull().alias(f"n{n}") for n, k in enumerate(keys)), *(F.col(k).alias(f"k{n}") for n, k in enumerate(keys)))), 256)
+
+
 def first_wins(old: DataFrame, new: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
     """Insert or ignore: of new rows with one key the first by ``order``, if the key is not there yet."""
-    w = Window.partitionBy(*keys).orderBy(order)
-    fresh = new.join(old.select(*keys), list(keys), "left_anti")
-    return old.unionByName(fresh.withColumn("__n", F.row_number().over(w)).filter("__n = 1").select(*old.columns))
+    digest = _digest(keys).alias("__digest")
+    fresh = new.select("*", digest).join(old.select(digest), "__digest", "left_anti")
+    return old.unionByName(first_seen(fresh, ["__digest"], [order]).select(*old.columns))
 
 
 def last_wins(rows: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
     """Insert or replace: of rows with one key the last by ``order``."""
-    w = Window.partitionBy(*keys).orderBy(F.desc(order))
-    return rows.withColumn("__n", F.row_number().over(w)).filter("__n = 1").drop("__n")
+    return first_seen(rows.withColumn("__digest", _digest(keys)), ["__digest"], [order], last=True).drop("__digest")
 
 
 def replace_rows(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -244,24 +244,24 @@ def text_lines(spark, sf_dir, *columns):
 
 
 _TABLE = r"(regexp_matches({0}, '(?i)(?:^|[^\p{{L}}\p{{N}}_])[ivxlcdm]+\s*[.)]') or regexp_matches({0}, '^\s*[-•*]\s+[\p{{L}}\p{{N}}_]'))"
-_HEADING = r"({0} <> '' and (length(regexp_replace({0}, '^\s+|\s+$', '', 'g')) <= 2 or regexp_replace({0}, '^\s+|\s+$', '', 'g') like '%:' or (upper({0}) = {0} and lower({0}) <> {0})))"
+_HEADING = r"({0} <> '' and (length(regexp_replace({0}, '^\s+|\s+$', '', 'g')) <= 2 or regexp_replace({0}, '^\s+|\s+$', '', 'g') like '%:' or (upper({0}) = {0} and lower({0}) <> {0} and not contains({0}, 'ß'))))"
 _FRONT = "(({banner}) or (length(regexp_replace({0}, '[^A-Za-z]', '', 'g')) / greatest(length({0}), 1) <= 0.05 and ({front})))".replace(
     "{banner}", " or ".join(f"contains(lower({{0}}), '{b}')" for b in P.PUBLISHER_BANNERS)
 ).replace("{front}", " or ".join(f"contains(lower({{0}}), '{b}')" for b in P.FRONT_MATTER))
 
 
 @query(f"""with {_LINES} select doc_id, line_no, {_NOISE.format('line')} as noise, {_HEADING.format('line')} as heading, {_TABLE.format('line')} as fragment,
-{_FRONT.format('line')} as front_matter from lines where not regexp_matches(line, '[ßẞ]')""")
+{_FRONT.format('line')} as front_matter from lines""")
 def line_classes(spark, sf_dir):
     line = F.col("line")
-    rows = text_lines(spark, sf_dir).filter(~F.regexp_like("line", F.lit("[ßẞ]")))  # capitals of sharp s differ between engines
+    rows = text_lines(spark, sf_dir)
     return rows.select("doc_id", "line_no", T.is_noise(line).alias("noise"), T.is_heading(line, LATIN).alias("heading"), T.is_table_fragment(line).alias("fragment"), T.is_front_matter(line, LATIN).alias("front_matter"))
 
 
 @query(f"""with {_LINES} select doc_id, count(*) filter (where not ({_NOISE.format('line')} or {_HEADING.format('line')} or {_TABLE.format('line')} or {_FRONT.format('line')})
-and length(regexp_replace(line, '[^A-Za-z]', '', 'g')) / greatest(length(line), 1) >= 0.05) as worth from lines where not regexp_matches(line, '[ßẞ]') group by doc_id""")
+and length(regexp_replace(line, '[^A-Za-z]', '', 'g')) / greatest(length(line), 1) >= 0.05) as worth from lines group by doc_id""")
 def worth_gate(spark, sf_dir):
-    rows = text_lines(spark, sf_dir).filter(~F.regexp_like("line", F.lit("[ßẞ]")))
+    rows = text_lines(spark, sf_dir)
     return rows.groupBy("doc_id").agg(F.count_if(T.worth_translating(F.col("line"), LATIN)).alias("worth"))
 
 
@@ -285,10 +285,10 @@ def delimiter_spaces(spark, sf_dir):
     return documents(spark, sf_dir).select("doc_id", F.sha2(T.space_delimiters(raw, plain), 256).alias("sha"))
 
 
-@query("""with t as (select doc_id, '- ' || substr(text, 1, 200) || ' [12°]  [fol. 3r] [4*]' as t from documents)
+@query("""with t as (select doc_id, '- ' || text || ' [12°]  [fol. 3r] [4*]' as t from documents)
 select doc_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(t, '^\\s*[-•*]\\s+', ''), '\\[\\s*[0-9]+[°*]\\s*\\]', '', 'g'), '(?i)\\[fol\\.\\s*[0-9]+[\\p{L}\\p{N}_]*\\]', '', 'g'), '  +', ' ', 'g'), '^\\s+|\\s+$', '', 'g') as clean from t""")
 def clean_for_mt(spark, sf_dir):
-    raw = F.concat(F.lit("- "), F.substring("text", 1, 200), F.lit(" [12°]  [fol. 3r] [4*]"))
+    raw = F.concat(F.lit("- "), F.col("text"), F.lit(" [12°]  [fol. 3r] [4*]"))
     return documents(spark, sf_dir).select("doc_id", T.clean_for_translation(raw).alias("clean"))
 
 
@@ -298,7 +298,7 @@ def line_cleaning(spark, sf_dir):
     return documents(spark, sf_dir).select("doc_id", F.sha2(T.collapse(F.col("text")), 256).alias("collapsed"), F.sha2(T.strip_lines(F.col("text")), 256).alias("stripped"))
 
 
-@query("select doc_id, translate(cast(doc_id * 7919 as varchar), '0123456789', '0123456789') as digits, length(text) - length(replace(text, '.', '')) as minor, length(text) - length(replace(text, chr(10), '')) as major from documents")
+@query("select doc_id, translate(translate(cast(doc_id * 7919 as varchar), '0123456789', '०१२३४५६७८९'), '०१२३४५६७८९', '0123456789') as digits, length(text) - length(replace(text, '.', '')) as minor, length(text) - length(replace(text, chr(10), '')) as major from documents")
 def delimiter_counts(spark, sf_dir):
     minor, major = T.delimiters(F.col("text"), LATIN)
     deva = F.translate((F.col("doc_id") * 7919).cast("string"), "0123456789", P.DEVA.digits_from)
@@ -323,7 +323,7 @@ def navigation_lines(spark, sf_dir):
 
 # --- verses -------------------------------------------------------------------------------------
 
-_REF_TEXT = "select doc_id, substr(text, 1, 40) || ' ' || case doc_id % 4 when 0 then cast(doc_id as varchar) when 1 then '1.' || (doc_id % 500) || '.7' when 2 then '12.' || (doc_id % 2000) || ' . ' else '' end as t from documents"
+_REF_TEXT = "select doc_id, text || ' ' || case doc_id % 4 when 0 then cast(doc_id as varchar) when 1 then '1.' || (doc_id % 500) || '.7' when 2 then '12.' || (doc_id % 2000) || ' . ' else '' end as t from documents"
 
 
 @query(f"""with t as ({_REF_TEXT}), s as (select doc_id, t, regexp_replace(t, '\\s+$', '') as w from t)
@@ -341,7 +341,7 @@ def verse_ref(spark, sf_dir):
         .when(d % 4 == 2, F.concat(F.lit("12."), (d % 2000).cast("string"), F.lit(" . ")))
         .otherwise("")
     )
-    rows = documents(spark, sf_dir).select("doc_id", F.concat(F.substring("text", 1, 40), F.lit(" "), tail).alias("t"))
+    rows = documents(spark, sf_dir).select("doc_id", F.concat(F.col("text"), F.lit(" "), tail).alias("t"))
     ref, clean = V.verse_ref(F.col("t"), LATIN)
     return rows.select("doc_id", ref.alias("verse_ref"), clean.alias("clean"))
 
@@ -357,49 +357,52 @@ def syllables_metre(spark, sf_dir):
 
 
 _CHAPTER = "(?:Chapter|Kapitel|The|Der)[ ]*(?:[0-9]+)?"
-_PARTS = """parts as (
-    select doc_id, row_number() over (partition by doc_id order by line_no) - 1 as pos, regexp_replace(line, '^\\s+|\\s+$', '', 'g') as seg
-    from lines where regexp_replace(line, '^\\s+|\\s+$', '', 'g') <> '')"""
-_MULTI = "with docs as (select * from documents where contains(text, chr(10))), " + _LINES.replace("from documents", "from docs") + ", " + _PARTS
-
-
-def multi_line(spark, sf_dir):
-    return documents(spark, sf_dir).filter(F.contains("text", F.lit("\n")))
-
-
-@query(f"""{_MULTI}, c as (select *, case when regexp_matches(seg, '{_CHAPTER}') then regexp_replace(regexp_extract(seg, '{_CHAPTER}'), '^\\s+|\\s+$', '', 'g') end as seg_chapter from parts),
-f as (select doc_id, case when regexp_matches(text, '{_CHAPTER}') then regexp_replace(regexp_extract(text, '{_CHAPTER}'), '^\\s+|\\s+$', '', 'g') end as first from docs)
-select doc_id, pos, coalesce(last_value(seg_chapter ignore nulls) over (partition by doc_id order by pos rows unbounded preceding), first) as chapter from c join f using (doc_id)""")
+_CHAPTER_OF = f"""case when regexp_matches({{0}}, '{_CHAPTER}') then case when regexp_extract({{0}}, '({_CHAPTER})\\s*([0-9]*)', 2) <> ''
+    then regexp_extract({{0}}, '({_CHAPTER})\\s*([0-9]*)', 2) else regexp_replace(regexp_extract({{0}}, '({_CHAPTER})\\s*([0-9]*)', 1), '{WS}', '', 'g') end end"""
+#: Lines; in texts of one line the sentences in pairs; in texts without a full stop the text.
+_PARTS = f"""with pieces as (
+    select doc_id, list_filter(list_transform(string_split(text, chr(10)), lambda x: regexp_replace(x, '{WS}', '', 'g')), lambda x: x <> '') as parts from documents where contains(text, chr(10))
+    union all select doc_id, list_filter([regexp_replace(text, '{WS}', '', 'g')], lambda x: x <> '') from documents where not contains(text, chr(10)) and not contains(text, '.')
+    union all select doc_id, list_transform(range(0, len(a), 2), lambda i: a[i + 1] || case when i + 2 <= len(a) then chr(10) || a[i + 2] else '' end) from (
+        select doc_id, list_filter(list_transform(range(1, len(b) + 1), lambda i: regexp_replace(b[i] || case when i < len(b) then '.' else '' end, '{WS}', '', 'g')), lambda x: x <> '') as a
+        from (select doc_id, string_split(text, '.') as b from documents where not contains(text, chr(10)) and contains(text, '.')))),
+parts as (select doc_id, unnest(range(len(parts))) as pos, unnest(parts) as seg from pieces)"""
+
+
+@query(f"""{_PARTS}, c as (select *, {_CHAPTER_OF.format('seg')} as seg_chapter from parts), f as (select doc_id, {_CHAPTER_OF.format('text')} as first from documents)
+select doc_id, cast(pos as int) as pos, coalesce(last_value(seg_chapter ignore nulls) over (partition by doc_id order by pos rows unbounded preceding), first) as chapter from c join f using (doc_id)""")
 def chapter_carry(spark, sf_dir):
-    rows = multi_line(spark, sf_dir).select("doc_id", "text")
+    rows = documents(spark, sf_dir).select("doc_id", "text")
     return segment.segments(rows, ["doc_id"], "text", LATIN).select("doc_id", "pos", "chapter")
 
 
 _OWN = "length(regexp_replace(t, '[^A-Za-z]', '', 'g')) / greatest(length(t), 1)"
-_KIND = f"""case when {_OWN} < 0.03 and length(t) < 30 then 'noise'
+_KIND = f"""case when {_OWN} < 0.03 and length(regexp_replace(t, '{WS}', '', 'g')) < 30 then 'noise'
     when {_OWN} < 0.05 and ({' or '.join(f"contains(lower(t), '{w}')" for w in P.SEGMENT_FRONT_MATTER)}) then 'frontmatter' when {_OWN} < 0.05 then 'prose'
     when regexp_matches(t, '[Tt]he .{{5,80}}(?:tion|ing)') then 'colophon' when regexp_matches(t, '{_CHAPTER}') then 'colophon'
-    when {_OWN} < 0.4 and regexp_matches(t, 'ver|tre|and') then 'tika' when not contains(t, '.') and {_OWN} < 0.6 then 'prose' else 'mula' end"""
-
-
-@query(f"""{_MULTI}, r as (select doc_id, pos, regexp_replace(regexp_replace(regexp_replace(seg, '[.\\s]*([0-9]{{1,3}})\\.([0-9]{{1,3}})(?:\\.([0-9]{{1,3}}))?[.\\s]*$', ''), '[.\\s]*([0-9]{{1,3}})[.\\s]*$', ''), '{WS}', '', 'g') as t from parts
-    where not regexp_matches(seg, '[0-9]')),
-k as (select *, {_KIND} as text_type from r where t <> ''),
-s as (select *, {_SYLLABLES.format('t')} as syl from k where text_type <> 'noise')
-select doc_id, cast(row_number() over (partition by doc_id order by pos) - 1 as int) as idx, t as text, text_type, case when text_type = 'mula' then {_METRE.format('syl')} end as chandas,
-    case when text_type = 'mula' then length(t) - length(replace(t, '.', '')) else 0 end as padas, {_DENSITY.format('t')} as quality_score from s""")
+    when {_OWN} < 0.4 and regexp_matches(t, 'ver|tre|and') then 'tika' when not contains(t, '.') and not contains(t, chr(10)) and {_OWN} < 0.6 then 'prose' else 'mula' end"""
+_DOTTED, _SINGLE = r"[.\s]*([0-9]{1,3})\.([0-9]{1,3})(?:\.([0-9]{1,3}))?[.\s]*$", r"[.\s]*([0-9]{1,3})[.\s]*$"
+_WITHOUT_REF = f"""case when regexp_matches(seg, '{_DOTTED}') then regexp_replace(seg, '{_DOTTED}', '') when regexp_matches(seg, '{_SINGLE}') then regexp_replace(seg, '{_SINGLE}', '') else seg end"""
+_REF = f"""case when regexp_matches(seg, '{_DOTTED}') then regexp_extract(seg, '{_DOTTED}', 1) || '.' || regexp_extract(seg, '{_DOTTED}', 2)
+    || case when regexp_extract(seg, '{_DOTTED}', 3) <> '' then '.' || regexp_extract(seg, '{_DOTTED}', 3) else '' end when regexp_matches(seg, '{_SINGLE}') then regexp_extract(seg, '{_SINGLE}', 1) end"""
+_WHOLE_QUALITY = f"case when {_NOISE.format('text')} then 0.0 else {_DENSITY.format('text')} end"
+
+
+@query(f"""{_PARTS}, r as (select doc_id, pos, {_REF} as verse_ref, regexp_replace({_WITHOUT_REF}, '{WS}', '', 'g') as t from parts),
+k as (select *, {_KIND} as text_type from r),
+s as (select *, {_SYLLABLES.format('t')} as syl from k where t <> '' and text_type <> 'noise')
+select doc_id, cast(row_number() over (partition by doc_id order by pos) - 1 as int) as idx, t as text, verse_ref, text_type, case when text_type = 'mula' then {_METRE.format('syl')} end as chandas,
+    case when text_type = 'mula' then length(t) - length(replace(t, '.', '')) + 2 * (length(t) - length(replace(t, chr(10), ''))) else 0 end as padas, {_DENSITY.format('t')} as quality_score from s
+union all select doc_id, 0, text, null, 'prose', null, 0, {_WHOLE_QUALITY} from documents where doc_id in (select doc_id from parts) and doc_id not in (select doc_id from s)""")
 def segments(spark, sf_dir):
-    # lines with digits are left to verse_ref, whose rules the SQL would have to repeat
-    kept = F.filter(F.split("text", "\n", -1), lambda x: ~F.regexp_like(x, F.lit("[0-9]")))
-    rows = multi_line(spark, sf_dir).select("doc_id", F.concat(F.array_join(kept, "\n"), F.lit("\n")).alias("text"))
-    out = segment.segment_pages(rows, ["doc_id"], "text", LATIN)
-    return out.select("doc_id", "idx", "text", "text_type", "chandas", "padas", "quality_score")
+    out = segment.segment_pages(documents(spark, sf_dir).select("doc_id", "text"), ["doc_id"], "text", LATIN)
+    return out.select("doc_id", "idx", "text", "verse_ref", "text_type", "chandas", "padas", "quality_score")
 
 
-@query("""with s as (select doc_id, list_filter(list_transform(string_split(substr(text, 1, 400), '.'), lambda x: regexp_replace(x, '^\\s+|\\s+$', '', 'g')), lambda x: x <> '') as a from documents)
+@query("""with s as (select doc_id, list_filter(list_transform(string_split(text, '.'), lambda x: regexp_replace(x, '^\\s+|\\s+$', '', 'g')), lambda x: x <> '') as a from documents)
 select doc_id, i as pos, a[2 * i + 1] || case when 2 * i + 2 <= len(a) then chr(10) || a[2 * i + 2] else '' end as pair from s, unnest(range(cast((len(a) + 1) // 2 as bigint))) as u(i)""")
 def half_verse_pairs(spark, sf_dir):
-    halves = F.filter(F.transform(F.split(F.substring("text", 1, 400), r"\.", -1), T.strip), lambda x: x != "")
+    halves = F.filter(F.transform(F.split("text", r"\.", -1), T.strip), lambda x: x != "")
     return documents(spark, sf_dir).select("doc_id", F.posexplode_outer(segment.pair_halves(halves)).alias("pos", "pair")).filter("pos is not null")
 
 
@@ -433,11 +436,10 @@ def section_keys(spark, sf_dir):
 
 
 @query("""select doc_id, c as code from (select doc_id, substr('wl_' || case when regexp_matches(s, '[0-9]$') then s || '_x' else s end, 1, 64) as c
-from (select doc_id, regexp_replace(regexp_replace(regexp_replace(lower('The-' || substr(text, 1, 30) || (doc_id % 3)), '^(the|a|an)-', ''), '[^a-z0-9]+', '_', 'g'), '^_+|_+$', '', 'g') as s from documents where not regexp_matches(substr(text, 1, 30), '[^\\x00-\\x7f]')))""")
+from (select doc_id, regexp_replace(regexp_replace(regexp_replace(lower('The-' || text || (doc_id % 3)), '^(the|a|an)-', ''), '[^a-z0-9]+', '_', 'g'), '^_+|_+$', '', 'g') as s from documents))""")
 def doc_codes(spark, sf_dir):
-    rows = documents(spark, sf_dir).filter(~F.regexp_like(F.substring("text", 1, 30), F.lit(r"[^\x00-\x7f]")))
-    slug = F.concat(F.lit("The-"), F.substring("text", 1, 30), (F.col("doc_id") % 3).cast("string"))
-    return rows.select("doc_id", T.doc_code(slug, "wl_").alias("code"))
+    slug = F.concat(F.lit("The-"), F.col("text"), (F.col("doc_id") % 3).cast("string"))
+    return documents(spark, sf_dir).select("doc_id", T.doc_code(slug, "wl_").alias("code"))
 
 
 # --- translations -------------------------------------------------------------------------------
@@ -507,40 +509,46 @@ def source_echo(spark, sf_dir):
     return pairs(spark, sf_dir).select("conv_id", "turn", R.is_echo(F.col("source"), o).alias("echo"))
 
 
-@query("""with t as (select doc_id, '<b>' || substr(text, 1, 120) || ' // and / or *term* & "q" //' as t from documents),
+@query("""with t as (select doc_id, '<b>' || text || ' // and / or *term* & "q" //' as t from documents),
 e as (select doc_id, replace(replace(replace(replace(replace(t, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '"', '&quot;'), '''', '&#x27;') as e from t)
-select doc_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(e, '\\s*//+\\s*$', '', 'g'), '\\s*//+\\s*', ' — ', 'g'), '\\s+/\\s+', ' — ', 'g'), '\\s+', ' ', 'g'), '\\*term\\*', '<em>term</em>', 'g'), '^\\s+|\\s+$', '', 'g') as html from e
-where not contains(substr(e, 1, 130), '*')""")
+select doc_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(e, '\\s*//+\\s*$', '', 'g'), '\\s*//+\\s*', ' — ', 'g'), '\\s+/\\s+', ' — ', 'g'), '\\s+', ' ', 'g'),
+'\\*([^*\\s]|[^*\\s][^*\\n]*[^*\\s])\\*', '<em>\\1</em>', 'g'), '^\\s+|\\s+$', '', 'g') as html from e""")
 def inline_format(spark, sf_dir):
-    raw = F.concat(F.lit("<b>"), F.substring("text", 1, 120), F.lit(' // and / or *term* & "q" //'))
-    rows = documents(spark, sf_dir).select("doc_id", R.escape_html(raw).alias("e")).filter(~F.contains(F.substring("e", 1, 130), F.lit("*")))
-    return rows.select("doc_id", R.inline_format(F.col("e")).alias("html"))
+    raw = F.concat(F.lit("<b>"), F.col("text"), F.lit(' // and / or *term* & "q" //'))
+    return documents(spark, sf_dir).select("doc_id", R.inline_format(R.escape_html(raw)).alias("html"))
+
 
+#: Each ``the`` becomes a note, each ``of`` a gloss, each ``and`` a mark of an illegible place.
+_NOTED = "replace(replace(replace(translate({text}, '[]', '()'), ' the ', concat(' [i.e., ', {lang}, '] ')), ' of ', ' [lake] '), ' and ', ' [illegible] ')"
 
-@query("""with t as (select doc_id, source, unnest(['i.e., ' || lang, lang || ' ' || (doc_id % 10)]) as note, unnest([1, 2]) as k from documents where doc_id % 3 = 0)
+
+@query("""with t as (select doc_id, source, 'i.e., ' || lang as note, unnest(range((length(text) - length(replace(text, ' the ', ''))) // 5)) as k from documents)
 select source, doc_id, note, cast(row_number() over (partition by source order by doc_id, k) as int) as number from t""")
 def footnote_numbers(spark, sf_dir):
-    text = F.concat(F.lit("a [i.e., "), F.col("lang"), F.lit("] b [lake] [illegible] ["), F.col("lang"), F.lit(" "), (F.col("doc_id") % 10).cast("string"), F.lit("] c"))
-    rows = documents(spark, sf_dir).filter("doc_id % 3 = 0").select("source", "doc_id", text.alias("t"))
+    rows = documents(spark, sf_dir).select("source", "doc_id", F.expr(_NOTED.format(text="text", lang="lang")).alias("t"))
     return sinks.numbered_notes(rows, ["source"], ["doc_id"], "t").select("source", "doc_id", "note", "number")
 
 
-@query("""with t as (select doc_id, case doc_id % 4 when 0 then 'Tale of the ' when 1 then 'There once was a Bargad and a BARGAD. ' when 2 then 'Stories from Panchatantra: ' else 'no ' end || lang as t from documents)
-select doc_id, case doc_id % 4 when 0 then lang when 1 then 'There was a Banyan and a BANYAN. ' || lang when 2 then lang else t end as styled,
-case doc_id % 4 when 0 then 'strip:TaleOf' when 1 then 'diction:once_was;terms:common' when 2 then 'strip:SfP' else '' end as rules from t join documents using (doc_id)""")
+@query(f"""with t as (select doc_id, doc_id % 4 as k, case doc_id % 4 when 0 then 'Tale of the ' when 1 then 'There once was a Bargad and a BARGAD. ' when 2 then 'Stories from Panchatantra: ' else 'no ' end || replace(text, ' of ', ' Bargad ') as raw from documents),
+a as (select *, regexp_replace(regexp_replace(regexp_replace(raw, '\\s*\\n+\\s*', ' ', 'g'), '\\s{{2,}}', ' ', 'g'), '{WS}', '', 'g') as clean from t),
+b as (select *, case k when 0 then regexp_replace(clean, '^Tale of the\\s+', '') when 1 then regexp_replace(clean, '^There once was', 'There was') when 2 then regexp_replace(clean, '^Stories from Panchatantra:\\s*', '') else clean end as cut from a),
+c as (select *, replace(replace(replace(cut, ' Bargad ', ' Banyan '), ' Bargad ', ' Banyan '), 'a BARGAD. ', 'a BANYAN. ') as styled from b)
+select doc_id, sha256(styled) as styled, array_to_string(list_filter([case when clean <> raw then 'whitespace/zw' end, case when cut <> clean then case k when 0 then 'strip:TaleOf' when 1 then 'diction:once_was' else 'strip:SfP' end end,
+    case when styled <> cut then 'terms:common' end], lambda x: x is not null), ';') as rules from c""")
 def style_rules(spark, sf_dir):
     k = F.col("doc_id") % 4
     head = F.when(k == 0, "Tale of the ").when(k == 1, "There once was a Bargad and a BARGAD. ").when(k == 2, "Stories from Panchatantra: ").otherwise("no ")
-    styled, rules = R.style(F.concat(head, F.col("lang")))
-    return documents(spark, sf_dir).select("doc_id", styled.alias("styled"), F.array_join(rules, ";").alias("rules"))
+    styled, rules = R.style(F.concat(head, F.replace("text", F.lit(" of "), F.lit(" Bargad "))))
+    return documents(spark, sf_dir).select("doc_id", F.sha2(styled, 256).alias("styled"), F.array_join(rules, ";").alias("rules"))
 
 
-@query("""with t as (select doc_id, substr(text, 1, 150) || ' ,bargad tree' as t from documents where not regexp_matches(text, '[^\\x00-\\x7f]'))
-select doc_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(replace(t, 'bargad', 'banyan'), '[ \\t]*\\n[ \\t]*', ' ', 'g'), '[ \\t]+', ' ', 'g'), '\\s+([,.;:?!])', '\\1', 'g'), '([,.;:?!])([^\\s])', '\\1 \\2', 'g'), '^\\s+|\\s+$', '', 'g') as polished from t""")
+@query(f"""with t as (select doc_id, replace(text, ' of ', ' bargad ,') || ' ,bargad tree' as t from documents),
+a as (select doc_id, regexp_replace(replace(translate(replace(t, 'bargad', 'banyan'), '“”‘’—–', '""''''--'), '…', '...'), '([\\p{{L}}\\p{{N}}_])-\\n([\\p{{L}}\\p{{N}}_])', '\\1\\2', 'g') as t from t),
+b as (select doc_id, regexp_replace(regexp_replace(regexp_replace(regexp_replace(t, '[ \\t]*\\n[ \\t]*', ' ', 'g'), '[ \\t]+', ' ', 'g'), '{WS}', '', 'g'), '\\s+([,.;:?!])', '\\1', 'g') as t from a)
+select doc_id, regexp_replace(regexp_replace(regexp_replace(t, '([,.;:?!])([^\\s])', '\\1 \\2', 'g'), '[ \\t]+', ' ', 'g'), '{WS}', '', 'g') as polished from b""")
 def term_map(spark, sf_dir):
-    rows = documents(spark, sf_dir).filter(~F.regexp_like("text", F.lit(r"[^\x00-\x7f]")))
-    text = R.apply_terms(F.concat(F.substring("text", 1, 150), F.lit(" ,bargad tree")), [("bargad", "banyan"), ("Panchatantr", "Panchatantra")])
-    return rows.select("doc_id", R.polish(text).alias("polished"))
+    text = F.concat(F.replace("text", F.lit(" of "), F.lit(" bargad ,")), F.lit(" ,bargad tree"))
+    return documents(spark, sf_dir).select("doc_id", R.polish(R.apply_terms(text, [("bargad", "banyan"), ("Panchatantr", "Panchatantra")])).alias("polished"))
 
 
 @query(f"""with {PASSAGES} select key, 'Context: Text: ' || upper(substr(doc, 1, 1)) || substr(doc, 2) || ' | Category: ' || lang || ' | Verse: ' || idx ||
@@ -572,9 +580,11 @@ def cache_hits(spark, sf_dir):
     return found.select("doc_id", F.col("output").isNotNull().alias("hit"), "output")
 
 
-@query("select lang as engine, count(*) as total, count(*) filter (where doc_id % 5 = 0) as empty, count(*) filter (where doc_id % 5 = 1) as junk, count(*) filter (where doc_id % 5 > 1) as kept from documents group by 1")
+@query(f"""with t as (select lang as engine, regexp_replace(case doc_id % 5 when 0 then '  ' when 1 then 'Sorry, but the text is garbled. ' || text else text end, '{WS}', '', 'g') as o from documents)
+select engine, count(*) as total, count(*) filter (where o = '') as empty, count(*) filter (where o <> '' and {_BOILER.format('o')}) as junk, count(*) filter (where not {_BOILER.format('o')}) as kept from t group by 1""")
 def cache_poison(spark, sf_dir):
-    output = F.when(F.col("doc_id") % 5 == 0, "  ").when(F.col("doc_id") % 5 == 1, "Sorry, but the text is garbled").otherwise("A fine text.")
+    k = F.col("doc_id") % 5
+    output = F.when(k == 0, "  ").when(k == 1, F.concat(F.lit("Sorry, but the text is garbled. "), F.col("text"))).otherwise(F.col("text"))
     return translate.poison_report(documents(spark, sf_dir).select(F.col("lang").alias("engine"), output.alias("output")))
 
 
@@ -715,11 +725,11 @@ def range_join(spark, sf_dir):
     return reports.in_ranges(table(spark, sf_dir, "orders").select("o_orderkey"), ranges, "o_orderkey").select("o_orderkey", "run")
 
 
-@query(f"with {PASSAGES} select p.key, p.doc, l.translation as hi, p.translation as en from passages p left join (select key, translation from passages where lang = 'de' and translation is not null) l on p.key = l.key where p.page_no < 10")
+@query(f"with {PASSAGES} select p.key, p.doc, l.translation as hi, p.translation as en from passages p left join (select key, translation from passages where lang = 'de' and translation is not null) l on p.key = l.key")
 def localized_rows(spark, sf_dir):
     rows = passages(spark, sf_dir)
     other = rows.filter("lang = 'de' and translation is not null").select("key", F.col("translation").alias("hi"))
-    return rows.filter("page_no < 10").join(other, "key", "left").select("key", "doc", "hi", F.col("translation").alias("en"))
+    return rows.join(other, "key", "left").select("key", "doc", "hi", F.col("translation").alias("en"))
 
 
 @query(f"with {PASSAGES} select distinct doc from passages where lang = 'fr' and trim(coalesce(translation, '')) <> ''")
@@ -734,11 +744,16 @@ def anchor_rows(spark, sf_dir):
     return passages(spark, sf_dir).select("key", translate.anchor(F.col("translation"), F.col("translation_qa")).alias("anchor"))
 
 
-@query("select d.doc_id, min(b.item_id) as item_id, count(b.item_id) as n from documents d left join benchmark b on substr(d.text, 1, 20) = substr(b.text, 1, 20) group by 1")
+_NORM = f"lower(regexp_replace(regexp_replace(text, '\\s+', ' ', 'g'), '{WS}', '', 'g'))"
+
+
+@query(f"""with refs as (select item_id as ref, {_NORM} as norm from benchmark union all select 1000000000 + doc_id, {_NORM} from documents where source = 'src1')
+select d.doc_id, min(r.ref) as ref, count(r.ref) as n from (select doc_id, {_NORM} as norm from documents) d left join refs r using (norm) group by 1""")
 def references_lookup(spark, sf_dir):
-    refs = table(spark, sf_dir, "benchmark").select("item_id", F.substring("text", 1, 20).alias("norm"))
-    rows = documents(spark, sf_dir).select("doc_id", F.substring("text", 1, 20).alias("norm"))
-    return rows.join(refs, "norm", "left").groupBy("doc_id").agg(F.min("item_id").alias("item_id"), F.count("item_id").alias("n"))
+    norm = F.lower(T.collapse(F.col("text"))).alias("norm")
+    items = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("ref"), norm)
+    refs = items.unionByName(documents(spark, sf_dir).filter("source = 'src1'").select((F.col("doc_id") + 1000000000).alias("ref"), norm))
+    return reports.references_of(documents(spark, sf_dir).select("doc_id", norm), refs, "doc_id", "norm", "ref")
 
 
 # --- search, samples ----------------------------------------------------------------------------
@@ -784,19 +799,20 @@ def known_forms(spark):
     return gazetteer.forms(entries)
 
 
-@query(f"""with {_FORMS}, t as (select doc_id, substr(text, 1, 200) as t from documents)
-select doc_id, cast(i - 1 as int) as start, cast(i - 1 + length(form) as int) as "end", form, label from t, forms, unnest(range(1, length(t) - length(form) + 2)) as u(i) where substr(t, i, length(form)) = form""")
+#: None of the forms overlaps itself, so the pieces between its places tell them.
+_PLACES = f"""{_FORMS}, pieces as (select doc_id, form, label, unnest(range(len(a))) as k, unnest(a) as piece from (select doc_id, form, label, string_split(text, form) as a from documents, forms)),
+places as (select doc_id, form, label, k, cast(sum(length(piece)) over (partition by doc_id, form order by k) + k * length(form) as bigint) as start, max(k) over (partition by doc_id, form) as last from pieces)"""
+
+
+@query(f"""with {_PLACES} select doc_id, cast(start as int) as start, cast(start + length(form) as int) as "end", form, label from places where k < last""")
 def entity_spans(spark, sf_dir):
-    rows = documents(spark, sf_dir).select("doc_id", F.substring("text", 1, 200).alias("t"))
-    return gazetteer.find_entities(rows, "doc_id", "t", known_forms(spark)).select("doc_id", "start", "end", "form", "label")
+    return gazetteer.find_entities(documents(spark, sf_dir), "doc_id", "text", known_forms(spark)).select("doc_id", "start", "end", "form", "label")
 
 
-@query(f"""with {_FORMS}, t as (select doc_id, substr(text, 1, 200) as t from documents)
-select doc_id, label, count(distinct i) as n from t, forms, unnest(range(1, length(t) - length(form) + 2)) as u(i) where substr(t, i, length(form)) = form and form in ('the', 'tion') group by 1, 2""")
+@query(f"with {_PLACES} select doc_id, label, count(*) as n from places where k < last and form in ('the', 'tion') group by 1, 2")
 def entity_dedup(spark, sf_dir):
-    rows = documents(spark, sf_dir).select("doc_id", F.substring("text", 1, 200).alias("t"))
     forms = known_forms(spark).filter("form in ('the', 'tion')")
-    found = gazetteer.find_entities(rows, "doc_id", "t", forms.union(forms))
+    found = gazetteer.find_entities(documents(spark, sf_dir), "doc_id", "text", forms.union(forms.withColumn("gaz_index", F.lit(7))))
     return gazetteer.dedupe(found, "doc_id").groupBy("doc_id", "label").agg(F.count("*").alias("n"))
 
 
@@ -829,26 +845,27 @@ def html_lines(spark, sf_dir):
     return pages.select("page_id", F.posexplode_outer("lines").alias("pos", "line")).filter("pos is not null")
 
 
-@query("select page_id, url from pages where contains(lower(url || ' ' || substr(html, 1, 200)), 'blog.') order by url, page_id limit 30")
+@query("select page_id, url from pages where contains(lower(url || ' ' || html), 'blog.') order by url, page_id limit 30")
 def archive_search(spark, sf_dir):
-    pages = table(spark, sf_dir, "pages").select("page_id", "url", F.substring("html", 1, 200).alias("head"))
-    return pages.filter(F.contains(F.lower(F.concat_ws(" ", "url", "head")), F.lit("blog."))).orderBy("url", "page_id").limit(30).select("page_id", "url")
+    pages = table(spark, sf_dir, "pages")
+    return pages.filter(F.contains(F.lower(F.concat_ws(" ", "url", "html")), F.lit("blog."))).orderBy("url", "page_id").limit(30).select("page_id", "url")
 
 
-@query("""select cast(c_custkey // 10 as int) as chapter, cast(c_custkey % 10 // 3 as int) as verse, count(*) as padas, string_agg(c_name, chr(10) order by c_custkey) as text, cast(dense_rank() over (order by c_custkey // 10) as int) as page_no
-from customer where c_custkey % 7 > 0 and c_custkey < 1000 group by c_custkey // 10, c_custkey % 10 // 3""")
+@query("""with l as (select c_custkey % 997 as c, c_custkey // 997 % 100 as v, c_custkey, c_name from customer where c_custkey % 7 > 0),
+p as (select c, dense_rank() over (order by c) as page_no from (select distinct c from l))
+select cast(c as int) as chapter, cast(v as int) as verse, count(*) as padas, string_agg(c_name, chr(10) order by c_custkey) as text, cast(any_value(page_no) as int) as page_no from l join p using (c) group by c, v""")
 def etext_verses(spark, sf_dir):
     k = F.col("c_custkey")
-    raw = F.concat(F.lit("01,"), F.lpad(F.expr("c_custkey div 10").cast("string"), 3, "0"), F.lit("."), F.lpad(F.expr("c_custkey % 10 div 3").cast("string"), 3, "0"), F.when(k % 7 == 0, "*0001").otherwise("a"), F.lit(" <b>"), F.col("c_name"), F.lit("</b>"))
-    lines = table(spark, sf_dir, "customer").filter("c_custkey < 1000").select(k.alias("pos"), raw.alias("value"))
+    raw = F.concat(F.lit("01,"), F.lpad(F.expr("c_custkey % 997").cast("string"), 3, "0"), F.lit("."), F.lpad(F.expr("c_custkey div 997 % 100").cast("string"), 3, "0"), F.when(k % 7 == 0, "*0001").otherwise("a"), F.lit(" <b>"), F.col("c_name"), F.lit("</b>"))
+    lines = table(spark, sf_dir, "customer").select(k.alias("pos"), raw.alias("value"))
     return files.etext_verses(files.etext_lines(lines, 1)).select("chapter", "verse", "padas", "text", "page_no")
 
 
-@query("""with n as (select 'd' || (o_custkey % 20) as doc, cast(o_orderkey % 50 as int) as page, o_orderkey % 3 as k from orders where o_orderkey < 4000)
+@query("""with n as (select 'd' || (o_custkey % 500) as doc, cast(o_orderkey // 3 % 10000 as int) as page, o_orderkey % 3 as k from orders)
 select distinct doc, page from n where k < 2 and not exists (select 1 from n m where m.doc = n.doc and m.page = n.page and m.k = 2)""")
 def missing_scans(spark, sf_dir):
-    name = F.expr("concat('d', o_custkey % 20, '_', lpad(o_orderkey % 50, 4, '0'), case when o_orderkey % 3 = 2 then case when o_orderkey % 2 = 0 then '_norm.jsonl' else '.jsonl' end else '.pdf' end)")
-    return files.missing_scans(table(spark, sf_dir, "orders").filter("o_orderkey < 4000").select(name.alias("name"), F.lit(1).alias("length")))
+    name = F.expr("concat('d', o_custkey % 500, '_', lpad(o_orderkey div 3 % 10000, 4, '0'), case when o_orderkey % 3 = 2 then case when o_orderkey % 2 = 0 then '_norm.jsonl' else '.jsonl' end else '.pdf' end)")
+    return files.missing_scans(table(spark, sf_dir, "orders").select(name.alias("name"), F.lit(1).alias("length")))
 
 
 @query("select doc_id, case doc_id % 3 when 0 then cast(doc_id as int) when 1 then 1 else cast(doc_id as int) end as page_no from documents")
@@ -871,12 +888,11 @@ def append_index(spark, sf_dir):
     return pages_in.append_index(old, rows.filter("o_orderkey % 2 = 1"), ["o_custkey"], ["o_orderkey"])
 
 
-@query("""select page_id, cast(row_number() over (partition by page_id % 9 order by page_id % 5 > 0, page_id) as int) as page_no from pages
-where length(html) > 1500 and (page_id % 5 > 0 or page_id < 45)""")
+@query("""select page_id, cast(row_number() over (partition by page_id % 9 order by page_id // 9 > 0, page_id) as int) as page_no from pages
+where length(html) > 1500""")
 def number_pages(spark, sf_dir):
-    rows = table(spark, sf_dir, "pages").filter("page_id % 5 > 0 or page_id < 45")
-    number = F.when(F.col("page_id") % 5 > 0, F.col("page_id"))
-    numbered = rows.select("page_id", (F.col("page_id") % 9).alias("book"), number.alias("n"), F.length("html").alias("size"))
+    number = F.when(F.col("page_id") >= 9, F.col("page_id"))  # the first page of each book is its index
+    numbered = table(spark, sf_dir, "pages").select("page_id", (F.col("page_id") % 9).alias("book"), number.alias("n"), F.length("html").alias("size"))
     return pages_in.number_pages(numbered, "book", "n", F.col("size") > 1500).select("page_id", "page_no")
 
 

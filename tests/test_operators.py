@@ -279,3 +279,29 @@ def test_shared_folder_is_asked_for_on_a_cluster(spark):
     store.clear()
     with pytest.raises(Exception):
         spark.read.parquet(f"{store.root}/002")
+
+
+def test_entities_in_both_plans(spark):
+    texts = ["rāma rāmāyaṇa", "", None, "x" * 50, "ab abc abcd b", "ab abc abcd b"]
+    entries = spark.createDataFrame([(0, "rāma", "PER", ["rām"]), (1, "abc", "X", ["ab", "b"]), (2, "abc", "Y", None), (3, "xxx", "Z", ["", None])], "gaz_index int, surface string, type string, aliases array<string>")
+    known = gazetteer.forms(entries)
+    rows = spark.createDataFrame(list(enumerate(texts)), "k long, t string").withColumn("form", F.lit(1)).withColumn("start", F.lit(2))
+    want = sorted(
+        (k, i, i + len(f.form), f.form, f.label, f.gaz_index)
+        for k, t in enumerate(texts) for f in known.collect() for i in range(len(t or "")) if (t or "").startswith(f.form, i)
+    )
+    for most in (100, 0):
+        got = gazetteer.find_entities(rows, "k", "t", known.union(known), max_forms=most)
+        assert sorted((r.k, r.start, r.end, r.form, r.label, r.gaz_index) for r in got.collect()) == want
+    assert gazetteer.find_entities(rows, "k", "t", known.limit(0)).count() == 0
+
+
+def test_one_row_for_each_key(spark):
+    old = spark.createDataFrame([(1, None, "o")], "k int, t string, v string")
+    new = spark.createDataFrame([(1, None, "n"), (None, "a", "p"), (None, "a", "q"), (2, "", "r"), (2, None, "s")], "k int, t string, v string")
+    assert sorted(r.v for r in upsert.first_wins(old, new, ["k", "t"], "v").collect()) == ["o", "p", "r", "s"]
+    assert sorted(r.v for r in upsert.last_wins(new, ["k", "t"], "v").collect()) == ["n", "q", "r", "s"]
+    twice = spark.createDataFrame([(1, "x", "b"), (1, "x", "a"), (5, "y", "c")], "k int, t string, v string")
+    got = upsert.upsert(old.fillna("x"), twice, ["k", "t"], replace=["v"]).collect()
+    assert sorted((r.k, r.v) for r in got) == [(1, "a"), (5, "c")]
+    assert reports.first_seen(new, ["k"], ["v"]).count() == 3
