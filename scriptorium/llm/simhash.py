@@ -227,8 +227,11 @@ def deduplicate(docs: DataFrame, largest: int = LARGEST, broadcast_rows: int = 5
     named = named_fingerprints(fps, store, largest)
     rows = fps.filter("doc_id is not null").groupBy("doc_id", "k0", "k1", "fp").agg(F.count("*").alias("n")).join(named.select("fp", "root"), "fp")
     rows = store.save(rows.select("root", F.struct("doc_id", "k0", "k1").alias("row"), "n"))
-    first = rows.groupBy("root").agg(F.min("row").alias("first"))
-    judged = store.save(rows.join(first, "root").select("row.k0", "row.k1", "n", (F.col("row") == F.col("first")).alias("stays")))
+    # a component of one row needs no verdict
+    several = store.save(rows.groupBy("root").agg(F.min("row").alias("first"), F.sum("n").alias("all")).filter("all > 1").drop("all"))
+    if several.count() <= broadcast_rows:
+        several = F.broadcast(several)
+    judged = store.save(rows.join(several, "root").select("row.k0", "row.k1", "n", (F.col("row") == F.col("first")).alias("stays")))
     store.drop(rows, fps, named)
     # rows that go, and those of which there are several that agree in all
     going = judged.filter("not stays or n > 1").select(F.col("k0").alias("__k0"), F.col("k1").alias("__k1"))
