@@ -186,6 +186,14 @@ PRICES = (
     ("openai:gpt-4o-mini-2024-07-18", 0.15, 0.60),
 )
 DEFAULT_PRICE = (0.15, 0.60)
+#: The same of the older cost report.
+LEGACY_PRICES = (
+    ("gemini:gemini-2.5-pro", 1.25, 10.00),
+    ("gemini:gemini-2.0-flash", 0.075, 0.30),
+    ("openai:gpt-4o-mini", 0.15, 0.60),
+    ("openai:gpt-4o", 2.50, 10.00),
+)
+LEGACY_DEFAULT = (1.25, 10.00)
 CHARS_PER_TOKEN = 4.0
 PROMPT_VERSION = "v2-2026-07-20"
 LEGACY_VERSION = "v1-legacy"

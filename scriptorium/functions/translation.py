@@ -294,7 +294,7 @@ def cache_key(text: Column, version: str = P.PROMPT_VERSION) -> Column:
     return F.sha2(F.concat(F.lit(version + "\x00"), text), 256)
 
 
-def price(engine: Column, side: int, exact: bool = True) -> Column:
+def price(engine: Column, side: int, exact: bool = True, prices=P.PRICES, default=P.DEFAULT_PRICE) -> Column:
     """USD for a million tokens, ``side`` 0 in or 1 out.
 
     ``exact`` looks for the engine's own entry first; else, and without it, the
@@ -302,14 +302,15 @@ def price(engine: Column, side: int, exact: bool = True) -> Column:
     """
     out = None
     for loose in ([False, True] if exact else [True]):
-        for name, *usd in P.PRICES:
+        for name, *usd in prices:
             fits = engine == name
             if loose:
                 fits = F.contains(engine, F.lit(name)) | F.contains(F.lit(name), engine)
             out = F.when(fits, usd[side]) if out is None else out.when(fits, usd[side])
-    return out.otherwise(P.DEFAULT_PRICE[side])
+    return out.otherwise(default[side])
 
 
-def cost(engine: Column, in_chars: Column, out_chars: Column, exact: bool = True) -> Column:
+def cost(engine: Column, in_chars: Column, out_chars: Column, exact: bool = True, prices=P.PRICES, default=P.DEFAULT_PRICE) -> Column:
     million = P.CHARS_PER_TOKEN * 1e6
-    return price(engine, 0, exact) * (in_chars / million) + price(engine, 1, exact) * (out_chars / million)
+    usd = lambda side: price(engine, side, exact, prices, default)
+    return usd(0) * (in_chars / million) + usd(1) * (out_chars / million)

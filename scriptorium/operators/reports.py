@@ -111,6 +111,37 @@ def doc_quality(rows: DataFrame, by: Sequence[str] = ("doc",)) -> DataFrame:
     return rows.groupBy(*by).agg(F.count("*").alias("n"), F.round(F.avg(F.coalesce("quality_score", F.lit(0.0))), 2).alias("avg_quality"))
 
 
+def wipe_counts(rows: DataFrame, doc: str, column: str = "doc") -> DataFrame:
+    """What wiping a document would take: passages, and translated ones among them."""
+    return rows.filter(F.col(column) == doc).agg(F.count("*").alias("total"), F.count_if(~T.is_blank(F.col("translation"))).alias("translated"))
+
+
+#: The orders of the review queue.
+QUEUE_ORDERS = {"page": ("page_no", "idx"), "quality": ("quality_score", "page_no", "idx"), "quality_desc": ("-quality_score", "page_no", "idx")}
+
+
+def queue_page(rows: DataFrame, mode: str = "page", page: int = 0, size: int = 40) -> DataFrame:
+    """One page of the queue, by place or by quality, weakest or best first; rows without a score come last."""
+    order = [F.desc_nulls_last(c[1:]) if c[0] == "-" else F.asc_nulls_last(c) for c in QUEUE_ORDERS[mode]]
+    return rows.orderBy(*order, "doc").offset(page * size).limit(size)
+
+
+def progress_snapshot(rows: DataFrame, limit: int = 20) -> DataFrame:
+    """One row for each document: rows done and in all, percent, mean score, and its latest ``limit`` rows, by ``seq``."""
+    done = ~T.is_blank(F.col("translation"))
+    latest = rows.filter(done).select("doc", F.struct("seq", "page_no", "idx", F.substring("translation", 1, 300).alias("translation")).alias("r"))
+    w = Window.partitionBy("doc").orderBy(F.desc("r.seq"))
+    ring = latest.withColumn("n", F.row_number().over(w)).filter(F.col("n") <= limit).groupBy("doc").agg(F.array_sort(F.collect_list("r")).alias("recent"))
+    totals = rows.groupBy("doc").agg(F.count_if(done).alias("done"), F.count("*").alias("total"), F.round(F.avg(F.when(done, F.col("translation_qa"))), 3).alias("mean_qa"))
+    return totals.withColumn("pct", F.round(100.0 * F.col("done") / F.col("total"), 1)).join(ring, "doc", "left")
+
+
+def by_priority(docs: DataFrame, order: Sequence[str], key: str = "doc") -> DataFrame:
+    """``place`` of each document in a list of priorities; others follow, by name."""
+    listed = F.array_position(F.array(*map(F.lit, order)), F.col(key)) if order else F.lit(0)
+    return docs.withColumn("place", F.nullif(listed.cast("int"), F.lit(0))).orderBy(F.asc_nulls_last("place"), key)
+
+
 def doc_status(docs: DataFrame, rows: DataFrame, key: str) -> DataFrame:
     """Every document with its rows and pages, also those without any."""
     counts = rows.groupBy(key).agg(F.count("*").alias("n_rows"), F.countDistinct("page_no").alias("n_pages"))
@@ -227,8 +258,11 @@ def contains(columns: Sequence[str], query: str) -> Column:
 
 
 def matches(columns: Sequence[str], query: str) -> Column:
-    """``word``, ``"a phrase"``, ``AND`` (also implied), ``OR``, ``NOT`` and parentheses over ``contains``."""
-    tokens = re.findall(r'"[^"]*"|[()]|[^\s()"]+', query)
+    """``word``, ``"a phrase"``, ``AND`` (also implied), ``OR``, ``NOT`` and parentheses over ``contains``.
+
+    ``column:word`` and ``column:"a phrase"`` look into one of the columns.
+    """
+    tokens = re.findall(r'[A-Za-z_]+:"[^"]*"|"[^"]*"|[()]|[^\s()"]+', query)
     at = 0
 
     def peek() -> str | None:
@@ -268,6 +302,9 @@ def matches(columns: Sequence[str], query: str) -> Column:
             return inner
         if token == "NOT":
             return ~one()
+        column, _, rest = token.partition(":")
+        if rest and column in columns:
+            return contains([column], rest.strip('"'))
         return contains(columns, token.strip('"'))
 
     out = either()

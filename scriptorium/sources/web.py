@@ -39,6 +39,21 @@ def books(pages: DataFrame) -> DataFrame:
     return pages.groupBy("book").agg(F.count("*").alias("n_pages"), F.min_by("section", "url").alias("section"))
 
 
+def manifest(pages: DataFrame, blocks: Column, include_index: bool = False) -> DataFrame:
+    """``book, pages, records, skipped``: pages that give records, their records, and pages that give none.
+
+    ``pages`` come from ``scan_archive``; ``blocks`` is the array of a page's records. An index page (null
+    ``book_doc``) is skipped unless it is asked for. Books without records are not in it.
+    """
+    size = F.when(F.col("book_doc").isNull() & F.lit(not include_index), 0).otherwise(F.coalesce(F.size(blocks), F.lit(0)))
+    return (
+        pages.select("book", size.alias("n"))
+        .groupBy("book")
+        .agg(F.count_if("n > 0").alias("pages"), F.sum("n").alias("records"), F.count_if("n <= 0").alias("skipped"))
+        .filter("records > 0")
+    )
+
+
 def search_pages(pages: DataFrame, columns: Sequence[str], query: str, slug: str, limit: int = 0) -> DataFrame:
     """Pages whose metadata holds ``query``, by slug; a limit of 0 is none."""
     found = pages.filter(F.contains(F.lower(F.concat_ws(" ", *columns)), F.lit(query.lower()))).orderBy(slug)
