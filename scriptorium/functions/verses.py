@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -257,14 +258,18 @@ def lemmas(text: Column) -> Column:
     )
 
 
+_NAME = re.compile(r"(?<!\w)[A-ZĀĪŪṚṜḶṄÑṬḌṆŚṢḤṂ][a-zāīūṛṝḷṅñṭḍṇśṣḥṃ]+")
+
+
 def proper_nouns(iast: Column) -> Column:
-    """Capitalised romanised words: ``array<struct<iast, start, end>>``, zero-based, the end exclusive."""
-    word = r"(?<![\p{L}\p{N}_])([A-ZĀĪŪṚṜḶṄÑṬḌṆŚṢḤṂ][a-zāīūṛṝḷṅñṭḍṇśṣḥṃ]+)"
-    tail = F.split(iast, word, -1)  # the text between names tells where each starts
-    names = F.regexp_extract_all(iast, F.lit(word), 1)
-    start = lambda i: F.aggregate(
-        F.slice(tail, 1, i + 1), F.lit(0), lambda a, s: a + F.length(s)
-    ) + F.aggregate(F.slice(names, 1, i), F.lit(0), lambda a, s: a + F.length(s))
-    return F.transform(
-        names, lambda n, i: F.struct(n.alias("iast"), start(i).alias("start"), (start(i) + F.length(n)).alias("end"))
-    )
+    """Capitalised romanised words: ``array<struct<iast, start, end>>``, zero-based, the end exclusive.
+
+    In one pass over a text; expressions would add up all that is before each name anew.
+    """
+    ship()
+
+    @F.pandas_udf("array<struct<iast: string, start: int, end: int>>")
+    def run(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: [{"iast": m.group(), "start": m.start(), "end": m.end()} for m in _NAME.finditer(t)], na_action="ignore")
+
+    return run(iast)

@@ -900,3 +900,6 @@ def number_pages(spark, sf_dir):
 def benchmark_rows(spark, sf_dir):
     rows = pages_in.page_range(passages(spark, sf_dir), "page_no", 5, 2)
     return rows.filter(pages_in.fit_for_benchmark(F.col("text"), F.col("quality_score"))).select("key", "page_no")
+
+
+from scriptorium.plans import more_queries  # noqa: E402, F401  registers the rest

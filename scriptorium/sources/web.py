@@ -49,7 +49,7 @@ def manifest(pages: DataFrame, blocks: Column, include_index: bool = False) -> D
     return (
         pages.select("book", size.alias("n"))
         .groupBy("book")
-        .agg(F.count_if("n > 0").alias("pages"), F.sum("n").alias("records"), F.count_if("n <= 0").alias("skipped"))
+        .agg(F.count_if(F.col("n") > 0).alias("pages"), F.sum("n").alias("records"), F.count_if(F.col("n") <= 0).alias("skipped"))
         .filter("records > 0")
     )
 
