@@ -200,21 +200,52 @@ def budget_gate(calls: DataFrame, order: str, cost: str, budget, by: Sequence[st
         first = at.first()  # one row
         return spent.withColumn("accepted", F.lit(True) if first["__breach"] is None else F.col(order) < F.lit(first["__breach"]))
     at = at.select(*(F.col(c).alias(f"__{c}") for c in by), "__breach")
-    on = F.lit(True)
-    for c in by:
-        on = on & F.col(c).eqNullSafe(F.col(f"__{c}"))
+    on = _same(by)
     late = F.coalesce(F.col(order) >= F.col("__breach"), F.lit(False))
     return spent.join(at, on, "left").withColumn("accepted", ~late).select(*spent.columns, "accepted")
 
 
-def failure_streaks(calls: DataFrame, by: Sequence[str], order: Sequence[str], ok: Column, limit: int = 15) -> DataFrame:
-    """``streak``: failures in a row up to each call, 0 at a success; ``aborts`` from ``limit`` on."""
-    w = Window.partitionBy(*by).orderBy(*order)
-    up_to = w.rowsBetween(Window.unboundedPreceding, 0)
-    island = calls.withColumn("__ok", ok.cast("int")).withColumn("__island", F.sum("__ok").over(up_to))
-    inside = Window.partitionBy(*by, "__island").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    streak = F.sum(1 - F.col("__ok")).over(inside)
-    return island.withColumn("streak", streak).withColumn("aborts", F.col("streak") >= limit).drop("__ok", "__island")
+def failure_streaks(
+    calls: DataFrame, by: Sequence[str], order: Sequence[str], ok: Column, limit: int = 15, width: float | None = None
+) -> DataFrame:
+    """``streak``: failures in a row up to each call, 0 at a success; ``aborts`` from ``limit`` on.
+
+    With ``width``, and an order that is one number, unique in a group, a group of any size is worked
+    out in blocks of ``width`` of it: what a block ends with is carried to the next ones.
+    """
+    if width is None:
+        blocks, keyed = list(by), calls
+    else:
+        blocks, keyed = [*by, "__block"], calls.withColumn("__block", F.floor(F.col(order[0]) / width))
+    up_to = Window.partitionBy(*blocks).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    island = keyed.withColumn("__ok", ok.cast("int")).withColumn("__island", F.sum("__ok").over(up_to))
+    inside = Window.partitionBy(*blocks, "__island").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    found = island.withColumn("streak", F.sum(1 - F.col("__ok")).over(inside))
+    if width is not None:
+        # of each block: whether it has a success, and its failures behind the last one
+        last = F.max_by(F.when(ok, F.col(order[0])), F.when(ok, F.col(order[0])))
+        ends = keyed.groupBy(*blocks).agg(last.alias("__last"))
+        tails = keyed.join(ends.select(*(F.col(c).alias(f"__{c}") for c in by), F.col("__block").alias("__b"), "__last"), _same(by) & F.col("__block").eqNullSafe(F.col("__b")))
+        tails = tails.groupBy(*blocks).agg(
+            F.max(F.col("__last").isNotNull()).alias("__any"), F.count_if(F.coalesce(F.col(order[0]) > F.col("__last"), F.lit(True))).alias("__tail")
+        )
+        over = Window.partitionBy(*by).orderBy("__block").rowsBetween(Window.unboundedPreceding, 0)
+        tails = tails.withColumn("__run", F.sum(F.col("__any").cast("int")).over(over))
+        since = Window.partitionBy(*by, "__run").orderBy("__block").rowsBetween(Window.unboundedPreceding, 0)
+        tails = tails.withColumn("__sum", F.sum("__tail").over(since))
+        carried = F.lag("__sum", 1, 0).over(Window.partitionBy(*by).orderBy("__block"))
+        tails = tails.select(*(F.col(c).alias(f"__{c}") for c in by), F.col("__block").alias("__b"), carried.alias("__carried"))
+        found = found.join(tails, _same(by) & F.col("__block").eqNullSafe(F.col("__b")))
+        found = found.withColumn("streak", F.col("streak") + F.when(F.col("__island") == 0, F.col("__carried")).otherwise(0))
+    return found.withColumn("aborts", F.col("streak") >= limit).select(*calls.columns, "streak", "aborts")
+
+
+def _same(by: Sequence[str]) -> Column:
+    """Null-safe equality of columns with those of the same name behind ``__``."""
+    on = F.lit(True)
+    for c in by:
+        on = on & F.col(c).eqNullSafe(F.col(f"__{c}"))
+    return on
 
 
 # --- history ------------------------------------------------------------------------------------

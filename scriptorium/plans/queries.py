@@ -645,7 +645,7 @@ def budget_gate(spark, sf_dir):
 select event_id, user_id, sum(case when event_type = 'error' then 1 else 0 end) over (partition by user_id, island order by event_id rows unbounded preceding)::bigint as streak from i""")
 def failure_streaks(spark, sf_dir):
     calls = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
-    return translate.failure_streaks(calls, ["user_id"], ["event_id"], F.col("event_type") != "error").select("event_id", "user_id", F.col("streak").cast("long").alias("streak"))
+    return translate.failure_streaks(calls, ["user_id"], ["event_id"], F.col("event_type") != "error", width=1000).select("event_id", "user_id", F.col("streak").cast("long").alias("streak"))
 
 
 @query(f"with {PASSAGES} select key, 'qa<0.6;prompt-upgrade:v1-legacy' as reason from passages where trim(coalesce(translation, '')) <> '' and translation_qa < 0.6 and mt_prompt_version = 'v1-legacy'")

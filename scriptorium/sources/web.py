@@ -67,18 +67,41 @@ _MARK = re.compile(
 _CLASSES = re.compile(r"""\bclass\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.IGNORECASE)
 
 
+#: What a start tag closes, and what bounds the search for it: end tags of items and paragraphs may be missing.
+_CLOSES = {"li": (("li",), ("ul", "ol", "menu"))} | {
+    tag: (("p",), ("div", "section", "article", "main", "li", "td", "th", "blockquote", "body"))
+    for tag in ("p", "h1", "h2", "h3", "h4", "ul", "ol", "li", "blockquote", "pre", "div", "table", "section", "article")
+    if tag != "li"
+}
+
+
 def _tag_texts(page: str | None) -> list[dict[str, str]]:
-    """Texts of the content tags in document order; nested ones repeat, as each tag gives its whole text."""
-    found: list[tuple[str, list[str]]] = []
-    opened: list[tuple] = []  # tag, whether it drops, where its text goes
+    """Texts of the content tags in document order; nested ones repeat, as each tag gives its whole text.
+
+    An item or paragraph whose end tag is missing ends where the next one begins.
+    """
+    found: list[list] = []  # tag, its first piece of text, the piece behind its last one
+    pieces: list[str] = []
+    opened: list[tuple] = []  # tag, whether it drops, its place in ``found``
+    places: dict[str, list[int]] = {}  # of each tag's open elements in ``opened``
     dropped, at, page = 0, 0, page or ""
 
     def say(raw: str) -> None:
         text = references.unescape(raw).strip() if not dropped else ""
         if text:
-            for _, _, into in opened:
-                if into is not None:
-                    into.append(text)
+            pieces.append(text)
+
+    def nearest(tags: Sequence[str]) -> int:
+        return max((places[t][-1] for t in tags if places.get(t)), default=-1)
+
+    def cut(k: int) -> None:
+        nonlocal dropped
+        while len(opened) > k:
+            name, drops, own = opened.pop()
+            places[name].pop()
+            dropped -= drops
+            if own is not None:
+                found[own][2] = len(pieces)
 
     for mark in _MARK.finditer(page):
         if mark.start() > at:
@@ -88,24 +111,26 @@ def _tag_texts(page: str | None) -> list[dict[str, str]]:
             continue
         tag = mark[3].lower()
         if mark[2]:
-            if any(tag == t for t, *_ in opened):
-                while opened:
-                    name, drops, _ = opened.pop()
-                    dropped -= drops
-                    if name == tag:
-                        break
+            if (k := nearest((tag,))) >= 0:
+                cut(k)
         elif tag not in VOID:
+            if tag in _CLOSES:
+                ends, bounds = _CLOSES[tag]
+                if (k := nearest(ends)) > nearest(bounds):
+                    cut(k)
             classes = _CLASSES.search(mark[4] or "")
-            own = " ".join(filter(None, classes.groups())).split() if classes else ()
-            drops = tag in DROPPED_TAGS or not set(own).isdisjoint(DROPPED_CLASSES)
+            names = " ".join(filter(None, classes.groups())).split() if classes else ()
+            drops = tag in DROPPED_TAGS or not set(names).isdisjoint(DROPPED_CLASSES)
             dropped += drops
-            into = None
+            own = None
             if tag in TAGS and not dropped:
-                into = []
-                found.append((tag, into))
-            opened.append((tag, drops, into))
+                own = len(found)
+                found.append([tag, len(pieces), len(pieces)])
+            places.setdefault(tag, []).append(len(opened))
+            opened.append((tag, drops, own))
     say(page[at:])
-    return [{"tag": tag, "text": re.sub(r"\s+", " ", " ".join(parts)).strip()} for tag, parts in found]
+    cut(0)
+    return [{"tag": tag, "text": re.sub(r"\s+", " ", " ".join(pieces[a:b])).strip()} for tag, a, b in found]
 
 
 def tag_texts(html: Column) -> Column:

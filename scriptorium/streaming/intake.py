@@ -35,22 +35,29 @@ def hourly_usage(events: DataFrame, ts: str = "ts", late: str = "1 hour") -> Dat
     )
 
 
-STREAK = "doc string, failures long, aborted boolean"
+STREAK = "doc string, failures long, aborted boolean, late long"
 
 
 def streak_states(events: DataFrame, limit: int = 15) -> DataFrame:
     """For each ``doc`` the failures in a row so far (``doc, ok, seq``) and whether they reached ``limit``.
 
-    State is one count for each document, so it is bounded by the documents.
+    State is three numbers for each document, so it is bounded by the documents. A row whose ``seq`` is
+    not above all that came in earlier batches comes too late to be counted in its place: it is left out, and
+    ``late`` says how many there were.
     """
 
     def run(key: tuple, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        failures, aborted = state.get if state.exists else (0, False)
-        rows = pd.concat(list(batches)).sort_values("seq")
+        failures, aborted, last, late = state.get if state.exists else (0, False, -(1 << 62), 0)
+        rows = pd.concat([b[["seq", "ok"]] for b in batches]).sort_values("seq", kind="stable")
+        late += int((rows["seq"] <= last).sum())
+        rows = rows[rows["seq"] > last]
         for ok in rows["ok"]:
             failures = 0 if ok else failures + 1
             aborted = aborted or failures >= limit
-        state.update((int(failures), bool(aborted)))
-        yield pd.DataFrame({"doc": [key[0]], "failures": [failures], "aborted": [aborted]})
+        last = max(last, int(rows["seq"].max())) if len(rows) else last
+        state.update((int(failures), bool(aborted), int(last), int(late)))
+        yield pd.DataFrame({"doc": [key[0]], "failures": [failures], "aborted": [aborted], "late": [late]})
 
-    return events.groupBy("doc").applyInPandasWithState(run, STREAK, "failures long, aborted boolean", "update", "NoTimeout")
+    return events.groupBy("doc").applyInPandasWithState(
+        run, STREAK, "failures long, aborted boolean, last long, late long", "update", "NoTimeout"
+    )

@@ -305,3 +305,18 @@ def test_one_row_for_each_key(spark):
     got = upsert.upsert(old.fillna("x"), twice, ["k", "t"], replace=["v"]).collect()
     assert sorted((r.k, r.v) for r in got) == [(1, "a"), (5, "c")]
     assert reports.first_seen(new, ["k"], ["v"]).count() == 3
+
+
+@pytest.mark.parametrize("width", [None, 1, 3, 7, 1000])
+def test_streaks_in_blocks(spark, width):
+    import random
+
+    rng = random.Random(4)
+    rows = [(rng.choice(["a", "b", None]), k, rng.random() < 0.3, 5) for k in range(200)]
+    want, runs = {}, {}
+    for doc, n, ok, _ in rows:
+        runs[doc] = want[n] = 0 if ok else runs.get(doc, 0) + 1
+    frame = spark.createDataFrame(rows, "doc string, n long, ok boolean, streaky int")
+    got = translate.failure_streaks(frame, ["doc"], ["n"], F.col("ok"), 4, width)
+    assert {r.n: r.streak for r in got.collect()} == want and all(r.aborts == (r.streak >= 4) for r in got.collect())
+    assert got.columns == [*frame.columns, "streak", "aborts"]

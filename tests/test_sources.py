@@ -61,6 +61,18 @@ PAGE = """<html><body><nav><p>Home</p></nav><p>before</p><main><h1>Title</h1><p>
 <div class="ad"><p>buy</p></div><h2>Sub</h2><p>x</p><p>more &amp; more</p><h3>Comments:</h3><p>late</p></main></body></html>"""
 
 
+def test_missing_end_tags_and_long_pages():
+    import time
+
+    texts = lambda page: [(x["tag"], x["text"]) for x in web._tag_texts(page)]
+    assert texts("<ul><li>a<li>b<ul><li>c</ul><li>d</ul><p>e<p>f<h2>g</h2>h") == [("li", "a"), ("li", "b c"), ("li", "c"), ("li", "d"), ("p", "e"), ("p", "f"), ("h2", "g")]
+    assert texts("<blockquote>x <p>y</p> z</blockquote></i></b>") == [("blockquote", "x y z"), ("p", "y")]
+    for page in ("<li>x" * 100_000, "<b>" * 100_000 + "</i>" * 100_000, "<div>" * 100_000 + "x", "<p>x" * 100_000):
+        began = time.perf_counter()
+        web._tag_texts(page)
+        assert time.perf_counter() - began < 5
+
+
 def test_web(spark, one):
     assert one(web.content_lines(F.lit(PAGE), F.lit("t"), LATIN)) == ["# Title", "One two", "item", "# Sub", "x", "more & more"]
     assert one(web.content_lines(F.lit("<div>x</div>"), F.lit("t"))) == ["# t"]
@@ -159,3 +171,14 @@ def test_streak_state(spark, tmp_path):
     q.awaitTermination()
     got = {r.doc: (r.failures, r.aborted) for r in spark.table("streaks").collect()}
     assert got == {"d": (0, True), "e": (1, False)}
+
+
+def test_streaks_say_what_comes_late(spark, tmp_path):
+    schema, seen = "doc string, ok boolean, seq long", []
+    for k, part in enumerate([[("d", False, 1), ("d", False, 2)], [("d", True, 2), ("d", False, 0), ("d", False, 3)]]):
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        stream = intake.streak_states(spark.readStream.schema(schema).parquet(f"{tmp_path}/in"), 3)
+        keep = lambda batch, _: seen.extend(batch.collect())
+        query = stream.writeStream.outputMode("update").foreachBatch(keep).option("checkpointLocation", f"{tmp_path}/state").trigger(availableNow=True).start()
+        query.awaitTermination()
+        assert (seen[-1].failures, seen[-1].aborted, seen[-1].late) == [(2, False, 0), (3, True, 2)][k]
