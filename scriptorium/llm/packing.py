@@ -10,7 +10,9 @@ back. Slack that no subset fills takes the head of another remainder. The rest a
 a task's end is cut into windows whose lengths are powers of two, which need no
 padding. So no id is padding, lost or repeated.
 
-There is no shuffle; a task holds ``pool_tokens`` ids and one Arrow batch.
+There is no shuffle; a task holds ``pool_tokens`` ids, one Arrow batch, and all ids of the
+document it reads (4 bytes for each). A task ends with at most 12 short sequences, one of
+each power of two below a window's.
 Sequence ids are the task's number times 2**36 plus a count, so they are unique
 within a run; a task that is run again gives the same ones.
 
@@ -20,7 +22,8 @@ here, and pieces are looked up in a table of those that the library has encoded
 before (at most ``CACHED``); other texts, and those with control strings, go to
 the library whole, long ones cut at safe spaces.
 
-Defined results: a null or empty text is the end id alone; repeated rows are
+Defined results: a null or empty text is the end id alone; of remainders of equal length
+the one that came last goes first; very long texts are read whole; repeated rows are
 packed one by one; an empty table gives an empty table; other columns stay out,
 whatever their names; a null ``doc_id`` stays null.
 """

@@ -14,7 +14,8 @@ part with a window of 20 characters that has at most 0.85 of that.
 
 Spans are ``(kind, start, end)`` in code points, the end exclusive, ordered by
 start, then kind as in ``KINDS``. Defined results: a null text counts as empty
-and has no span; repeated rows are scanned one by one; an empty table gives an
+and has no span; spans of one start are in the order of ``KINDS``; very long texts are scanned
+whole; repeated rows are scanned one by one; an empty table gives an
 empty table; other columns stay out (``redact`` keeps them), whatever their names;
 a null ``doc_id`` stays null.
 """

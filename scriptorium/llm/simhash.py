@@ -23,7 +23,8 @@ Components come from label propagation with pointer jumping over the edges, in
 DataFrame joins; every round is written to the shared folder.
 
 Defined results: null texts and texts without a word have fingerprint zero and
-link like any other; rows without a ``doc_id`` take no part in a component's
+link like any other; a bit set in exactly half of the hashes is 0; very long texts are read whole, in
+blocks; rows without a ``doc_id`` take no part in a component's
 smallest id (null where no row of the component has one); repeated rows are
 returned as often as they come; an empty table gives an empty table; other
 columns stay out, whatever their names.

@@ -6,7 +6,8 @@ rows, or an error) and has ``dims`` weights; both bounds are parameters. Its fea
 n-grams (``NGRAMS``) of ``^host$`` and of the path, hashed by ``xxhash64``.
 
 Defined results: a null URL, or one without ``://``, has an empty host and path,
-no rule, and the verdict of the model on empty strings; repeated rows are judged
+no rule, and the verdict of the model on empty strings; very long URLs are read whole, their
+n-grams are distinct; a score at the threshold blocks; repeated rows are judged
 alike, row by row; an empty table gives an empty table; other columns stay out.
 Rules of equal length: the one that sorts first wins.
 """
@@ -52,11 +53,14 @@ def longest_rule(rules: Sequence[str], verdicts: Sequence[str], max_rules: int =
     return (none, none) if rule is None else (rule, verdict)
 
 
-def match_rule_table(urls: DataFrame, rules: DataFrame, key: str) -> DataFrame:
+def match_rule_table(urls: DataFrame, rules: DataFrame, key: str, broadcast_rules: int = 200_000) -> DataFrame:
     """As ``longest_rule``, with the rules ``(rule, verdict)`` in a table of any size.
 
     A host is looked up under each of its suffixes, an equi-join; only rows of a
-    host that has rules meet. Returns ``key, rule, verdict`` of rows with a rule.
+    host that has rules meet. Returns ``key, rule, verdict`` of rows with a rule. Rules are
+    broadcast if they have been counted to be at most ``broadcast_rules``; else a frequent suffix
+    (``com``) meets its few rules between two exchanges, which are split where they are skewed. The best rule of
+    a row is an aggregate that shrinks before its shuffle.
     """
     labels = F.split("host", r"\.")
     suffixes = F.transform(
@@ -69,6 +73,8 @@ def match_rule_table(urls: DataFrame, rules: DataFrame, key: str) -> DataFrame:
         "rule",
         "verdict",
     )
+    if rules.limit(broadcast_rules + 1).count() <= broadcast_rules:
+        keyed = F.broadcast(keyed)
     best = F.struct(F.length("rule").alias("n"), F.col("rule"), F.col("verdict"))
     return (
         urls.select(key, "path", F.explode(suffixes).alias("at"))

@@ -193,6 +193,15 @@ def test_packing_odd_texts(spark):
     rows = P.pack(docs, capacity=64, pool_tokens=500).collect()
     assert check_packing(rows, {k: library.encode(t or "", add_special_tokens=False).ids + [2] for k, t in enumerate(texts)}, 64) == 0
     assert P.pack(docs_of(spark, [])).count() == 0
+    twice = P.pack(docs_of(spark, [(7, "the same text"), (7, "the same text"), (None, "the same text")]).withColumn("offset", F.lit("x"))).collect()
+    assert sorted((r.doc_id is None, r.doc_id or 0) for r in twice if r.start == 0) == [(False, 7), (False, 7), (True, 0)]
+    assert sum(r.length for r in twice) == sum(r.doc_tokens for r in twice if r.start == 0)
+
+
+def test_short_sequences_are_few(spark):
+    docs = docs_of(spark, [(k, "word " * (k % 900)) for k in range(400)]).coalesce(1)
+    sizes = [r.n for r in P.pack(docs).groupBy("sequence_id").agg(F.sum("length").alias("n")).collect()]
+    assert all(n & (n - 1) == 0 for n in sizes) and sum(n < 4096 for n in sizes) <= 12
 
 
 def test_packing_query(spark):
