@@ -12,6 +12,7 @@ from scriptorium.functions import text as T
 from scriptorium.functions import translation as R
 from scriptorium.functions.profiles import DEVA, LEGACY_VERSION, PROMPT_VERSION, ScriptProfile
 from scriptorium.operators.blocks import running_sum
+from scriptorium.operators.reports import first_seen
 from scriptorium.operators.upsert import first_wins
 from scriptorium.session import ship
 
@@ -134,12 +135,12 @@ def translate(
     """``rows`` (with ``key, doc, page_no, idx, text, iast, ...``) with ``output``, ``hit`` and scores.
 
     Hits come from the cache. A text that is missed is sent once, with the context of
-    its first place, and its answer is stitched to all rows of that text.
+    its first place, and its answer is stitched to all rows of that text. All rows are for one
+    engine and one pair of languages, so the text's hash is the whole key.
     """
     keyed = with_cache_key(rows, name, "sa", lang)
     found = lookup(keyed, cache).withColumn("hit", F.col("output").isNotNull())
-    first = Window.partitionBy("text_hash").orderBy("doc", "page_no", "idx")
-    misses = found.filter("not hit").withColumn("__n", F.row_number().over(first)).filter("__n = 1")
+    misses = first_seen(found.filter("not hit"), ["text_hash"], ["doc", "page_no", "idx"])
     asked = run_engine(
         misses.withColumn("message", R.user_message(F.col("text"), F.col("iast"), F.col("context"), F.lit(None).cast("string"))),
         engine,

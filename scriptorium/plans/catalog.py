@@ -30,10 +30,22 @@ class Catalog:
         v = version if version is not None else self.versions(table)[-1]
         return self.spark.read.parquet(f"{self.root}/{table}/v={v}")
 
-    def write(self, table: str, rows: DataFrame, partition_by: tuple[str, ...] = ()) -> int:
-        """A new version; it may be made from the one that counts so far, as that is left alone."""
+    def tagged(self, table: str, tag: str) -> int | None:
+        """The version that was written under a tag."""
+        marks = (v for v in self.versions(table) if self._fs.exists(self._path(f"{self.root}/{table}/v={v}/_tag-{tag}")))
+        return next(marks, None)
+
+    def write(self, table: str, rows: DataFrame, partition_by: tuple[str, ...] = (), tag: str | None = None) -> int:
+        """A new version; it may be made from the one that counts so far, as that is left alone.
+
+        What has been written under a ``tag`` is not written again.
+        """
+        if tag is not None and (done := self.tagged(table, tag)) is not None:
+            return done
         v = (self.versions(table) or [0])[-1] + 1
         rows.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{self.root}/{table}/v={v}")
+        if tag is not None:
+            self._fs.create(self._path(f"{self.root}/{table}/v={v}/_tag-{tag}")).close()
         return v
 
     def prune(self, table: str, keep: int = 3) -> None:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from hashlib import sha256
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -46,21 +48,25 @@ def passages_of(pages: DataFrame, profile: ScriptProfile = DEVA) -> DataFrame:
     return numbered.join(normal, ["doc", "page_no", "line"])
 
 
-def ingest(catalog: Catalog, pages: DataFrame, profile: ScriptProfile = DEVA, iast: bool = True) -> int:
-    """Upserts a run's pages; translations, and passages that are gone from a page, stay."""
+def ingest(catalog: Catalog, pages: DataFrame, profile: ScriptProfile = DEVA, iast: bool = True, tag: str | None = None) -> int:
+    """Upserts a run's pages; translations, and passages that are gone from a page, stay. A ``tag`` is ingested once."""
+    if tag is not None and (done := catalog.tagged("passages", tag)) is not None:
+        return done
     new = passages_of(pages, profile)
     new = upsert.adapt(new.withColumn("iast", V.to_iast(F.col("text")) if iast else F.lit(None).cast("string")), PASSAGES, {})
     if not catalog.exists("passages"):
-        return catalog.write("passages", new)
-    return catalog.write("passages", upsert.upsert_passages(catalog.read("passages"), new))
+        return catalog.write("passages", new, tag=tag)
+    return catalog.write("passages", upsert.upsert_passages(catalog.read("passages"), new), tag=tag)
 
 
 def ingest_inbox(catalog: Catalog, path: str, checkpoint: str, profile: ScriptProfile = DEVA) -> None:
     """Ingests what is new in a folder of page files, batch by batch; a batch that is run again changes nothing."""
 
-    def apply(batch: DataFrame, _: int) -> None:
+    stream = sha256(checkpoint.encode()).hexdigest()[:16]  # numbers of batches are a checkpoint's own
+
+    def apply(batch: DataFrame, number: int) -> None:
         code = F.regexp_replace(F.regexp_replace("stem", "_norm$", ""), "_[0-9]+$", "")
-        ingest(catalog, batch.select(code.alias("doc"), page_from_name(F.col("stem")).alias("page_no"), "line", "text"), profile)
+        ingest(catalog, batch.select(code.alias("doc"), page_from_name(F.col("stem")).alias("page_no"), "line", "text"), profile, tag=f"{stream}-{number}")
 
     upsert_stream(inbox(catalog.spark, path), apply, checkpoint).awaitTermination()
 
