@@ -237,8 +237,8 @@ def is_table_fragment(text: Column) -> Column:
 
 def is_front_matter(text: Column, profile: ScriptProfile = DEVA) -> Column:
     """A publisher's banner anywhere, or a front-matter word in a text with next to none of the script."""
-    plain = script_share(text, profile) <= 0.05
-    return let(F.lower(text), lambda t: contains_any(t, P.PUBLISHER_BANNERS) | (plain & contains_any(t, P.FRONT_MATTER)))
+    plain = script_share(text, profile) <= 0.05  # the share is worked out only where there is such a word
+    return let(F.lower(text), lambda t: contains_any(t, P.PUBLISHER_BANNERS) | (contains_any(t, P.FRONT_MATTER) & plain))
 
 
 def worth_translating(text: Column, profile: ScriptProfile = DEVA, least: float = 0.05) -> Column:
