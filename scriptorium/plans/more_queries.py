@@ -11,7 +11,7 @@ from scriptorium.functions import text as T
 from scriptorium.functions import translation as R
 from scriptorium.functions import verses as V
 from scriptorium.functions.profiles import LATIN
-from scriptorium.operators import batches, gazetteer, intake, ledger, reports, segment, sinks, translate, upsert
+from scriptorium.operators import batches, gazetteer, intake, jobs, ledger, reports, segment, sinks, translate, upsert
 from scriptorium.plans.catalog import Catalog
 from scriptorium.plans.queries import _BOILER, _DONE, _FRONT, _HEADING, _LOST, _NOISE, _TABLE, PAIRS, PASSAGES, WS, documents, pairs, passages, query
 from scriptorium.session import Durable, table
@@ -432,3 +432,81 @@ def resegmented(spark, sf_dir):
     numbered = F.transform(lines, lambda x, i: F.when(i < F.size(lines) - 1, F.concat(x, F.lit(" "), (1 + i % 9).cast("string"))).otherwise(x))
     rows = documents(spark, sf_dir).select("doc_id", F.lit(1).alias("page"), F.array_join(numbered, "\n").alias("t"))
     return segment.resegment(rows, "doc_id", "page", "t", profile=LATIN).select("doc_id", "pos", "verse_ref", "text")
+
+
+# --- scans, chunks, pages of the web, jobs ------------------------------------------------------
+
+
+def _dim_reader(content: bytes, dpi: int, lang: str, preproc: str, psm: int) -> str:
+    """Stands in for recognition: the lower the resolution, the more letters it takes for others or misses."""
+    text = content.decode()
+    if dpi < 450:
+        return text.replace("e", "").replace("a", "")
+    return text.replace("e", "") if dpi < 600 else text
+
+
+_CLEANED = f"regexp_replace(array_to_string(list_transform(string_split({{0}}, chr(10)), lambda x: regexp_replace(x, '{WS}', '', 'g')), chr(10)), '{WS}', '', 'g')"
+
+
+@query(f"""with t as (select doc_id, {_CLEANED.format("replace(replace(text, 'e', ''), 'a', '')")} as a, {_CLEANED.format("replace(text, 'e', '')")} as b, {_CLEANED.format('text')} as c from documents)
+select doc_id, case when length(a) >= 20 then 300 when length(b) >= 20 then 450 when length(c) >= 20 or length(c) > greatest(length(a), length(b)) then 600 when length(b) > length(a) then 450 else 300 end as dpi,
+sha256(case when length(a) >= 20 then a when length(b) >= 20 then b when length(c) >= 20 or length(c) > greatest(length(a), length(b)) then c when length(b) > length(a) then b else a end) as text from t""")
+def scan_pages(spark, sf_dir):
+    pages = documents(spark, sf_dir).select(F.col("doc_id").cast("string").alias("path"), F.col("text").cast("binary").alias("content"))
+    return intake.read_scans(pages, _dim_reader).select(F.col("path").cast("long").alias("doc_id"), "dpi", F.sha2("text", 256).alias("text"))
+
+
+@query(f"""with recursive l as (select doc_id, i, case when length(raw) < 12 then '# ' || raw else raw end as raw from (select doc_id, unnest(range(1, len(a) + 1)) as i, unnest(a) as raw from (select doc_id, string_split(text, chr(10)) as a from documents))),
+t as (select doc_id, i, regexp_replace(regexp_replace(raw, '\\s+', ' ', 'g'), '{WS}', '', 'g') as x from l),
+s(doc_id, i, x, chunk, n) as (select doc_id, 0::bigint, '', 0, 0 from documents
+    union all select t.doc_id, t.i, t.x, case when s.n > 0 and t.x <> '' and not starts_with(t.x, '# ') and s.n + length(t.x) + 1 <= 600 or t.x = '' then s.chunk else s.chunk + 1 end,
+        case when s.n > 0 and t.x <> '' and not starts_with(t.x, '# ') and s.n + length(t.x) + 1 <= 600 then s.n + length(t.x) + 1 when t.x = '' or starts_with(t.x, '# ') then 0 else length(t.x) + 1 end
+    from s join t on t.doc_id = s.doc_id and t.i = s.i + 1)
+select doc_id, cast(dense_rank() over (partition by doc_id order by chunk) - 1 as int) as pos, string_agg(x, chr(10) order by i) as chunk from s where i > 0 and x <> '' group by doc_id, s.chunk""")
+def greedy_chunks(spark, sf_dir):
+    lines = F.transform(F.split("text", "\n", -1), lambda x: F.when(F.length(x) < 12, F.concat(F.lit("# "), x)).otherwise(x))
+    return documents(spark, sf_dir).select("doc_id", F.posexplode_outer(segment.greedy_chunks(lines, 600)).alias("pos", "chunk")).filter("pos is not null")
+
+
+_PLAIN = f"regexp_replace(regexp_replace(replace(replace(replace(replace(regexp_replace({{0}}, '<[^>]*>', ' ', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '\"'), '&amp;', '&'), '\\s+', ' ', 'g'), '{WS}', '', 'g')"
+
+
+@query(f"""with a as (select page_id, regexp_extract(html, '(?s)<h1>(.*?)</h1>', 1) as h, string_split(regexp_extract(html, '(?s)</h1>(.*)</article>', 1), '<p>') as p from pages),
+t as (select page_id, 0 as k, '# ' || {_PLAIN.format('h')} as line, {_PLAIN.format('h')} as t from a union all
+    select page_id, k, t, t from (select page_id, k, {_PLAIN.format("string_split(piece, '</p>')[1]")} as t from (select page_id, unnest(range(len(p))) as k, unnest(p) as piece from a)) where k > 0)
+select page_id, cast(row_number() over (partition by page_id order by k) - 1 as int) as pos, line from t where t <> '' and not (length(t) <= 2 and length(regexp_replace(t, '[^A-Za-z]', '', 'g')) = 0)""")
+def html_lines(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages").select("page_id", web.content_lines(F.col("html"), F.lit(None).cast("string"), LATIN).alias("lines"))
+    return pages.select("page_id", F.posexplode_outer("lines").alias("pos", "line")).filter("pos is not null")
+
+
+@query("""with j as (select o_orderkey as seq, case o_orderkey % 5 when 0 then 'ocr' when 1 then 'translate' when 2 then 'export' when 3 then 'ingest' else 'heal' end as kind, 'd' || (o_custkey % 50) as doc,
+    case when o_orderkey in (3, 7) then 'running' when o_orderkey % 3 = 0 then 'queued' else 'done' end as state from orders),
+l as (select *, case when kind in ('ocr', 'translate') then kind else 'other' end as pool from j where state <> 'done'),
+f as (select kind, doc, any_value(pool) as pool, min(seq) as seq from l group by kind, doc having count(*) filter (where state = 'running') = 0),
+r as (select *, row_number() over (partition by pool order by seq) as n from f), b as (select pool, count(*) as busy from l where state = 'running' group by 1)
+select seq, kind, doc, r.pool from r left join b on r.pool = b.pool where n <= case r.pool when 'ocr' then 2 when 'translate' then 1 else 3 end - coalesce(busy, 0)""")
+def job_slots(spark, sf_dir):
+    k = F.col("o_orderkey")
+    kind = F.when(k % 5 == 0, "ocr").when(k % 5 == 1, "translate").when(k % 5 == 2, "export").when(k % 5 == 3, "ingest").otherwise("heal")
+    state = F.when(k.isin(3, 7), "running").when(k % 3 == 0, "queued").otherwise("done")
+    rows = table(spark, sf_dir, "orders").select(k.alias("seq"), kind.alias("kind"), F.concat(F.lit("d"), (F.col("o_custkey") % 50).cast("string")).alias("doc"), state.alias("state"))
+    return jobs.startable(rows)
+
+
+@query("""with p as (select p_partkey, p_name, strpos(p_name, 'a') as hit from part)
+select p_partkey, to_json({'data': {'text': p_name}, 'predictions': [{'result': case when hit > 0 then [{'from_name': 'labels', 'to_name': 'text', 'type': 'labels',
+    'value': {'start': hit - 1, 'end': hit, 'text': 'a', 'labels': ['LOC']}}] else [] end}]})::varchar as task from p""")
+def annotation_tasks(spark, sf_dir):
+    rows = table(spark, sf_dir, "part").select("p_partkey", "p_name")
+    at = F.locate("a", "p_name")
+    found = rows.filter(at > 0).select("p_partkey", (at - 1).alias("start"), at.alias("end"), F.lit("a").alias("form"), F.lit("LOC").alias("label"))
+    other = found.withColumn("label", F.lit("WORD"))  # no label of annotation
+    return jobs.annotation_tasks(rows, found.unionByName(other), "p_partkey", "p_name")
+
+
+@query("select o_orderkey, (o_orderkey % 7)::int as pages from orders")
+def pdf_page_counts(spark, sf_dir):
+    page = "'1 0 obj << /Type /Page /Parent 2 0 R >> endobj '"
+    content = F.expr(f"cast(concat('%PDF-1.4 << /Type /Pages /Count 9 >> ', repeat({page}, cast(o_orderkey % 7 as int))) as binary)")
+    return table(spark, sf_dir, "orders").select("o_orderkey", files.pdf_pages(content).alias("pages"))

@@ -415,12 +415,6 @@ def line_blocks(spark, sf_dir):
     return segment.line_blocks(text_lines(spark, sf_dir), ["doc_id"], "line_no", "line", F.contains("line", F.lit("th")))
 
 
-@query()
-def greedy_chunks(spark, sf_dir):
-    lines = F.transform(F.split("text", "\n", -1), lambda x: F.when(F.length(x) < 12, F.concat(F.lit("# "), x)).otherwise(x))
-    return documents(spark, sf_dir).select("doc_id", F.posexplode_outer(segment.greedy_chunks(lines, 600)).alias("pos", "chunk")).filter("pos is not null")
-
-
 @query("select c.doc_id, count(*) as n_clauses, coalesce(sum(len(c.w)), 0)::bigint as n_words from (select doc_id, list_filter(string_split_regex(unnest(string_split_regex(regexp_replace(text, '^\\s+|\\s+$', '', 'g'), '[|.\\n]+')), '\\s+'), lambda x: x <> '') as w from documents) c where len(c.w) > 0 group by 1")
 def sandhi_tokens(spark, sf_dir):
     c = V.clauses(F.col("text"), LATIN)
@@ -839,12 +833,6 @@ def html_headings(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", F.coalesce(F.get(web.headings(F.col("html")), F.lit(0)), F.lit("")).alias("heading"))
 
 
-@query()
-def html_lines(spark, sf_dir):
-    pages = table(spark, sf_dir, "pages").select("page_id", web.content_lines(F.col("html"), F.lit(None).cast("string"), LATIN).alias("lines"))
-    return pages.select("page_id", F.posexplode_outer("lines").alias("pos", "line")).filter("pos is not null")
-
-
 @query("select page_id, url from pages where contains(lower(url || ' ' || html), 'blog.') order by url, page_id limit 30")
 def archive_search(spark, sf_dir):
     pages = table(spark, sf_dir, "pages")
