@@ -47,7 +47,7 @@ _PASSAGES = """
     select d.doc_id as key, d.source as doc, cast(d.doc_id {div} 40 as int) as page_no, cast(d.doc_id % 40 as int) as idx, d.text, d.lang,
         case d.doc_id % 6 when 0 then null when 1 then 'mula' when 2 then 'tika' when 3 then 'noise' when 4 then 'prose' else 'frontmatter' end as text_type,
         cast(d.doc_id % 11 as double) / 10 as quality_score,
-        case when l.quality is null then null when d.doc_id % 9 = 0 then '  ' else concat('The ', substr(d.text, 1, 60)) end as translation,
+        case when l.quality is null then null when d.doc_id % 9 = 0 then '  ' else concat('The ', d.text) end as translation,
         case when l.quality is null then null when d.doc_id % 3 = 0 then 'openai:gpt-4o' when d.doc_id % 3 = 1 then 'gemini:gemini-2.5-flash' else 'echo' end as engine,
         case when l.quality is null or d.doc_id % 8 = 0 then null when l.quality = 1 then 1 - cast(d.doc_id % 5 as double) / 8 else cast(d.doc_id % 4 as double) / 8 end as translation_qa,
         case when l.quality is null then null when d.doc_id % 5 = 0 then '' when d.doc_id % 2 = 0 then 'v2-2026-07-20' else 'v1-legacy' end as mt_prompt_version
@@ -595,10 +595,10 @@ def insert_or_replace(spark, sf_dir):
 
 
 @query("""with r as (select *, turn >= 1 and text <> '' as fits, row_number() over (partition by conv_id order by turn) as n from conversations)
-select conv_id, turn, coalesce((select string_agg(x, '|' order by n) from (select substr(b.text, 1, 10) as x, b.n from r b where b.conv_id = a.conv_id and b.n < a.n and b.fits order by b.n desc limit 3)), '') as context from r a""")
+select conv_id, turn, coalesce((select string_agg(x, '|' order by n) from (select b.text as x, b.n from r b where b.conv_id = a.conv_id and b.n < a.n and b.fits order by b.n desc limit 3)), '') as context from r a""")
 def context_window(spark, sf_dir):
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
-    found = translate.preceding(rows, "conv_id", ["turn"], F.substring("text", 1, 10), 3, (F.col("turn") >= 1) & (F.col("text") != ""))
+    found = translate.preceding(rows, "conv_id", ["turn"], F.col("text"), 3, (F.col("turn") >= 1) & (F.col("text") != ""))
     return found.select("conv_id", "turn", F.array_join("context", "|").alias("context"))
 
 
