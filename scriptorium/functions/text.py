@@ -17,10 +17,10 @@ ZERO_WIDTH = "\u200b\u200c\u200d\ufeff\u2060"
 DOUBLE_QUOTES = "\u201c\u201d\u201e\u201f\u00ab\u00bb\u2039\u203a\u2033\u2036"
 SINGLE_QUOTES = "\u2018\u2019\u201a\u201b\u00b4\u0060\u2032\u2035"
 DASHES = "[\u2012-\u2015]+"
-_OTHER_SPACES = "\t\u00a0\u1680\u2000-\u200a\u202f\u205f\u3000"
+#: Spaces that become a plain one.
+ONE_SPACES = "\t\u00a0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u202f\u205f\u3000"
 _OTHER_WHITE = WHITE[1:-1].replace(" ", "")
-#: Runs of space that are not one plain space already: single spaces are left alone, as most are.
-SPACES = f"[{_OTHER_SPACES}][ {_OTHER_SPACES}]*| [ {_OTHER_SPACES}]+"
+#: Runs of white space that are not one plain space already: single spaces are left alone, as most are.
 WHITE_RUNS = f"[{_OTHER_WHITE}]{WHITE}*| {WHITE}+"
 #: Nothing but punctuation, symbols and marks; letters and numbers are what remains.
 NO_WORD = r"^[^\p{L}\p{N}]+$"
@@ -63,12 +63,14 @@ def contains_any(text: Column, phrases: Sequence[str]) -> Column:
 
 def tidy(text: Column) -> Column:
     """The part of ``normalize`` that follows the Unicode form."""
-    quotes, apostrophes = len(DOUBLE_QUOTES), len(SINGLE_QUOTES)
+    quotes, apostrophes, spaces = len(DOUBLE_QUOTES), len(SINGLE_QUOTES), len(ONE_SPACES)
     # what becomes one character, then what goes
     out = F.translate(
-        F.coalesce(text, F.lit("")), DOUBLE_QUOTES + SINGLE_QUOTES + "\u00ad" + ZERO_WIDTH, '"' * quotes + "'" * apostrophes
+        F.coalesce(text, F.lit("")),
+        DOUBLE_QUOTES + SINGLE_QUOTES + ONE_SPACES + "\u00ad" + ZERO_WIDTH,
+        '"' * quotes + "'" * apostrophes + " " * spaces,
     )
-    for pattern, by in (("\r\n?", "\n"), (f"-{WHITE}*\n{WHITE}*", ""), (DASHES, "-"), (SPACES, " ")):
+    for pattern, by in (("\r\n?", "\n"), (f"-{WHITE}*\n{WHITE}*", ""), (DASHES, "-"), ("  +", " ")):
         out = F.regexp_replace(out, pattern, by)
     return strip(out)
 

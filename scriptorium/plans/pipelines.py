@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from hashlib import sha256
 
 from pyspark.sql import DataFrame, Window
@@ -10,11 +11,13 @@ from pyspark.sql import functions as F
 from scriptorium.functions import text as T
 from scriptorium.functions import verses as V
 from scriptorium.functions.profiles import DEVA, PROMPT_VERSION, ScriptProfile
-from scriptorium.operators import segment, translate, upsert
+from scriptorium.operators import batches, ledger, reports, segment, sinks, translate, upsert
 from scriptorium.plans.catalog import Catalog
 from scriptorium.sources.files import page_from_name
 from scriptorium.streaming.intake import inbox, upsert_stream
 
+SETTINGS = "seq long, action string, budget_usd double"
+CACHE = "engine string, lang_in string, lang_out string, text_hash string, text string, output string"
 PASSAGES = {
     "doc": "string",
     "page_no": "int",
@@ -96,6 +99,64 @@ def translate_document(
     return catalog.write("passages", updated.drop("key"))
 
 
+def translate_open(
+    catalog: Catalog,
+    engine: translate.Engine,
+    name: str,
+    priorities: Sequence[str] = (),
+    profile: ScriptProfile = DEVA,
+    lang: str = "en",
+    n_context: int = 5,
+    size: int = batches.SIZE,
+) -> bool:
+    """All open passages of all documents, in batches under the budget; returns whether the budget ended the run.
+
+    Documents go by ``priorities``, then by name. Tables ``usage_ledger`` and ``budget_settings`` hold what was spent and
+    what may be; the calls are appended, and a breach is written as a pause, which stands until somebody resumes.
+    """
+    passages = catalog.read("passages").withColumn("key", F.concat_ws("/", "doc", "page_no", "idx"))
+    log = catalog.read("usage_ledger") if catalog.exists("usage_ledger") else batches.empty_ledger(catalog.spark)
+    settings = catalog.read("budget_settings") if catalog.exists("budget_settings") else catalog.spark.createDataFrame([], SETTINGS)
+    state = ledger.budget_state(log, settings).first()
+    if state.paused:
+        return True
+    done = ~T.is_blank(F.col("translation"))
+    context = translate.preceding(passages, "doc", ["page_no", "idx"], F.struct("verse_ref", "translation"), n_context, done)
+    todo = translate.candidates(context, profile=profile)
+    # the order of the batches: documents are few and ranked, a place in one is made of page and index
+    ranks = reports.by_priority(passages.select("doc").distinct(), priorities).withColumn(
+        "rank", F.row_number().over(Window.orderBy(F.asc_nulls_last("place"), "doc"))
+    )
+    todo = todo.join(ranks.select("doc", "rank"), "doc").withColumn("seq", F.expr("(cast(rank as long) << 44) + (cast(page_no as long) << 20) + idx"))
+    cache = catalog.read("mt_cache") if catalog.exists("mt_cache") else catalog.spark.createDataFrame([], CACHE)
+    out, calls, paused = batches.translate_batches(todo, cache, engine, name, state.budget_usd, state.spent_usd, "seq", size, lang, width=1 << 44)
+    answered = out.filter(F.col("output") != "").withColumns({"translation": F.col("output"), "translation_qa": F.col("qa"), "engine": F.lit(name), "mt_prompt_version": F.lit(PROMPT_VERSION)})
+    answered = catalog.read("translated", catalog.write("translated", answered))
+    history, updated = translate.supersede(passages, answered)
+    if catalog.exists("translation_history"):
+        history = catalog.read("translation_history").unionByName(history)
+    catalog.write("translation_history", history)
+    asked = translate.with_cache_key(answered.filter("not hit"), name, "sa", lang)
+    catalog.write("mt_cache", translate.admit(cache, asked, "key", lang))
+    first = log.agg(F.coalesce(F.max("seq") + 1, F.lit(0)).alias("n")).first().n
+    catalog.write("usage_ledger", log.unionByName(calls.withColumn("seq", F.col("seq") + F.lit(first))))
+    if paused:
+        at = settings.agg(F.coalesce(F.max("seq") + 1, F.lit(0)).alias("n")).first().n
+        catalog.write("budget_settings", settings.unionByName(catalog.spark.createDataFrame([(at, "pause", None)], SETTINGS)))
+    catalog.write("passages", updated.drop("key"))
+    return paused
+
+
+def advance(
+    catalog: Catalog, pages: DataFrame, engine: translate.Engine, name: str, folder: str, priorities: Sequence[str] = (), profile: ScriptProfile = DEVA
+) -> bool:
+    """Page records in, books out: ingest, translate what is open, write every document's book."""
+    ingest(catalog, pages, profile)
+    paused = translate_open(catalog, engine, name, priorities, profile)
+    sinks.write_book(sinks.book(catalog.read("passages")), folder)
+    return paused
+
+
 def heal(catalog: Catalog, below: float = 0.6, lang: str = "en") -> int:
     """Scores all, archives and clears what is below the threshold."""
     passages = catalog.read("passages").withColumn("key", F.concat_ws("/", "doc", "page_no", "idx"))

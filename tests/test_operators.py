@@ -320,3 +320,17 @@ def test_streaks_in_blocks(spark, width):
     got = translate.failure_streaks(frame, ["doc"], ["n"], F.col("ok"), 4, width)
     assert {r.n: r.streak for r in got.collect()} == want and all(r.aborts == (r.streak >= 4) for r in got.collect())
     assert got.columns == [*frame.columns, "streak", "aborts"]
+
+
+def test_postings(spark):
+    from scriptorium.operators import search
+
+    rows = spark.createDataFrame([(1, "Alpha beta", "x"), (2, "alphabet", None), (3, None, "ab"), (4, "", "BETA max"), (5, "ééé alp", "ha")], "k long, a string, b string")
+    table = search.postings(rows, "k", ["a", "b"])
+    for query in ("alpha", "beta", "ab", "a b", "ééé", "alpha beta", "zzz", "ha b"):
+        want = sorted(r.k for r in rows.filter(reports.contains(["a", "b"], query)).collect())
+        assert sorted(r.k for r in search.search(rows, table, "k", ["a", "b"], query).collect()) == want, query
+    changed = spark.createDataFrame([(1, "gamma", None), (9, "alpha", None), (4, None, None)], rows.schema)
+    now = rows.join(changed, "k", "left_anti").union(changed)
+    got = search.refresh(table, changed, "k", ["a", "b"])
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, search.postings(now, "k", ["a", "b"]).collect()))

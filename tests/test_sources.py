@@ -128,6 +128,27 @@ def test_ingest_translate_heal(spark, tmp_path):
     assert len(catalog.versions("passages")) == 1
 
 
+def test_advance_whole_corpus(spark, tmp_path):
+    pages = spark.createDataFrame([("gita", 1, 0, VERSES), ("atha", 1, 0, VERSES), ("gita", 2, 0, "अर्जुन उवाच महाबाहो केशव माधव ॥ राम ॥")], "doc string, page_no int, line int, text string")
+    catalog = Catalog(spark, f"{tmp_path}/catalog")
+    answers = lambda messages: ["On the field of righteousness they stood, eager for war and ready to fight. " + str(len(m)) for m in messages]
+    catalog.write("budget_settings", spark.createDataFrame([(0, "set", 0.0)], pipelines.SETTINGS))
+    name = "openai:gpt-4o"
+    assert pipelines.advance(catalog, pages, answers, name, f"{tmp_path}/one", ["gita"])  # there is nothing to spend
+    assert catalog.read("usage_ledger").count() == 0 and catalog.read("budget_settings").count() == 2
+    assert pipelines.translate_open(catalog, answers, name)  # a pause stands
+    catalog.write("budget_settings", catalog.read("budget_settings").unionByName(spark.createDataFrame([(5, "set", 1.0)], pipelines.SETTINGS)))
+    assert not pipelines.advance(catalog, pages, answers, name, f"{tmp_path}/two", ["gita"])
+    rows = catalog.read("passages").collect()
+    assert all(r.translation.startswith("On the field") and r.engine == name for r in rows if r.text_type == "mula")
+    log = catalog.read("usage_ledger").collect()
+    assert [(r.passages, r.kind, r.engine) for r in log] == [(4, "translation", name)]  # verses that both books have are sent once
+    assert catalog.read("mt_cache").count() == 4
+    assert not pipelines.translate_open(catalog, answers, name) and catalog.read("usage_ledger").count() == 1
+    written = "".join(p.read_text() for p in sorted((tmp_path / "two").glob("doc=gita/*.txt")))
+    assert written.startswith("<div class='titlepage'>") and written.count("On the field") == len([r for r in rows if r.doc == "gita" and r.translation])
+
+
 def test_streams(spark, tmp_path):
     src = tmp_path / "events"
     events = spark.read.parquet("/root/testdata/sf0.001/events.parquet").select("event_id", "ts", "event_type", "value")
