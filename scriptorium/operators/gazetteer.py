@@ -59,9 +59,7 @@ def find_entities(rows: DataFrame, key: str, text: str, known: DataFrame, max_fo
         return found.select(F.col("k").alias(key), "start", (F.col("start") + F.length("form")).alias("end"), "form", "label", "canonical", "gaz_index")
     stats = known.agg(F.max(F.length("form")).alias("longest"), F.collect_set(F.least(F.length("form"), F.lit(3))).alias("sizes")).first()
     heads = known.withColumn("__head", F.substring("form", 1, 3))
-    texts, longest = rows.select(F.col(key).alias("k"), F.coalesce(F.col(text), F.lit("")).alias("t")), F.lit(stats.longest)
-    here = F.transform(F.sequence(F.lit(1), F.greatest(F.length("t"), F.lit(1))), lambda i: F.substr(F.col("t"), i, longest))
-    at = texts.select("k", F.posexplode(here).alias("start", "here"))
+    at = _windows(rows.select(F.col(key).alias("k"), F.col(text).cast("string").alias("t")), stats.longest)
     at = at.select("k", "start", "here", F.explode(F.array_distinct(F.array(*(F.substring("here", 1, n) for n in sorted(stats.sizes))))).alias("__head"))
     hits = at.join(heads, "__head").filter(F.col("here").startswith(F.col("form")))
     return hits.select(F.col("k").alias(key), "start", (F.col("start") + F.length("form")).alias("end"), "form", "label", "canonical", "gaz_index")
@@ -104,6 +102,23 @@ def _places(rows: DataFrame, words: list[str]) -> DataFrame:
     return rows.mapInArrow(run, f"k {kind}, form string, start int")
 
 
+def _windows(rows: DataFrame, width: int) -> DataFrame:
+    """``k, start, here``: the ``width`` characters at each place of the texts ``t``, fewer at the end."""
+    prepare_batches(rows.sparkSession)
+    kind = rows.schema["k"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, text in enumerate(batch.column(1).to_pylist()):
+                for first in range(0, len(text or ""), 50_000):
+                    places = range(first, min(first + 50_000, len(text)))
+                    at = pa.array([row] * len(places), pa.int64())
+                    columns = [batch.column(0).take(at), pa.array(places, pa.int32()), pa.array([text[k : k + width] for k in places], pa.string())]
+                    yield pa.RecordBatch.from_arrays(columns, ["k", "start", "here"])
+
+    return rows.mapInArrow(run, f"k {kind}, start int, here string")
+
+
 def entities_by_form(rows: DataFrame, key: str, text: str, form: str) -> DataFrame:
     """``key, start``: the places of one form."""
     return rows.select(key, F.explode(V.find_all(F.col(text), F.lit(form))).alias("start"))
