@@ -89,16 +89,19 @@ def match_rule_table(urls: DataFrame, rules: DataFrame, key: str, broadcast_rule
 def features(dims: int) -> Column:
     """The distinct hashed n-grams of columns ``host`` and ``path``: ``array<int>``."""
 
-    def grams(text: Column, salt: str, n: int) -> Column:
+    def grams(chars: Column, salt: str, n: int) -> Column:
+        # of characters in an array each is at hand; a substring is looked for from the start of a text
         return F.transform(
-            F.sequence(F.lit(1), F.greatest(F.length(text) - n + 1, F.lit(1))),
-            lambda i: F.pmod(F.xxhash64(F.lit(salt), F.substr(text, i, F.lit(n))), F.lit(dims)).cast("int"),
+            F.sequence(F.lit(0), F.greatest(F.size(chars) - n, F.lit(0))),
+            lambda i: F.pmod(F.xxhash64(F.lit(salt), F.concat_ws("", *(F.get(chars, i + k) for k in range(n)))), F.lit(dims)).cast("int"),
         )
 
+    def of(text: Column, salt: str) -> Column:
+        chars = F.filter(F.split(text, "", -1), lambda c: c != "")
+        return F.get(F.transform(F.array(chars), lambda c: F.concat(*(grams(c, salt, n) for n in NGRAMS))), F.lit(0))
+
     at = F.concat(F.lit("^"), F.col("host"), F.lit("$"))
-    return F.array_distinct(
-        F.concat(*(grams(text, salt, n) for text, salt in ((at, "h"), (F.col("path"), "p")) for n in NGRAMS))
-    )
+    return F.array_distinct(F.concat(of(at, "h"), of(F.col("path"), "p")))
 
 
 #: Words of hosts that a filter of training data keeps out: gambling, adult sites, sham pharmacies, spam, advertising.

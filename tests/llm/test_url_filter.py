@@ -11,7 +11,7 @@ from scriptorium.llm.queries import URL_RULES
 URLS = [
     "http://A.example.ORG/es/1?x#y", "https://example.org/en/12", "http://example.org", "http://x.com/fr/1", "http://xcom/fr/1",
     "HTTP://WWW.Casino-Win.example.com/en/1", "no scheme", "", None, "://", "a://b://c/d", "http://h?q/p", "http://h#f/p",
-    "http://example.org/es", "http://org/", "http://notexample.org/es/2", "http://É.org/x", "http://h\n.com/de/\nz", "http://example.com/de/9",
+    "http://example.org/es", "http://org/", "http://notexample.org/es/2", "http://É.org/x", "http://h\n.com/de/\nz", "http://\U0001f600x.org/\U0001f601\U0001f602/é", "http://example.com/de/9",
 ]
 
 
@@ -79,6 +79,8 @@ def test_empty_repeated_long_and_clashing(spark, model):
     rows = spark.createDataFrame([(1, long, 5, "z"), (1, long, 5, "z")], "page_id long, url string, host int, rule string")
     got = U.judge(rows, URL_RULES, model).collect()
     assert len(got) == 2 and got[0] == got[1] and got[0].rule == "org/"
+    endless = spark.createDataFrame([(1, "http://" + "ab" * 400_000 + ".net/" + "xyz" * 400_000)], "page_id long, url string")
+    assert U.judge(endless, URL_RULES, model).first().verdict in ("allow", "block")
 
 
 def test_plan_has_no_python(spark, model, capsys):
