@@ -14,7 +14,7 @@ lowered by the path's own share of link text. What a path's elements say about
 themselves is a factor:
 
 * menus, footers, headers, sidebars, and elements whose class or role names such a
-  part, an advert, a notice or reader comments, and containers of the ids ``IDS``: ``NAMED``;
+  part, an advert, a notice or reader comments, and containers whose id does: ``NAMED``;
 * outside of ``article`` or ``main``, where the page has text in one: ``OUTSIDE``;
 * inside of one: the fused ratio counts ``INSIDE`` at least, so that only its share
   of links can take out a path there.
@@ -83,8 +83,17 @@ NAMES = frozenset(
     "recommendations recommended related replies reply respond search share sharing shoutbox sidebar signup sitemap "
     "skip social sponsor sponsored subscribe subscription teaser teasers toolbar topbar widget widgets".split()
 )
-#: Ids, as a whole, by which containers name such parts; words of other ids are topics (``related-work``).
-IDS = frozenset("comments respond disqus_thread sidebar footer navbar breadcrumbs masthead".split())
+#: An id names such a part if it is one of these words, or one of these or of ``TOPICAL`` with ``FILL`` words alone;
+#: words of other ids are topics (``related-work``, ``legal-issues``, ``social``).
+ID_NAMES = frozenset(
+    "ad ads advert adverts advertisement breadcrumb breadcrumbs comments disqus footer masthead nav navbar newsletter popup "
+    "respond sidebar signup toolbar topbar widget widgets".split()
+)
+TOPICAL = frozenset("comment cookie cookies header menu navigation promo related share sharing social".split())
+FILL = frozenset(
+    "area articles banner bar bottom box buttons consent container form global left links list main notice page posts primary "
+    "reader right secondary section site thread top user wrapper".split()
+)
 CONTAINERS = frozenset("div section ol ul".split())
 ROOTS = frozenset("html body article main".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6 hgroup".split())
@@ -121,13 +130,16 @@ class Path:
 
 
 @lru_cache(4096)
-def _read_attributes(attributes: str) -> tuple[str, frozenset[str], str, bool, bool]:
-    """The first class; the words of class and role; the id; whether a role is given; whether the element is hidden."""
-    first, words, own, role = "", set(), "", False
+def _read_attributes(attributes: str) -> tuple[str, frozenset[str], bool, bool, bool]:
+    """The first class; the words of class and role; whether the id names a part beside the content; whether a role is
+    given; whether the element is hidden."""
+    first, words, own, role = "", set(), False, False
     for kind, *values in _CLASS.findall(attributes):
         value = "".join(values).lower()
         if kind.lower() == "id":
-            own = value.strip()
+            parts = set(filter(None, re.split(r"[^a-z0-9]+", value)))
+            rest = parts - FILL - ID_NAMES - TOPICAL
+            own = not rest and (not parts.isdisjoint(ID_NAMES) or (not parts.isdisjoint(TOPICAL) and not parts.isdisjoint(FILL)))
             continue
         if kind.lower() == "role":
             role = True
@@ -260,9 +272,9 @@ class Reader:
             if k > self.nearest(CLOSES[tag][1]):
                 self.cut(k)
         above = self.stack[-1]
-        first, words, own, role, hidden = _read_attributes(attributes) if attributes else ("", frozenset(), "", False, False)
+        first, words, own, role, hidden = _read_attributes(attributes) if attributes else ("", frozenset(), False, False, False)
         outer = self.paths[above.path]
-        named = tag in BESIDE or (tag not in ROOTS and not NAMES.isdisjoint(words)) or (own in IDS and tag in CONTAINERS)
+        named = tag in BESIDE or (tag not in ROOTS and not NAMES.isdisjoint(words)) or (own and tag in CONTAINERS)
         header = above.header or tag == "header" or ("header" in words and tag not in ROOTS and tag not in HEADINGS)
         heading = above.heading or tag in HEADINGS
         silent = above.silent or tag in SILENT or (hidden and tag not in ROOTS) or (named and not block)

@@ -425,6 +425,10 @@ def test_ratios_select_without_names_and_articles(spark):
 def test_names_of_ids_and_long_blocks():
     related = f'<article><h2 id="related-work">Related work</h2><p id="comments">{LONG}</p><h2 id="legal-issues">Legal</h2><p>{LONG}</p></article>'
     assert H.main_text(related) == f"Related work {LONG} Legal {LONG}"
+    for own in ("comments", "site-footer", "cookie-banner", "left_sidebar", "reader-comments", "share-buttons", "related-posts"):
+        assert H.main_text(f"<article><p>{LONG}</p><div id='{own}'><p>{LONG}</p></div></article>") == LONG, own
+    for own in ("related-work", "discussion", "social", "cookies", "notice", "top", "section-2", "menu", ""):
+        assert H.main_text(f"<article><p>{LONG}</p><div id='{own}'><p>{LONG}</p></div></article>") == f"{LONG} {LONG}", own
     code = "".join(f"x[{k}] = f(y, z); " for k in range(500)).strip()
     page = "<article>" + f"<p>{LONG}</p>" * 150 + f"<pre>{code}</pre><table>" + "<tr><td>1<td>2" * 50 + "</table></article>"
     assert H.main_text(page) == " ".join([*[LONG] * 150, code, *["1 2"] * 50])
