@@ -101,6 +101,31 @@ def test_random_strings_in_paths():
     assert S.spans("files/D41D8CD98F00B204E9800998ECF8427E/550e8400-e29b-41d4-a716-446655440000/read", enc) == []
 
 
+def test_random_spans_against_brute_force():
+    """Runs of one part: the whole run is a span if a stretch of it has few characters for each token and is no name."""
+    enc, rng = S.encoding(), random.Random(14)
+    words = "docs archive history release images library chapter reading summer station garden people report windows language".split()
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+
+    def brute(run):
+        if S.DIGEST.fullmatch(run):
+            return []
+        stretches = {(a, min(a + 64, len(run)), 2.0) for a in range(0, len(run) - 19, 32)}
+        windows = {(min(a, len(run) - 20), min(a, len(run) - 20) + 20, 1.7) for a in range(0, len(run) - 20 + 4, 4)}
+        few = [x for a, b, most in stretches | windows if len(x := run[a:b]) / len(enc.encode_ordinary(x)) <= most and not S.named(x, enc, most)]
+        return [("random", 0, len(run))] if few else []
+
+    found = 0
+    for k in range(1500):
+        run = "".join(rng.choice(words).capitalize() if rng.random() < (k % 5) / 4 else "".join(rng.choices(letters, k=rng.randint(3, 12))) for _ in range(rng.randint(3, 12)))
+        if len(run) < 20 or S.base_spans(run) or S.UUID.search(run) or S.PART_DIGEST.search(run):
+            continue
+        got = S.spans(run, enc)
+        assert got == brute(run), run
+        found += bool(got)
+    assert 300 < found < 1300
+
+
 def test_redact(spark):
     rows = docs_of(spark, SECRET).withColumn("spans", F.lit(1))
     got = {r.doc_id: r for r in S.redact(rows).collect()}
