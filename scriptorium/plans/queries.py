@@ -21,7 +21,7 @@ from scriptorium.functions import translation as R
 from scriptorium.functions import verses as V
 from scriptorium.functions.profiles import LATIN
 from scriptorium.operators import gazetteer, intake as pages_in, reports, segment, sinks, translate, upsert
-from scriptorium.session import table
+from scriptorium.session import spread, table
 from scriptorium.sources import files, web
 from scriptorium.streaming import intake
 
@@ -73,7 +73,7 @@ def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents")
+    return spread(table(spark, sf_dir, "documents"))
 
 
 # --- reports ------------------------------------------------------------------------------------

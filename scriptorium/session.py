@@ -37,6 +37,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame, most: int = 32) -> DataFrame:
+    """A table's rows over all cores, where it comes in fewer splits than there are cores.
+
+    A file of one row group is read by one task, which would then do all the work on its texts.
+    At most ``most`` splits are dealt out anew, so what moves is bounded; larger inputs are left as they are. Filters
+    and columns that are not asked for are still left to the scan.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    splits = df._jdf.queryExecution().toRdd().getNumPartitions()
+    return df.repartition(cores) if splits < min(cores, most) else df
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that all executors share, from ``spark.checkpoint.dir``.
 

@@ -334,3 +334,18 @@ def test_postings(spark):
     now = rows.join(changed, "k", "left_anti").union(changed)
     got = search.refresh(table, changed, "k", ["a", "b"])
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, search.postings(now, "k", ["a", "b"]).collect()))
+
+
+def test_few_splits_are_spread(spark, tmp_path, capsys):
+    from scriptorium.session import spread
+
+    spark.range(1000).selectExpr("id", "id % 7 as k", "cast(id as string) as t").coalesce(1).write.parquet(f"{tmp_path}/one")
+    one = spark.read.parquet(f"{tmp_path}/one")
+    cores = spark.sparkContext.defaultParallelism
+    assert one.rdd.getNumPartitions() < cores == spread(one).rdd.getNumPartitions()
+    assert sorted(r.id for r in spread(one).collect()) == list(range(1000))
+    spread(one).filter("k = 3").select("id").explain()
+    plan = capsys.readouterr().out
+    assert "PushedFilters: [IsNotNull(k), EqualTo(k,3)]" in plan and "t:string" not in plan
+    assert spread(one.repartition(cores + 3)).rdd.getNumPartitions() == cores + 3
+    assert spread(one, most=0).rdd.getNumPartitions() == one.rdd.getNumPartitions()
