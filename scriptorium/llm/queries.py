@@ -17,7 +17,7 @@ from scriptorium.llm import (
     token_count,
     url_filter,
 )
-from scriptorium.session import table
+from scriptorium.session import spread, table
 
 URL_RULES = (
     ("org/", "allow"),
@@ -47,7 +47,7 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents")
+    return spread(table(spark, sf_dir, "documents"))
 
 
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -106,7 +106,7 @@ def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return html_extract.extract(table(spark, sf_dir, "pages"))
+    return html_extract.extract(spread(table(spark, sf_dir, "pages")))
 
 
 QUERIES = {
