@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from scriptorium.llm import decontaminate, language, packing, secret_scan, simhash
 from scriptorium.llm.queries import language_model
-from scriptorium.session import Durable, table
+from scriptorium.session import Durable, spread, table
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,7 +58,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rows of the last stage over ``documents``."""
     store = Durable(spark, "pipeline")
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents"))
     for k, (_, stage) in enumerate(STAGES):
         after = stage(spark, docs, sf_dir)
         if k == len(STAGES) - 1:
