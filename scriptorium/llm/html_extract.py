@@ -20,7 +20,8 @@ themselves is a factor:
   of links can take out a path there.
 
 Blocks of paths below ``share`` of the page's best score, or below ``FLOOR``, go. A
-heading stays with the block that it stands above. On a page without an article
+heading stays with the block that it stands above, and with one further down in its element
+before the next heading. On a page without an article
 or main element, paths of short blocks without punctuation are lost with the
 menus: there the ratios are all there is.
 
@@ -305,6 +306,13 @@ def apart(paths: list[Path], a: int, b: int) -> float:
     return n / max(longest, 1)
 
 
+def _under(paths: list[Path], path: int, above: int) -> bool:
+    """Whether one path goes through another."""
+    while paths[path].depth > paths[above].depth:
+        path = paths[path].parent
+    return path == above
+
+
 def typical(values: list[tuple[float, float]]) -> float:
     """The median of ``(value, weight)``."""
     half, total = sum(w for _, w in values) / 2, 0.0
@@ -365,10 +373,14 @@ def main_text(page: str | None, share: float = SHARE) -> str:
     scores = path_scores(found, reader.paths)
     least = max(FLOOR, share * max(scores.values(), default=0.0)) if share else 0.0
     kept = [scores[b.path] >= least for b in found]
-    for k in range(len(found) - 2, -1, -1):
-        path = reader.paths[found[k].path]
-        if found[k].heading and kept[k + 1] and not path.beside and found[k].links < len(found[k].text):
-            kept[k] = True
+    below = -1  # the path of the next kept block, up to the next heading
+    for k in range(len(found) - 1, -1, -1):
+        block, path = found[k], reader.paths[found[k].path]
+        if block.heading and not kept[k] and not path.beside and block.links < len(block.text):
+            beneath = k + 1 < len(found) and kept[k + 1]
+            kept[k] = beneath or (below >= 0 and _under(reader.paths, below, path.parent))
+        if block.heading or kept[k]:
+            below = block.path if kept[k] and not block.heading else -1
     return " ".join(b.text for b, keep in zip(found, kept, strict=True) if keep)
 
 

@@ -434,6 +434,8 @@ def test_names_of_ids_and_long_blocks():
     assert H.main_text(page) == " ".join([*[LONG] * 150, code, *["1 2"] * 50])
     bare = page.replace("article>", "div>").split("<table>")[0]
     assert H.main_text(f"<div class=top><p>Home</p></div>{bare}") == " ".join([*[LONG] * 150, code])
+    post = f"<div class=post><h2>Title</h2><div class=meta>By Ann</div><p>{LONG}</p></div><div class=box><h3>Recent</h3><ul><li><a href=1>One</a></ul></div><p>x</p>"
+    assert H.main_text(post) == f"Title {LONG}"
     cards = "<div class=box>" + "".join(f"<article><a href=/{k}>See {k}</a></article>" for k in range(9)) + "</div>"
     assert H.main_text(f"<body><div class=text><p>{LONG}</p><p>{LONG}</p></div>{cards}</body>") == f"{LONG} {LONG}"
 
