@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import html as references
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -19,6 +19,8 @@ TAGS = ("h1", "h2", "h3", "h4", "p", "li", "blockquote", "pre")
 #: Elements and classes that hold no content.
 DROPPED_TAGS = ("script", "style", "noscript", "form", "header", "footer", "nav", "aside")
 DROPPED_CLASSES = ("navbar", "breadcrumb", "adsbygoogle", "ad", "comments")
+#: The characters that markup itself uses, as references.
+MARKUP_REFERENCES = ("lt", "gt", "quot", "amp")
 VOID = ("area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr")
 
 
@@ -75,7 +77,15 @@ _CLOSES = {"li": (("li",), ("ul", "ol", "menu"))} | {
 }
 
 
-def _tag_texts(page: str | None) -> list[dict[str, str]]:
+def _decoder(names: Sequence[str] | None) -> Callable[[str], str]:
+    """Decodes the references of these names where a semicolon ends them; all of HTML, as browsers do, for None."""
+    if names is None:
+        return references.unescape
+    known = re.compile(f"&(?:{'|'.join(map(re.escape, names))});")
+    return lambda raw: known.sub(lambda found: references.unescape(found[0]), raw)
+
+
+def _tag_texts(page: str | None, decode: Callable[[str], str] = references.unescape) -> list[dict[str, str]]:
     """Texts of the content tags in document order; nested ones repeat, as each tag gives its whole text.
 
     An item or paragraph whose end tag is missing ends where the next one begins.
@@ -87,7 +97,7 @@ def _tag_texts(page: str | None) -> list[dict[str, str]]:
     dropped, at, page = 0, 0, page or ""
 
     def say(raw: str) -> None:
-        text = references.unescape(raw).strip() if not dropped else ""
+        text = decode(raw).strip() if not dropped else ""
         if text:
             pieces.append(text)
 
@@ -133,22 +143,27 @@ def _tag_texts(page: str | None) -> list[dict[str, str]]:
     return [{"tag": tag, "text": re.sub(r"\s+", " ", " ".join(pieces[a:b])).strip()} for tag, a, b in found]
 
 
-def tag_texts(html: Column) -> Column:
-    """``array<struct<tag, text>>`` of headings, paragraphs, items, quotes and preformatted texts outside of boilerplate."""
+def tag_texts(html: Column, names: Sequence[str] | None = None) -> Column:
+    """``array<struct<tag, text>>`` of headings, paragraphs, items, quotes and preformatted texts outside of boilerplate.
+
+    Character references are decoded as browsers do, also where their semicolon is missing; with ``names``, these
+    references alone, and only with their semicolon: what a cut in an escaped text leaves of one stays as it is.
+    """
 
     ship()
+    decode = _decoder(names)
 
     @F.pandas_udf("array<struct<tag: string, text: string>>")
     def run(pages: pd.Series) -> pd.Series:
-        return pages.map(_tag_texts)
+        return pages.map(lambda page: _tag_texts(page, decode))
 
     return run(html)
 
 
-def content_lines(html: Column, title: Column, profile: ScriptProfile = DEVA) -> Column:
+def content_lines(html: Column, title: Column, profile: ScriptProfile = DEVA, names: Sequence[str] | None = None) -> Column:
     """An array of lines from the first ``h1`` up to a comments heading, without navigation; headings begin with ``# ``.
 
-    A page without lines gives its title.
+    A page without lines gives its title. ``names`` are the references to decode, see ``tag_texts``.
     """
     fallback = F.when(F.coalesce(title, F.lit("")) != "", F.array(F.concat(F.lit("# "), title))).otherwise(F.array().cast("array<string>"))
 
@@ -166,7 +181,7 @@ def content_lines(html: Column, title: Column, profile: ScriptProfile = DEVA) ->
             lambda x: F.when(x.tag.isin("h1", "h2", "h3", "h4"), F.concat(F.lit("# "), x.text)).otherwise(x.text),
         )
 
-    texts = F.filter(tag_texts(html), lambda x: x.text != "")
+    texts = F.filter(tag_texts(html, names), lambda x: x.text != "")
     found = T.let(T.let(T.let(texts, from_first), up_to_comments), lines)
     return T.let(found, lambda found: F.when(F.size(found) > 0, found).otherwise(fallback))
 

@@ -9,6 +9,7 @@ from scriptorium.plans import pipelines
 from scriptorium.plans.catalog import Catalog
 from scriptorium.sources import files, web
 from scriptorium.streaming import intake
+from tests.oracle import compare, connect
 
 
 def put(path, *records):
@@ -86,6 +87,20 @@ def test_web(spark, one):
     assert web.search_pages(pages, ["url"], "JAINISM", "url").count() == 1
 
 
+def test_references_without_semicolon(one):
+    page = "<h1>R &amp; D &amp;amp &quot;x&quot</h1><p>a&copy=2 &#39;y&#39; &amp;lt; &lt;b&gt;"
+    assert one(web.content_lines(F.lit(page), F.lit(None).cast("string"), LATIN)) == ['# R & D &amp "x"', "a©=2 'y' &lt; <b>"]
+    assert one(web.content_lines(F.lit(page), F.lit(None).cast("string"), LATIN, web.MARKUP_REFERENCES)) == ['# R & D &amp "x&quot', "a&copy=2 &#39;y&#39; &lt; <b>"]
+
+
+def test_lines_of_cut_headings_are_those_of_sql(spark, tmp_path):
+    heads = ["and&amp", "and&amp;&amp", "and&am", "and&a", "and&", "and&quo", "and&quot", "and&lt", "&gt", "&ampx", "a &amp;lt", "a&copy;&nbsp;&#39;&eacute", "&amp", ""]
+    pages = [f"<article><h1>{h}</h1><p><b>{h} &amp;quot; x<br><p>{h}</p><p>&amp;</p></article>" for h in heads]
+    spark.createDataFrame(list(enumerate([*pages, "", None])), "page_id long, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    # an empty heading and an empty paragraph give no line, nor does a lone sign
+    assert compare("html_lines", spark, connect(str(tmp_path)), str(tmp_path)) == 3 * len(heads) - 2
+
+
 def test_write_pages(spark, tmp_path):
     rows = spark.createDataFrame([("d", 1, 1, "b"), ("d", 1, 0, "a"), ("e", 2, 0, "c")], "doc string, page_no int, idx int, text string")
     sinks.write_pages(rows, f"{tmp_path}/out")
